@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 # launcher's values win because ``getOrCreate`` keeps an existing session.
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -38,9 +38,17 @@ def feed_schema(feed: str, rescue: bool = True) -> StructType:
     return StructType(fields)
 
 
+# Marker used as the CSV null token. With Spark's default (the empty string)
+# a quoted empty field ``""`` would also turn into null; with a marker that
+# never occurs, ``""`` stays an empty string and only an unquoted empty field
+# is null, so bronze keeps the difference the silver rules rely on.
+NULL_MARKER = "\u0000"
+
+
 def csv_options(rescue: bool = True) -> dict[str, str]:
     opts = {"header": "true", "mode": "PERMISSIVE", "enforceSchema": "true",
-            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+            "nullValue": NULL_MARKER}
     if rescue:
         opts["columnNameOfCorruptRecord"] = RESCUE_COLUMN
     return opts
