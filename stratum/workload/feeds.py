@@ -75,6 +75,16 @@ FROM part WHERE p_type <> 'LARGE'""",
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Tables each derived feed reads.
+FEED_TABLES = {
+    "cust_info": ("orders", "customer"),
+    "prd_info": ("part",),
+    "sales_details": ("lineitem", "orders"),
+    "cust_az12": ("customer",),
+    "loc_a101": ("customer",),
+    "px_cat_g1v2": ("part",),
+}
+
 
 def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None:
     for name in names:
@@ -83,7 +93,7 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
 
 def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """Derived raw feed (all text columns) read from the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir)
+    register_tables(spark, sf_dir, FEED_TABLES[feed])
     return spark.sql(FEED_SQL[feed])
 
 
