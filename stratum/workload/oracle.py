@@ -316,3 +316,4 @@ SELECT CID,
             WHEN k % 13 = 0 THEN CID END AS _rescued_data
 FROM lines""",
 }
+ORACLE_SQL["star_build_stored"] = ORACLE_SQL["fact_sales"]
