@@ -316,4 +316,7 @@ SELECT CID,
             WHEN k % 13 = 0 THEN CID END AS _rescued_data
 FROM lines""",
 }
+ORACLE_SQL["stream_by_name"] = feed_cte("cust_info") + """
+SELECT *, CASE WHEN cst_create_date >= '1995-01-01' THEN '{"cst_source":"crm"}' END AS _rescued_data
+FROM cust_info"""
 ORACLE_SQL["star_build_stored"] = ORACLE_SQL["fact_sales"]

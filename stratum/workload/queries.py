@@ -20,7 +20,7 @@ from stratum.plans import gold, layers, silver
 from stratum.session import scratch_path
 from stratum.sinks import tables
 from stratum.sources.feeds import FEED_COLUMNS, driver_table
-from stratum.streaming import ingest
+from stratum.streaming import by_name, ingest
 from stratum.workload.feeds import raw_feed
 
 # Fixed "today" for every date rule, so reruns and the oracle agree.
@@ -280,6 +280,22 @@ def stream_rescue(spark, sf):
     return ingest.read_bronze(spark, bronze).select("CID", "CNTRY", "_rescued_data")
 
 
+def stream_by_name(spark, sf):
+    """Two extract layouts of the same feed: the later one lists the
+    columns in reverse order and adds an unknown column; columns are mapped
+    by header name and the unknown one is rescued as JSON."""
+    r1 = raw_feed(spark, sf, "cust_info")
+    later = F.col("cst_create_date") >= F.lit(BATCH_SPLIT)
+    root = scratch_path(spark, "by_name")
+    raw, bronze, ckpt = f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint"
+    r1.where(~later).write.mode("append").options(**CSV_WRITE).csv(raw)
+    reordered = list(reversed(r1.columns)) + ["cst_source"]
+    (r1.where(later).withColumn("cst_source", F.lit("crm")).select(*reordered)
+       .write.mode("append").options(**CSV_WRITE).csv(raw))
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "cust_info")
+    return by_name.read_bronze_by_name(spark, bronze)
+
+
 # --- the whole layered build over stored tables -------------------------------
 
 def write_raw_feeds(spark, sf, roots) -> None:
@@ -337,5 +353,6 @@ QUERIES: dict[str, Query] = {
     "append_replace_round_trip": append_replace_round_trip,
     "stream_ingest": stream_ingest,
     "stream_rescue": stream_rescue,
+    "stream_by_name": stream_by_name,
     "star_build_stored": star_build_stored,
 }

@@ -36,3 +36,27 @@ def test_incremental_ingest_with_rescue(spark, tmp_dir):
     third = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
     assert third.rows == 1
     assert ingest.read_bronze(spark, bronze).count() == 7
+
+
+def test_by_name_ingest_maps_columns_and_rescues(spark, tmp_dir):
+    from stratum.streaming import by_name
+
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    write(raw, "a.csv", "CID,CNTRY\nAW-1,DE\nAW-2,\"\"\nAW-3,\n")
+    write(raw, "b.csv", "cntry,CID,EXTRA\nUS,AW-4,x\n\"a,b\",AW-5,\nFR,AW-6,y,z\nAW-7\n")
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
+    rows = {r["CID"]: r for r in by_name.read_bronze_by_name(spark, bronze).collect()}
+    assert set(rows) == {"AW-1", "AW-2", "AW-3", "AW-4", "AW-5", "AW-6", None}
+    assert rows["AW-1"]["CNTRY"] == "DE" and rows["AW-1"]["_rescued_data"] is None
+    assert rows["AW-2"]["CNTRY"] == "" and rows["AW-3"]["CNTRY"] is None
+    assert rows["AW-4"]["CNTRY"] == "US" and rows["AW-4"]["_rescued_data"] == '{"EXTRA":"x"}'
+    assert rows["AW-5"]["CNTRY"] == "a,b" and rows["AW-5"]["_rescued_data"] is None
+    assert rows["AW-6"]["_rescued_data"] == "FR,AW-6,y,z"      # too many tokens
+    assert rows[None]["_rescued_data"] == "AW-7"               # too few tokens
+
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
+    assert by_name.read_bronze_by_name(spark, bronze).count() == 7
+    write(raw, "c.csv", "CNTRY,CID\nUSA,AW-8\n")
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
+    out = by_name.read_bronze_by_name(spark, bronze)
+    assert out.count() == 8 and out.where("CID = 'AW-8' AND CNTRY = 'USA'").count() == 1
