@@ -9,6 +9,8 @@ and the SQL oracle start from identical text rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.sources.feeds import driver_table
@@ -86,15 +88,15 @@ FEED_TABLES = {
 }
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None:
-    for name in names:
-        driver_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    """Derived raw feed (all text columns) read from the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir, FEED_TABLES[feed])
-    return spark.sql(FEED_SQL[feed])
+    """Derived raw feed (all text columns) read from the tables in ``sf_dir``.
+
+    The tables are passed to ``spark.sql`` as DataFrame arguments, so no
+    session-wide temporary view is created or replaced."""
+    names = FEED_TABLES[feed]
+    pattern = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(names) + r")\b")
+    sql = pattern.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", FEED_SQL[feed])
+    return spark.sql(sql, **{n: driver_table(spark, sf_dir, n) for n in names})
 
 
 def feed_cte(*feeds: str) -> str:
