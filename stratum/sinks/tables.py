@@ -1,20 +1,27 @@
-"""Versioned Parquet tables: append, replace, upsert.
-
-No transactional table format is available, so a table is a directory of
-snapshot versions, ``<path>/version=<n>/``. Every change writes a complete
-new version with one Spark job (files reach their final place only at job
-commit) and readers always take the highest committed version, so a failed
-or retried write never leaves a half-written table visible:
-
-* ``overwrite``  - version n+1 holds the new rows (schema replaced).
-* ``append``     - new files are added to version n (schema may widen;
-                   it is reconciled on read with ``mergeSchema``).
-* ``upsert``     - version n+1 = (target rows whose key is not in the
-                   source) + (all source rows): matched rows are updated,
-                   unmatched inserted, target-only rows kept. Null keys
-                   never match, as with an equality merge condition.
-
-Old versions stay on disk for time travel; ``read_table(version=...)``.
+"""Versioned, key-bucketed Parquet tables: append, replace, upsert.
+
+No transactional table format is available, so a table is a folder of
+immutable segments::
+
+    <path>/bucket=<b>of<B>/version=<v>-full|part/part-*.parquet
+
+Rows are assigned to one of ``B`` buckets by a hash of the table's key
+columns (``B = 1`` without keys). Every change is one Spark job that adds
+new segment folders; nothing is rewritten in place, so a failed or retried
+write never damages the current state:
+
+* ``overwrite`` - version v, kind ``full``, for every bucket that has rows.
+  Older segments stop counting.
+* ``append``    - new files into each bucket's current segment.
+* ``upsert``    - only the buckets the source touches are rewritten: each
+  becomes (target rows whose key is not in the source) + (source rows) in
+  a new ``part`` segment. Untouched buckets are not read or written, so an
+  upsert costs the size of the touched buckets, not of the table. Null
+  keys never match, as with an equality merge condition.
+
+The current state of a bucket is its newest segment at or after the newest
+``full`` version. Segment folders are found from the file listing, without
+running a job. Old segments stay for time travel (``read_table(version=)``).
 """
 
 from __future__ import annotations
@@ -22,77 +29,127 @@ from __future__ import annotations
 import operator
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_VERSION = "version"
-_VERSION_RE = re.compile(r"/version=(\d+)(/|$)")
+_SEGMENT_RE = re.compile(r"/bucket=(\d+)of(\d+)/version=(\d+)-(full|part)(/|$)")
+_BUCKET, _VERSION = "bucket", "version"
 
 
 class DuplicateSourceKeyError(ValueError):
     """Two source rows would update the same target row."""
 
 
-def _root(spark: SparkSession, path: str) -> DataFrame | None:
+@dataclass(frozen=True)
+class Segment:
+    bucket: int
+    buckets: int
+    version: int
+    full: bool
+
+    def folder(self, path: str) -> str:
+        kind = "full" if self.full else "part"
+        return (f"{path.rstrip('/')}/{_BUCKET}={self.bucket:05d}of{self.buckets:05d}/"
+                f"{_VERSION}={self.version:09d}-{kind}")
+
+
+def _listing(spark: SparkSession, path: str) -> list[str]:
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(path).inputFiles()
     except AnalysisException as exc:
         if (exc.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
+            return []
         raise
 
 
-def table_versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions, from the file listing (no job is run)."""
-    root = _root(spark, path)
-    if root is None:
+def segments(spark: SparkSession, path: str) -> list[Segment]:
+    found = set()
+    for f in _listing(spark, path):
+        m = _SEGMENT_RE.search(f)
+        if m:
+            found.add(Segment(int(m.group(1)), int(m.group(2)), int(m.group(3)),
+                              m.group(4) == "full"))
+    return sorted(found, key=lambda s: (s.version, s.bucket))
+
+
+def current_segments(segs: Sequence[Segment], version: int | None = None) -> list[Segment]:
+    segs = [s for s in segs if version is None or s.version <= version]
+    fulls = [s.version for s in segs if s.full]
+    if not fulls:
         return []
-    found = {int(m.group(1)) for f in root.inputFiles() if (m := _VERSION_RE.search(f))}
-    return sorted(found)
+    base = max(fulls)
+    best: dict[int, Segment] = {}
+    for s in segs:
+        if s.version >= base and (s.bucket not in best or s.version > best[s.bucket].version):
+            best[s.bucket] = s
+    return [best[b] for b in sorted(best)]
+
+
+def table_versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted({s.version for s in segments(spark, path)})
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(table_versions(spark, path))
+    return bool(current_segments(segments(spark, path)))
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    versions = table_versions(spark, path)
-    if not versions:
+    segs = segments(spark, path)
+    if version is not None and version not in {s.version for s in segs}:
+        raise ValueError(f"version {version} not in {sorted({s.version for s in segs})}")
+    cur = current_segments(segs, version)
+    if not cur:
         raise FileNotFoundError(f"no table at {path}")
-    v = versions[-1] if version is None else version
-    if v not in versions:
-        raise ValueError(f"version {v} not in {versions}")
-    return (spark.read.option("mergeSchema", "true")
-            .parquet(f"{path.rstrip('/')}/{_VERSION}={v}"))
-
-
-def _write_version(df: DataFrame, path: str, version: int, mode: str = "errorifexists",
-                   partition_by: Sequence[str] = ()) -> None:
-    target = f"{path.rstrip('/')}/{_VERSION}={version}"
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
-
-
-def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: Sequence[str] = ()) -> int:
-    """Write ``df`` as a new version (overwrite) or into the current one
-    (append). Returns the version written."""
+    return spark.read.option("mergeSchema", "true").parquet(*[s.folder(path) for s in cur])
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    if buckets <= 1 or not keys:
+        return F.lit(0)
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: Column,
+           mode: str = "append") -> None:
+    label = F.format_string("%05dof%05d", bucket, F.lit(buckets))
+    (df.withColumn(_BUCKET, label).withColumn(_VERSION, version)
+       .write.mode(mode).partitionBy(_BUCKET, _VERSION).parquet(path))
+
+
+def _version_label(version: int, full: bool) -> Column:
+    return F.lit(f"{version:09d}-{'full' if full else 'part'}")
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequence[str] = (),
+                buckets: int = 1) -> int:
+    """Replace the table (``overwrite``) or add rows to it (``append``).
+    ``keys`` / ``buckets`` set the bucketing when the table is created; an
+    append reuses the table's bucketing. Returns the version written."""
     spark = df.sparkSession
-    versions = table_versions(spark, path)
-    if mode == "overwrite" or not versions:
-        v = (versions[-1] + 1) if versions else 1
-        _write_version(df, path, v, "errorifexists", partition_by)
-        return v
-    if mode == "append":
-        v = versions[-1]
-        _write_version(df, path, v, "append", partition_by)
-        return v
-    raise ValueError(f"unknown mode {mode!r}")
+    segs = segments(spark, path)
+    cur = current_segments(segs)
+    if mode == "append" and cur:
+        n = cur[0].buckets
+        bucket = bucket_of(keys, n) if n > 1 else F.lit(0)
+        if n > 1 and not keys:
+            raise ValueError("append to a bucketed table needs its key columns")
+        pairs = []
+        for s in cur:
+            pairs += [F.lit(s.bucket), F.lit(f"{s.version:09d}-{'full' if s.full else 'part'}")]
+        base = max(s.version for s in segs if s.full)
+        version = F.coalesce(F.create_map(*pairs)[bucket], _version_label(base, True))
+        _write(df, path, bucket, n, version)
+        return max(s.version for s in cur)
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+    v = max((s.version for s in segs), default=0) + 1
+    n = buckets if keys else 1
+    _write(df, path, bucket_of(keys, n), n, _version_label(v, True))
+    return v
 
 
 def _check_unique_source(source: DataFrame, keys: Sequence[str]) -> None:
@@ -110,20 +167,32 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-           check_unique: bool = True) -> int:
-    """Update matched rows, insert new ones, keep the rest; creates the
-    table when it does not exist. Returns the version written."""
+           check_unique: bool = True, buckets: int = 1) -> int:
+    """Update matched rows, insert new ones, keep the rest, rewriting only
+    the buckets the source touches. Creates the table (with ``buckets``
+    buckets over ``keys``) when it does not exist. Returns the version."""
     if check_unique:
         _check_unique_source(source, keys)
-    if not table_exists(spark, path):
-        return write_table(source, path, "overwrite")
-    target = read_table(spark, path)
-    merged = merge_rows(target, source, keys)
-    return write_table(merged, path, "overwrite")
+    segs = segments(spark, path)
+    cur = current_segments(segs)
+    if not cur:
+        return write_table(source, path, "overwrite", keys, buckets)
+    n = cur[0].buckets
+    bucket = bucket_of(keys, n)
+    touched = sorted(r[0] for r in source.select(bucket.alias("b")).distinct().collect())
+    hit = [s.folder(path) for s in cur if s.bucket in set(touched)]
+    v = max(s.version for s in segs) + 1
+    if hit:
+        target = spark.read.option("mergeSchema", "true").parquet(*hit)
+        merged = merge_rows(target, source, keys)
+    else:
+        merged = source
+    _write(merged, path, bucket_of(keys, n), n, _version_label(v, False))
+    return v
 
 
 def replace_by_keys(spark: SparkSession, path: str, source: DataFrame,
-                    keys: Sequence[str]) -> int:
+                    keys: Sequence[str], buckets: int = 1) -> int:
     """Replace every target row sharing a key with the source rows of that
     key (e.g. all lines of an order), keep the other target rows."""
-    return upsert(spark, path, source, keys, check_unique=False)
+    return upsert(spark, path, source, keys, check_unique=False, buckets=buckets)

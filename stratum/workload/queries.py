@@ -214,7 +214,7 @@ def _customer_versions(spark, sf):
 def upsert_dim(spark, sf):
     target, source = _customer_versions(spark, sf)
     path = scratch_path(spark, "upsert_dim")
-    tables.write_table(target, path, "overwrite")
+    tables.write_table(target, path, "overwrite", keys=["c_custkey"], buckets=8)
     tables.upsert(spark, path, source, ["c_custkey"])
     return tables.read_table(spark, path)
 
@@ -225,7 +225,7 @@ def replace_by_order(spark, sf):
     source = (lineitem.where((F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") <= 2))
               .withColumn("l_quantity", F.col("l_quantity") + 1))
     path = scratch_path(spark, "replace_by_order")
-    tables.write_table(lineitem, path, "overwrite")
+    tables.write_table(lineitem, path, "overwrite", keys=["l_orderkey"], buckets=8)
     tables.replace_by_keys(spark, path, source, ["l_orderkey"])
     return tables.read_table(spark, path)
 

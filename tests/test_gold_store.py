@@ -89,3 +89,24 @@ def test_replace_by_keys_replaces_whole_groups(spark, tmp_dir):
     tables.replace_by_keys(spark, path, spark.createDataFrame([("O1", 9)], "o string, line int"),
                            ["o"])
     assert sorted(map(tuple, tables.read_table(spark, path).collect())) == [("O1", 9), ("O2", 1)]
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    path = f"{tmp_dir}/bucketed"
+    target = spark.range(0, 400).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    assert tables.write_table(target, path, keys=["k"], buckets=8) == 1
+    assert len(tables.current_segments(tables.segments(spark, path))) == 8
+    source = spark.createDataFrame([(7, "new"), (1000, "ins")], "k long, v string")
+    v = tables.upsert(spark, path, source, ["k"])
+    segs = tables.segments(spark, path)
+    rewritten = [s for s in segs if s.version == v]
+    assert 1 <= len(rewritten) <= 2 and all(not s.full for s in rewritten)
+    cur = tables.read_table(spark, path)
+    assert cur.count() == 401
+    assert dict(cur.where("k in (7, 1000, 8)").rdd.map(tuple).collect()) == \
+        {7: "new", 1000: "ins", 8: "old"}
+    assert tables.read_table(spark, path, version=1).where("v = 'old'").count() == 400
+    # a full overwrite hides every older segment, also in untouched buckets
+    tables.write_table(spark.createDataFrame([(1, "x")], "k long, v string"), path,
+                       keys=["k"], buckets=8)
+    assert tables.read_table(spark, path).count() == 1
