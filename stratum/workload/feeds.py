@@ -13,7 +13,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.sources.feeds import driver_table
+from stratum.sources.feeds import driver_table, spread
 
 FEED_SQL: dict[str, str] = {
     "cust_info": """
@@ -77,6 +77,10 @@ FROM part WHERE p_type <> 'LARGE'""",
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Fact-sized tables and the key their rows are spread on when a scan is
+# under-partitioned (see ``sources.feeds.spread``).
+SPREAD_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]}
+
 # Tables each derived feed reads.
 FEED_TABLES = {
     "cust_info": ("orders", "customer"),
@@ -96,7 +100,11 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     names = FEED_TABLES[feed]
     pattern = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(names) + r")\b")
     sql = pattern.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", FEED_SQL[feed])
-    return spark.sql(sql, **{n: driver_table(spark, sf_dir, n) for n in names})
+    tables = {}
+    for n in names:
+        df = driver_table(spark, sf_dir, n)
+        tables[n] = spread(df, SPREAD_KEYS[n]) if n in SPREAD_KEYS else df
+    return spark.sql(sql, **tables)
 
 
 def feed_cte(*feeds: str) -> str:
