@@ -92,6 +92,12 @@ FEED_TABLES = {
 }
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; fact-sized ones are spread when under-partitioned."""
+    df = driver_table(spark, sf_dir, name)
+    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+
+
 def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """Derived raw feed (all text columns) read from the tables in ``sf_dir``.
 
@@ -100,11 +106,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     names = FEED_TABLES[feed]
     pattern = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(names) + r")\b")
     sql = pattern.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", FEED_SQL[feed])
-    tables = {}
-    for n in names:
-        df = driver_table(spark, sf_dir, n)
-        tables[n] = spread(df, SPREAD_KEYS[n]) if n in SPREAD_KEYS else df
-    return spark.sql(sql, **tables)
+    return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
 
 
 def feed_cte(*feeds: str) -> str:

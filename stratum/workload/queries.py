@@ -21,7 +21,7 @@ from stratum.session import scratch_path
 from stratum.sinks import tables
 from stratum.sources.feeds import FEED_COLUMNS, driver_table
 from stratum.streaming import by_name, ingest
-from stratum.workload.feeds import raw_feed
+from stratum.workload.feeds import raw_feed, table
 
 # Fixed "today" for every date rule, so reruns and the oracle agree.
 AS_OF = "2024-06-30"
@@ -36,7 +36,7 @@ def keep_latest(spark, sf):
 
 
 def keep_any_deterministic(spark, sf):
-    orders = driver_table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     one = dedup.keep_first(orders, ["o_custkey"], [F.col("o_orderkey").asc()])
     return one.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
 
@@ -150,14 +150,14 @@ def clean_px_cat(spark, sf):
 # --- windows ----------------------------------------------------------------
 
 def version_end_date(spark, sf):
-    orders = driver_table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("start_date"))
     return versions.version_end(orders, "o_custkey", "start_date", "end_date",
                                 open_value=dates.as_of_date(AS_OF))
 
 
 def dense_key(spark, sf):
-    orders = driver_table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderkey") % 7 == 0, F.lit(None))
          .otherwise(F.col("o_orderdate")).alias("order_ts"))
@@ -220,7 +220,7 @@ def upsert_dim(spark, sf):
 
 
 def replace_by_order(spark, sf):
-    lineitem = driver_table(spark, sf, "lineitem").select(
+    lineitem = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     source = (lineitem.where((F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") <= 2))
               .withColumn("l_quantity", F.col("l_quantity") + 1))
