@@ -47,3 +47,16 @@ def test_by_name_build_gives_same_gold(spark, tmp_dir):
     fb = tables.read_table(spark, b.gold_table("fact_sales"))
     assert fa.count() == fb.count() > 0
     assert fa.exceptAll(fb).count() == 0 and fb.exceptAll(fa).count() == 0
+
+
+def test_silver_append_mode_duplicates_like_the_notebook(spark, tmp_dir):
+    roots = layers.Roots(f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/silver",
+                         f"{tmp_dir}/gold")
+    write_raw_feeds(spark, SF_SMALL, roots)
+    layers.ingest_all(spark, roots)
+    layers.build_silver(spark, roots, as_of=AS_OF)
+    n = tables.read_table(spark, roots.silver_table("loc_a101")).count()
+    layers.build_silver(spark, roots, as_of=AS_OF, mode="append")
+    assert tables.read_table(spark, roots.silver_table("loc_a101")).count() == 2 * n
+    layers.build_silver(spark, roots, as_of=AS_OF)
+    assert tables.read_table(spark, roots.silver_table("loc_a101")).count() == n
