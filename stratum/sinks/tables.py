@@ -196,3 +196,14 @@ def replace_by_keys(spark: SparkSession, path: str, source: DataFrame,
     """Replace every target row sharing a key with the source rows of that
     key (e.g. all lines of an order), keep the other target rows."""
     return upsert(spark, path, source, keys, check_unique=False, buckets=buckets)
+
+
+def register_table(spark: SparkSession, name: str, path: str,
+                   version: int | None = None) -> DataFrame:
+    """Expose the table's current (or a past) state under ``name`` for
+    ``spark.read.table(name)`` and SQL in this session. The view pins the
+    segments that were current when it was registered; register again after
+    a write to see the new version."""
+    df = read_table(spark, path, version)
+    df.createOrReplaceTempView(name)
+    return df

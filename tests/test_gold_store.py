@@ -110,3 +110,11 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     tables.write_table(spark.createDataFrame([(1, "x")], "k long, v string"), path,
                        keys=["k"], buckets=8)
     assert tables.read_table(spark, path).count() == 1
+
+
+def test_register_table_for_named_reads(spark, tmp_dir):
+    path = f"{tmp_dir}/named"
+    tables.write_table(spark.range(0, 5), path)
+    tables.register_table(spark, "stratum_named_t", path)
+    assert spark.read.table("stratum_named_t").count() == 5
+    assert spark.sql("SELECT sum(id) AS s FROM stratum_named_t").first()["s"] == 10
