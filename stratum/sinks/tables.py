@@ -116,8 +116,14 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: Column,
            mode: str = "append") -> None:
     label = F.format_string("%05dof%05d", bucket, F.lit(buckets))
-    (df.withColumn(_BUCKET, label).withColumn(_VERSION, version)
-       .write.mode(mode).partitionBy(_BUCKET, _VERSION).parquet(path))
+    out = df.withColumn(_BUCKET, label).withColumn(_VERSION, version)
+    if buckets > 1:
+        # Without this every write task would open a file in every bucket
+        # (tasks x buckets small files). REBALANCE lets AQE gather each
+        # bucket's rows into tasks of the advisory size and split a hot
+        # bucket over several tasks instead of writing it from one.
+        out = out.hint("rebalance", _BUCKET)
+    out.write.mode(mode).partitionBy(_BUCKET, _VERSION).parquet(path)
 
 
 def _version_label(version: int, full: bool) -> Column:
