@@ -1,27 +1,32 @@
 """Versioned, key-bucketed Parquet tables: append, replace, upsert.
 
 No transactional table format is available, so a table is a folder of
-immutable segments::
+immutable segments plus a commit log::
 
-    <path>/bucket=<b>of<B>/version=<v>-full|part/part-*.parquet
+    <path>/bucket=<b>of<B>/version=<v>-full|part|add/part-*.parquet
+    <path>/_commits/version=<v>/part-*.parquet      (one row per commit)
 
 Rows are assigned to one of ``B`` buckets by a hash of the table's key
-columns (``B = 1`` without keys). Every change is one Spark job that adds
-new segment folders; nothing is rewritten in place, so a failed or retried
-write never damages the current state:
-
-* ``overwrite`` - version v, kind ``full``, for every bucket that has rows.
-  Older segments stop counting.
-* ``append``    - new files into each bucket's current segment.
-* ``upsert``    - only the buckets the source touches are rewritten: each
-  becomes (target rows whose key is not in the source) + (source rows) in
-  a new ``part`` segment. Untouched buckets are not read or written, so an
-  upsert costs the size of the touched buckets, not of the table. Null
-  keys never match, as with an equality merge condition.
-
-The current state of a bucket is its newest segment at or after the newest
-``full`` version. Segment folders are found from the file listing, without
-running a job. Old segments stay for time travel (``read_table(version=)``).
+columns (``B = 1`` without keys). Every change writes new segment folders
+for a new version ``v`` in one Spark job and then records ``v`` in the
+commit log with a second, tiny job. Readers only see committed versions, so
+a write that fails or loses its driver half-way - even during the file
+moves of the job commit - is invisible, and the next write simply takes a
+higher version number. Nothing is modified in place.
+
+* ``overwrite`` - kind ``full`` for every bucket that has rows; every older
+  segment stops counting.
+* ``append``    - kind ``add``: rows added to each bucket's current state.
+* ``upsert``    - kind ``part``, only for the buckets the source touches:
+  each becomes (current rows whose key is not in the source) + (source
+  rows). Untouched buckets are neither read nor written, so an upsert costs
+  the size of the touched buckets, not of the table. Null keys never match,
+  as with an equality merge condition.
+
+The current state of a bucket is its newest ``full``/``part`` segment at or
+after the newest ``full`` version, plus the ``add`` segments written after
+it. Segment folders are found from the file listing, without running a job.
+Old segments stay for time travel (``read_table(version=)``).
 """
 
 from __future__ import annotations
@@ -36,8 +41,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SEGMENT_RE = re.compile(r"/bucket=(\d+)of(\d+)/version=(\d+)-(full|part)(/|$)")
-_BUCKET, _VERSION = "bucket", "version"
+_SEGMENT_RE = re.compile(r"/bucket=(\d+)of(\d+)/version=(\d+)-(full|part|add)(/|$)")
+_COMMIT_RE = re.compile(r"/_commits/version=(\d+)(/|$)")
+_BUCKET, _VERSION, _COMMITS = "bucket", "version", "_commits"
 
 
 class DuplicateSourceKeyError(ValueError):
@@ -49,12 +55,15 @@ class Segment:
     bucket: int
     buckets: int
     version: int
-    full: bool
+    kind: str  # full | part | add
+
+    @property
+    def full(self) -> bool:
+        return self.kind == "full"
 
     def folder(self, path: str) -> str:
-        kind = "full" if self.full else "part"
         return (f"{path.rstrip('/')}/{_BUCKET}={self.bucket:05d}of{self.buckets:05d}/"
-                f"{_VERSION}={self.version:09d}-{kind}")
+                f"{_VERSION}={self.version:09d}-{self.kind}")
 
 
 def _listing(spark: SparkSession, path: str) -> list[str]:
@@ -66,27 +75,41 @@ def _listing(spark: SparkSession, path: str) -> list[str]:
         raise
 
 
-def segments(spark: SparkSession, path: str) -> list[Segment]:
+def committed_versions(spark: SparkSession, path: str) -> set[int]:
+    return {int(m.group(1)) for f in _listing(spark, f"{path.rstrip('/')}/{_COMMITS}")
+            if (m := _COMMIT_RE.search(f))}
+
+
+def _all_segments(spark: SparkSession, path: str) -> list[Segment]:
     found = set()
     for f in _listing(spark, path):
         m = _SEGMENT_RE.search(f)
         if m:
-            found.add(Segment(int(m.group(1)), int(m.group(2)), int(m.group(3)),
-                              m.group(4) == "full"))
+            found.add(Segment(int(m.group(1)), int(m.group(2)), int(m.group(3)), m.group(4)))
     return sorted(found, key=lambda s: (s.version, s.bucket))
 
 
+def segments(spark: SparkSession, path: str) -> list[Segment]:
+    """Segments of committed versions only."""
+    done = committed_versions(spark, path)
+    return [s for s in _all_segments(spark, path) if s.version in done]
+
+
 def current_segments(segs: Sequence[Segment], version: int | None = None) -> list[Segment]:
     segs = [s for s in segs if version is None or s.version <= version]
     fulls = [s.version for s in segs if s.full]
     if not fulls:
         return []
-    base = max(fulls)
-    best: dict[int, Segment] = {}
-    for s in segs:
-        if s.version >= base and (s.bucket not in best or s.version > best[s.bucket].version):
-            best[s.bucket] = s
-    return [best[b] for b in sorted(best)]
+    floor = max(fulls)
+    live = [s for s in segs if s.version >= floor]
+    out: list[Segment] = []
+    for b in sorted({s.bucket for s in live}):
+        mine = [s for s in live if s.bucket == b]
+        bases = [s for s in mine if s.kind != "add"]
+        base = max(bases, key=lambda s: s.version) if bases else None
+        start = base.version if base else floor - 1
+        out += ([base] if base else []) + [s for s in mine if s.kind == "add" and s.version > start]
+    return out
 
 
 def table_versions(spark: SparkSession, path: str) -> list[int]:
@@ -97,6 +120,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(current_segments(segments(spark, path)))
 
 
+def _read(spark: SparkSession, path: str, segs: Sequence[Segment]) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(*[s.folder(path) for s in segs])
+
+
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     segs = segments(spark, path)
     if version is not None and version not in {s.version for s in segs}:
@@ -104,7 +131,7 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     cur = current_segments(segs, version)
     if not cur:
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.option("mergeSchema", "true").parquet(*[s.folder(path) for s in cur])
+    return _read(spark, path, cur)
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -113,21 +140,30 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: Column,
-           mode: str = "append") -> None:
+def _next_version(spark: SparkSession, path: str) -> int:
+    """Above every version on disk, committed or not, so a crashed write's
+    folders are never reused."""
+    seen = [s.version for s in _all_segments(spark, path)] + list(committed_versions(spark, path))
+    return max(seen, default=0) + 1
+
+
+def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: int,
+           kind: str) -> int:
     label = F.format_string("%05dof%05d", bucket, F.lit(buckets))
-    out = df.withColumn(_BUCKET, label).withColumn(_VERSION, version)
+    out = (df.withColumn(_BUCKET, label)
+             .withColumn(_VERSION, F.lit(f"{version:09d}-{kind}")))
     if buckets > 1:
         # Without this every write task would open a file in every bucket
         # (tasks x buckets small files). REBALANCE lets AQE gather each
         # bucket's rows into tasks of the advisory size and split a hot
         # bucket over several tasks instead of writing it from one.
         out = out.hint("rebalance", _BUCKET)
-    out.write.mode(mode).partitionBy(_BUCKET, _VERSION).parquet(path)
-
-
-def _version_label(version: int, full: bool) -> Column:
-    return F.lit(f"{version:09d}-{'full' if full else 'part'}")
+    out.write.mode("append").partitionBy(_BUCKET, _VERSION).parquet(path)
+    commit = df.sparkSession.createDataFrame([(version, kind, buckets)],
+                                             "version long, kind string, buckets int")
+    commit.coalesce(1).write.mode("errorifexists").parquet(
+        f"{path.rstrip('/')}/{_COMMITS}/{_VERSION}={version:09d}")
+    return version
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequence[str] = (),
@@ -135,27 +171,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequenc
     """Replace the table (``overwrite``) or add rows to it (``append``).
     ``keys`` / ``buckets`` set the bucketing when the table is created; an
     append reuses the table's bucketing. Returns the version written."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
-    segs = segments(spark, path)
-    cur = current_segments(segs)
+    cur = current_segments(segments(spark, path))
+    v = _next_version(spark, path)
     if mode == "append" and cur:
         n = cur[0].buckets
-        bucket = bucket_of(keys, n) if n > 1 else F.lit(0)
         if n > 1 and not keys:
             raise ValueError("append to a bucketed table needs its key columns")
-        pairs = []
-        for s in cur:
-            pairs += [F.lit(s.bucket), F.lit(f"{s.version:09d}-{'full' if s.full else 'part'}")]
-        base = max(s.version for s in segs if s.full)
-        version = F.coalesce(F.create_map(*pairs)[bucket], _version_label(base, True))
-        _write(df, path, bucket, n, version)
-        return max(s.version for s in cur)
-    if mode not in ("overwrite", "append"):
-        raise ValueError(f"unknown mode {mode!r}")
-    v = max((s.version for s in segs), default=0) + 1
+        return _write(df, path, bucket_of(keys, n), n, v, "add")
     n = buckets if keys else 1
-    _write(df, path, bucket_of(keys, n), n, _version_label(v, True))
-    return v
+    return _write(df, path, bucket_of(keys, n), n, v, "full")
 
 
 def _check_unique_source(source: DataFrame, keys: Sequence[str]) -> None:
@@ -179,22 +206,15 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     buckets over ``keys``) when it does not exist. Returns the version."""
     if check_unique:
         _check_unique_source(source, keys)
-    segs = segments(spark, path)
-    cur = current_segments(segs)
+    cur = current_segments(segments(spark, path))
     if not cur:
         return write_table(source, path, "overwrite", keys, buckets)
     n = cur[0].buckets
     bucket = bucket_of(keys, n)
-    touched = sorted(r[0] for r in source.select(bucket.alias("b")).distinct().collect())
-    hit = [s.folder(path) for s in cur if s.bucket in set(touched)]
-    v = max(s.version for s in segs) + 1
-    if hit:
-        target = spark.read.option("mergeSchema", "true").parquet(*hit)
-        merged = merge_rows(target, source, keys)
-    else:
-        merged = source
-    _write(merged, path, bucket_of(keys, n), n, _version_label(v, False))
-    return v
+    touched = {r[0] for r in source.select(bucket.alias("b")).distinct().collect()}
+    hit = [s for s in cur if s.bucket in touched]
+    merged = merge_rows(_read(spark, path, hit), source, keys) if hit else source
+    return _write(merged, path, bucket_of(keys, n), n, _next_version(spark, path), "part")
 
 
 def replace_by_keys(spark: SparkSession, path: str, source: DataFrame,

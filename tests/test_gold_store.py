@@ -53,10 +53,13 @@ def test_write_read_versions(spark, tmp_dir):
     df = spark.range(0, 10).withColumn("v", F.lit("a"))
     assert tables.write_table(df, path) == 1
     assert tables.write_table(df.select("id"), path) == 2           # replace, new schema
-    assert tables.write_table(df.select("id", F.lit(1).alias("w")), path, "append") == 2
+    # an append is its own committed version on top of version 2
+    assert tables.write_table(df.select("id", F.lit(1).alias("w")), path, "append") == 3
     cur = tables.read_table(spark, path)
     assert sorted(cur.columns) == ["id", "w"] and cur.count() == 20
     assert tables.read_table(spark, path, version=1).count() == 10  # time travel
+    assert tables.read_table(spark, path, version=2).columns == ["id"]
+    assert tables.table_versions(spark, path) == [1, 2, 3]
 
 
 def test_upsert_semantics_and_idempotence(spark, tmp_dir):
@@ -118,3 +121,28 @@ def test_register_table_for_named_reads(spark, tmp_dir):
     tables.register_table(spark, "stratum_named_t", path)
     assert spark.read.table("stratum_named_t").count() == 5
     assert spark.sql("SELECT sum(id) AS s FROM stratum_named_t").first()["s"] == 10
+
+
+def test_uncommitted_write_is_invisible(spark, tmp_dir):
+    path = f"{tmp_dir}/crash"
+    tables.write_table(spark.range(0, 10), path)
+    # a write whose job finished but whose commit record never landed
+    spark.range(100, 105).withColumn("bucket", F.lit("00000of00001")) \
+        .withColumn("version", F.lit("000000002-full")) \
+        .write.mode("append").partitionBy("bucket", "version").parquet(path)
+    assert tables.read_table(spark, path).count() == 10
+    assert tables.write_table(spark.range(0, 3), path, "append") == 3   # skips version 2
+    assert tables.read_table(spark, path).count() == 13
+    assert tables.table_versions(spark, path) == [1, 3]
+
+
+def test_append_then_upsert_keeps_appended_rows(spark, tmp_dir):
+    path = f"{tmp_dir}/adds"
+    base = spark.createDataFrame([(i, "a") for i in range(20)], "k int, v string")
+    tables.write_table(base, path, keys=["k"], buckets=4)
+    tables.write_table(spark.createDataFrame([(100, "x")], "k int, v string"), path, "append",
+                       keys=["k"])
+    tables.upsert(spark, path, spark.createDataFrame([(100, "y"), (1, "b")], "k int, v string"),
+                  ["k"])
+    got = dict(map(tuple, tables.read_table(spark, path).collect()))
+    assert len(got) == 21 and got[100] == "y" and got[1] == "b" and got[2] == "a"
