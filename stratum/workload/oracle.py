@@ -316,6 +316,12 @@ SELECT CID,
             WHEN k % 13 = 0 THEN CID END AS _rescued_data
 FROM lines""",
 }
+ORACLE_SQL["version_end_timestamp"] = """
+SELECT a.o_orderkey, a.o_custkey, a.o_orderdate AS start_ts,
+       (SELECT min(b.o_orderdate) FROM orders b
+        WHERE b.o_custkey IS NOT DISTINCT FROM a.o_custkey
+          AND (a.o_orderdate IS NULL OR b.o_orderdate > a.o_orderdate)) AS end_ts
+FROM orders a"""
 ORACLE_SQL["stream_by_name"] = feed_cte("cust_info") + """
 SELECT *, CASE WHEN cst_create_date >= '1995-01-01' THEN '{"cst_source":"crm"}' END AS _rescued_data
 FROM cust_info"""

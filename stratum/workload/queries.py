@@ -156,6 +156,14 @@ def version_end_date(spark, sf):
                                 open_value=dates.as_of_date(AS_OF))
 
 
+def version_end_timestamp(spark, sf):
+    """Same rule on timestamp starts: takes the range-partitioned path, where
+    a customer with very many orders is split over several tasks."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey",
+                                               F.col("o_orderdate").alias("start_ts"))
+    return versions.version_end(orders, "o_custkey", "start_ts", "end_ts")
+
+
 def dense_key(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey",
@@ -343,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "clean_loc_a101": clean_loc_a101,
     "clean_px_cat": clean_px_cat,
     "version_end_date": version_end_date,
+    "version_end_timestamp": version_end_timestamp,
     "dense_key": dense_key,
     "left_enrich": left_enrich,
     "dim_customers": dim_customers,
