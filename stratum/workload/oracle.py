@@ -322,6 +322,18 @@ SELECT a.o_orderkey, a.o_custkey, a.o_orderdate AS start_ts,
         WHERE b.o_custkey IS NOT DISTINCT FROM a.o_custkey
           AND (a.o_orderdate IS NULL OR b.o_orderdate > a.o_orderdate)) AS end_ts
 FROM orders a"""
+ORACLE_SQL["keep_latest_hot_groups"] = """
+SELECT flag_status, l_returnflag, l_linestatus, l_shipdate, l_orderkey, l_linenumber, l_partkey,
+       l_quantity
+FROM (SELECT concat_ws('|', l_returnflag, l_linestatus) AS flag_status, *,
+             row_number() OVER (
+                 PARTITION BY concat_ws('|', l_returnflag, l_linestatus)
+                 ORDER BY l_shipdate DESC NULLS LAST, l_returnflag NULLS FIRST,
+                          l_linestatus NULLS FIRST, l_orderkey NULLS FIRST,
+                          l_linenumber NULLS FIRST, l_partkey NULLS FIRST,
+                          l_quantity NULLS FIRST) AS rn
+      FROM lineitem) t
+WHERE rn = 1"""
 ORACLE_SQL["stream_by_name"] = feed_cte("cust_info") + """
 SELECT *, CASE WHEN cst_create_date >= '1995-01-01' THEN '{"cst_source":"crm"}' END AS _rescued_data
 FROM cust_info"""

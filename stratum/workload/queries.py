@@ -35,6 +35,17 @@ def keep_latest(spark, sf):
     return dedup.keep_latest(driver_table(spark, sf, "events"), "user_id", "ts")
 
 
+def keep_latest_hot_groups(spark, sf):
+    """Newest line per (return flag, line status): a handful of groups, each
+    holding a large share of all lines - the partial group limit keeps one
+    row per group and map task before the shuffle."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
+        "l_quantity")
+    key = F.concat_ws("|", "l_returnflag", "l_linestatus").alias("flag_status")
+    return dedup.keep_latest(lines.select(key, *lines.columns), "flag_status", "l_shipdate")
+
+
 def keep_any_deterministic(spark, sf):
     orders = table(spark, sf, "orders")
     one = dedup.keep_first(orders, ["o_custkey"], [F.col("o_orderkey").asc()])
@@ -330,6 +341,7 @@ def star_build_stored(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "keep_latest": keep_latest,
+    "keep_latest_hot_groups": keep_latest_hot_groups,
     "keep_any_deterministic": keep_any_deterministic,
     "regex_filter": regex_filter,
     "map_codes_fill": map_codes_fill,

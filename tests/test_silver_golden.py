@@ -160,3 +160,17 @@ def test_audit_column_appended(spark):
     df = silver.clean_px_cat(bronze(spark, "px_cat_g1v2", [("A", "B", "C", "D")]))
     assert df.columns[-1] == "DWH_update_date"
     assert "_rescued_data" not in df.columns
+
+
+def test_same_results_with_ansi_off(spark):
+    """Sessions may run with ANSI mode off; the tolerant functions must give
+    the same silver rows either way."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        test_sales_repair_table(spark)
+        test_sales_dates_and_ids(spark)
+        test_prd_info_keys_versions(spark)
+        test_cust_az12(spark)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
