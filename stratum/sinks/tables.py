@@ -67,32 +67,51 @@ class Segment:
 
 
 def _listing(spark: SparkSession, path: str) -> list[str]:
+    """File paths under ``path`` (the ``binaryFile`` source lists files
+    without opening them; no job runs)."""
     try:
-        return spark.read.parquet(path).inputFiles()
+        return spark.read.format("binaryFile").load(path).inputFiles()
     except AnalysisException as exc:
-        if (exc.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if (exc.getCondition() or "") == "PATH_NOT_FOUND":
             return []
         raise
 
 
-def committed_versions(spark: SparkSession, path: str) -> set[int]:
-    return {int(m.group(1)) for f in _listing(spark, f"{path.rstrip('/')}/{_COMMITS}")
-            if (m := _COMMIT_RE.search(f))}
+@dataclass(frozen=True)
+class _State:
+    on_disk: list[Segment]       # every segment folder, committed or not
+    committed: set[int]
+
+    @property
+    def segments(self) -> list[Segment]:
+        return [s for s in self.on_disk if s.version in self.committed]
+
+    @property
+    def next_version(self) -> int:
+        """Above every version on disk, committed or not, so a crashed
+        write's folders are never reused."""
+        seen = [s.version for s in self.on_disk] + list(self.committed)
+        return max(seen, default=0) + 1
 
 
-def _all_segments(spark: SparkSession, path: str) -> list[Segment]:
+def _state(spark: SparkSession, path: str) -> _State:
     found = set()
     for f in _listing(spark, path):
         m = _SEGMENT_RE.search(f)
         if m:
             found.add(Segment(int(m.group(1)), int(m.group(2)), int(m.group(3)), m.group(4)))
-    return sorted(found, key=lambda s: (s.version, s.bucket))
+    committed = {int(m.group(1)) for f in _listing(spark, f"{path.rstrip('/')}/{_COMMITS}")
+                 if (m := _COMMIT_RE.search(f))}
+    return _State(sorted(found, key=lambda s: (s.version, s.bucket)), committed)
+
+
+def committed_versions(spark: SparkSession, path: str) -> set[int]:
+    return _state(spark, path).committed
 
 
 def segments(spark: SparkSession, path: str) -> list[Segment]:
     """Segments of committed versions only."""
-    done = committed_versions(spark, path)
-    return [s for s in _all_segments(spark, path) if s.version in done]
+    return _state(spark, path).segments
 
 
 def current_segments(segs: Sequence[Segment], version: int | None = None) -> list[Segment]:
@@ -140,13 +159,6 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _next_version(spark: SparkSession, path: str) -> int:
-    """Above every version on disk, committed or not, so a crashed write's
-    folders are never reused."""
-    seen = [s.version for s in _all_segments(spark, path)] + list(committed_versions(spark, path))
-    return max(seen, default=0) + 1
-
-
 def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: int,
            kind: str) -> int:
     label = F.format_string("%05dof%05d", bucket, F.lit(buckets))
@@ -174,8 +186,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequenc
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
-    cur = current_segments(segments(spark, path))
-    v = _next_version(spark, path)
+    state = _state(spark, path)
+    cur = current_segments(state.segments)
+    v = state.next_version
     if mode == "append" and cur:
         n = cur[0].buckets
         if n > 1 and not keys:
@@ -206,7 +219,8 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     buckets over ``keys``) when it does not exist. Returns the version."""
     if check_unique:
         _check_unique_source(source, keys)
-    cur = current_segments(segments(spark, path))
+    state = _state(spark, path)
+    cur = current_segments(state.segments)
     if not cur:
         return write_table(source, path, "overwrite", keys, buckets)
     n = cur[0].buckets
@@ -214,7 +228,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     touched = {r[0] for r in source.select(bucket.alias("b")).distinct().collect()}
     hit = [s for s in cur if s.bucket in touched]
     merged = merge_rows(_read(spark, path, hit), source, keys) if hit else source
-    return _write(merged, path, bucket_of(keys, n), n, _next_version(spark, path), "part")
+    return _write(merged, path, bucket_of(keys, n), n, state.next_version, "part")
 
 
 def replace_by_keys(spark: SparkSession, path: str, source: DataFrame,
