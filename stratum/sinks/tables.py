@@ -37,6 +37,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,19 +217,28 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
            check_unique: bool = True, buckets: int = 1) -> int:
     """Update matched rows, insert new ones, keep the rest, rewriting only
     the buckets the source touches. Creates the table (with ``buckets``
-    buckets over ``keys``) when it does not exist. Returns the version."""
-    if check_unique:
-        _check_unique_source(source, keys)
-    state = _state(spark, path)
-    cur = current_segments(state.segments)
-    if not cur:
-        return write_table(source, path, "overwrite", keys, buckets)
-    n = cur[0].buckets
-    bucket = bucket_of(keys, n)
-    touched = {r[0] for r in source.select(bucket.alias("b")).distinct().collect()}
-    hit = [s for s in cur if s.bucket in touched]
-    merged = merge_rows(_read(spark, path, hit), source, keys) if hit else source
-    return _write(merged, path, bucket_of(keys, n), n, state.next_version, "part")
+    buckets over ``keys``) when it does not exist. Returns the version.
+
+    The source is used by up to three jobs (uniqueness check, touched
+    buckets, merge), so it is kept (memory, spilling to disk) for the
+    duration of the call instead of being recomputed from its plan; a lost
+    executor only means its blocks are rebuilt from lineage."""
+    src = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if check_unique:
+            _check_unique_source(src, keys)
+        state = _state(spark, path)
+        cur = current_segments(state.segments)
+        if not cur:
+            return write_table(src, path, "overwrite", keys, buckets)
+        n = cur[0].buckets
+        bucket = bucket_of(keys, n)
+        touched = {r[0] for r in src.select(bucket.alias("b")).distinct().collect()}
+        hit = [s for s in cur if s.bucket in touched]
+        merged = merge_rows(_read(spark, path, hit), src, keys) if hit else src
+        return _write(merged, path, bucket_of(keys, n), n, state.next_version, "part")
+    finally:
+        src.unpersist()
 
 
 def replace_by_keys(spark: SparkSession, path: str, source: DataFrame,
