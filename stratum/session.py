@@ -78,3 +78,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 << 20,
+                   broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Session settings sized for a job reading ``input_bytes`` on a cluster
+    with ``total_cores`` task slots.
+
+    Shuffle partitions are sized so a reducer handles about
+    ``target_partition_bytes`` (rounded up to whole waves of the cluster),
+    AQE coalesces the small ones and splits skewed ones, scans are split at
+    the same size, and broadcasts stay under a fixed bound that does not
+    grow with the data.
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    waves = max(1, -(-by_size // total_cores))
+    partitions = max(total_cores, waves * total_cores)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
