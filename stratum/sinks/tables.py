@@ -141,7 +141,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _read(spark: SparkSession, path: str, segs: Sequence[Segment]) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(*[s.folder(path) for s in segs])
+    """Rows of the given segments. Reading relative to the table root keeps
+    partition discovery consistent across segments (value folders such as
+    ``order_year=`` inside them become columns and prune on filters); the
+    two storage columns are dropped."""
+    return (spark.read.option("mergeSchema", "true").option("basePath", path)
+            .parquet(*[s.folder(path) for s in segs]).drop(_BUCKET, _VERSION))
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -161,7 +166,7 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: int,
-           kind: str) -> int:
+           kind: str, partition_by: Sequence[str] = ()) -> int:
     label = F.format_string("%05dof%05d", bucket, F.lit(buckets))
     out = (df.withColumn(_BUCKET, label)
              .withColumn(_VERSION, F.lit(f"{version:09d}-{kind}")))
@@ -171,7 +176,7 @@ def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: int,
         # bucket's rows into tasks of the advisory size and split a hot
         # bucket over several tasks instead of writing it from one.
         out = out.hint("rebalance", _BUCKET)
-    out.write.mode("append").partitionBy(_BUCKET, _VERSION).parquet(path)
+    out.write.mode("append").partitionBy(_BUCKET, _VERSION, *partition_by).parquet(path)
     commit = df.sparkSession.createDataFrame([(version, kind, buckets)],
                                              "version long, kind string, buckets int")
     commit.coalesce(1).write.mode("errorifexists").parquet(
@@ -180,10 +185,13 @@ def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: int,
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequence[str] = (),
-                buckets: int = 1) -> int:
+                buckets: int = 1, partition_by: Sequence[str] = ()) -> int:
     """Replace the table (``overwrite``) or add rows to it (``append``).
     ``keys`` / ``buckets`` set the bucketing when the table is created; an
-    append reuses the table's bucketing. Returns the version written."""
+    append reuses the table's bucketing. ``partition_by`` adds value folders
+    (e.g. a year) inside every segment, so filters on those columns prune
+    files; every write to a table must use the same ``partition_by``.
+    Returns the version written."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
@@ -194,9 +202,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequenc
         n = cur[0].buckets
         if n > 1 and not keys:
             raise ValueError("append to a bucketed table needs its key columns")
-        return _write(df, path, bucket_of(keys, n), n, v, "add")
+        return _write(df, path, bucket_of(keys, n), n, v, "add", partition_by)
     n = buckets if keys else 1
-    return _write(df, path, bucket_of(keys, n), n, v, "full")
+    return _write(df, path, bucket_of(keys, n), n, v, "full", partition_by)
 
 
 def _check_unique_source(source: DataFrame, keys: Sequence[str]) -> None:
@@ -214,7 +222,7 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-           check_unique: bool = True, buckets: int = 1) -> int:
+           check_unique: bool = True, buckets: int = 1, partition_by: Sequence[str] = ()) -> int:
     """Update matched rows, insert new ones, keep the rest, rewriting only
     the buckets the source touches. Creates the table (with ``buckets``
     buckets over ``keys``) when it does not exist. Returns the version.
@@ -230,22 +238,24 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
         state = _state(spark, path)
         cur = current_segments(state.segments)
         if not cur:
-            return write_table(src, path, "overwrite", keys, buckets)
+            return write_table(src, path, "overwrite", keys, buckets, partition_by)
         n = cur[0].buckets
         bucket = bucket_of(keys, n)
         touched = {r[0] for r in src.select(bucket.alias("b")).distinct().collect()}
         hit = [s for s in cur if s.bucket in touched]
         merged = merge_rows(_read(spark, path, hit), src, keys) if hit else src
-        return _write(merged, path, bucket_of(keys, n), n, state.next_version, "part")
+        return _write(merged, path, bucket_of(keys, n), n, state.next_version, "part",
+                      partition_by)
     finally:
         src.unpersist()
 
 
 def replace_by_keys(spark: SparkSession, path: str, source: DataFrame,
-                    keys: Sequence[str], buckets: int = 1) -> int:
+                    keys: Sequence[str], buckets: int = 1, partition_by: Sequence[str] = ()) -> int:
     """Replace every target row sharing a key with the source rows of that
     key (e.g. all lines of an order), keep the other target rows."""
-    return upsert(spark, path, source, keys, check_unique=False, buckets=buckets)
+    return upsert(spark, path, source, keys, check_unique=False, buckets=buckets,
+                  partition_by=partition_by)
 
 
 def register_table(spark: SparkSession, name: str, path: str,

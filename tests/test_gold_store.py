@@ -146,3 +146,20 @@ def test_append_then_upsert_keeps_appended_rows(spark, tmp_dir):
                   ["k"])
     got = dict(map(tuple, tables.read_table(spark, path).collect()))
     assert len(got) == 21 and got[100] == "y" and got[1] == "b" and got[2] == "a"
+
+
+def test_partitioned_segments_prune_by_value(spark, tmp_dir):
+    import datetime as dt
+    path = f"{tmp_dir}/by_year"
+    rows = [(f"SO{i}", dt.date(2010 + i % 3, 1, 1), float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "order_number string, order_date date, sales double") \
+        .withColumn("order_year", F.year("order_date"))
+    tables.write_table(df, path, keys=["order_number"], buckets=4, partition_by=["order_year"])
+    tables.replace_by_keys(spark, path, df.where("order_number = 'SO1'")
+                           .withColumn("sales", F.lit(99.0)), ["order_number"],
+                           partition_by=["order_year"])
+    cur = tables.read_table(spark, path)
+    assert cur.count() == 30 and cur.where("order_number = 'SO1'").first()["sales"] == 99.0
+    q = cur.where(F.col("order_year") == 2011).select("sales")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_year" in plan and q.count() == 10

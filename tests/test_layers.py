@@ -33,7 +33,7 @@ def test_rerun_adds_nothing_in_both_modes(spark, tmp_dir):
     assert set(third.ingested_rows.values()) == {0}
     assert _counts(spark, roots) == before
     gold_cols = tables.read_table(spark, roots.gold_table("fact_sales")).columns
-    assert gold_cols[-1] == "dwh_update_date"
+    assert gold_cols[-2:] == ["dwh_update_date", layers.FACT_PARTITION]
 
 
 def test_by_name_build_gives_same_gold(spark, tmp_dir):
