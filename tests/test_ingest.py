@@ -60,3 +60,14 @@ def test_by_name_ingest_maps_columns_and_rescues(spark, tmp_dir):
     by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
     out = by_name.read_bronze_by_name(spark, bronze)
     assert out.count() == 8 and out.where("CID = 'AW-8' AND CNTRY = 'USA'").count() == 1
+
+
+def test_by_name_header_with_byte_order_mark(spark, tmp_dir):
+    from stratum.streaming import by_name
+
+    assert by_name.header_names("﻿CID, CNTRY") == ["CID", "CNTRY"]
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    write(raw, "bom.csv", "﻿CNTRY,CID\nDE,AW-1\n")
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
+    row = by_name.read_bronze_by_name(spark, bronze).first()
+    assert (row["CID"], row["CNTRY"], row["_rescued_data"]) == ("AW-1", "DE", None)
