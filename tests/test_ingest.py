@@ -71,3 +71,19 @@ def test_by_name_header_with_byte_order_mark(spark, tmp_dir):
     by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
     row = by_name.read_bronze_by_name(spark, bronze).first()
     assert (row["CID"], row["CNTRY"], row["_rescued_data"]) == ("AW-1", "DE", None)
+
+
+def test_processed_raw_files_are_archived(spark, tmp_dir):
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    archive = f"{tmp_dir}/archive"
+    for i in range(3):
+        write(raw, f"f{i}.csv", f"CID,CNTRY\nAW-{i},DE\n")
+    first = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300,
+                               max_files_per_trigger=1, archive_dir=archive)
+    assert first.rows == 3
+    write(raw, "f3.csv", "CID,CNTRY\nAW-3,DE\n")
+    second = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300,
+                                max_files_per_trigger=1, archive_dir=archive)
+    assert second.rows == 1
+    assert os.listdir(raw) == ["f3.csv"]          # everything before the last batch moved
+    assert ingest.read_bronze(spark, bronze).count() == 4
