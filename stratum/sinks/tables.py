@@ -5,6 +5,7 @@ immutable segments plus a commit log::
 
     <path>/bucket=<b>of<B>/version=<v>-full|part|add/part-*.parquet
     <path>/_commits/version=<v>/part-*.parquet      (one row per commit)
+    <path>/_floor/floor=<v>/part-*.parquet          (oldest readable version)
 
 Rows are assigned to one of ``B`` buckets by a hash of the table's key
 columns (``B = 1`` without keys). Every change writes new segment folders
@@ -26,7 +27,8 @@ higher version number. Nothing is modified in place.
 The current state of a bucket is its newest ``full``/``part`` segment at or
 after the newest ``full`` version, plus the ``add`` segments written after
 it. Segment folders are found from the file listing, without running a job.
-Old segments stay for time travel (``read_table(version=)``).
+Old segments stay for time travel (``read_table(version=)``) until
+``vacuum`` frees the ones no retained version can read.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ from pyspark.sql import functions as F
 
 _SEGMENT_RE = re.compile(r"/bucket=(\d+)of(\d+)/version=(\d+)-(full|part|add)(/|$)")
 _COMMIT_RE = re.compile(r"/_commits/version=(\d+)(/|$)")
+_FLOOR_RE = re.compile(r"/_floor/floor=(\d+)(/|$)")
 _BUCKET, _VERSION, _COMMITS = "bucket", "version", "_commits"
 
 
@@ -82,6 +85,7 @@ def _listing(spark: SparkSession, path: str) -> list[str]:
 class _State:
     on_disk: list[Segment]       # every segment folder, committed or not
     committed: set[int]
+    floor: int = 0               # versions below this were vacuumed
 
     @property
     def segments(self) -> list[Segment]:
@@ -101,9 +105,11 @@ def _state(spark: SparkSession, path: str) -> _State:
         m = _SEGMENT_RE.search(f)
         if m:
             found.add(Segment(int(m.group(1)), int(m.group(2)), int(m.group(3)), m.group(4)))
-    committed = {int(m.group(1)) for f in _listing(spark, f"{path.rstrip('/')}/{_COMMITS}")
-                 if (m := _COMMIT_RE.search(f))}
-    return _State(sorted(found, key=lambda s: (s.version, s.bucket)), committed)
+    log = _listing(spark, f"{path.rstrip('/')}/{_COMMITS}")
+    committed = {int(m.group(1)) for f in log if (m := _COMMIT_RE.search(f))}
+    marks = _listing(spark, f"{path.rstrip('/')}/_floor")
+    floor = max((int(m.group(1)) for f in marks if (m := _FLOOR_RE.search(f))), default=0)
+    return _State(sorted(found, key=lambda s: (s.version, s.bucket)), committed, floor)
 
 
 def committed_versions(spark: SparkSession, path: str) -> set[int]:
@@ -133,7 +139,9 @@ def current_segments(segs: Sequence[Segment], version: int | None = None) -> lis
 
 
 def table_versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted({s.version for s in segments(spark, path)})
+    """Versions that can still be read (time travel stops at a vacuum)."""
+    state = _state(spark, path)
+    return sorted({s.version for s in state.segments if s.version >= state.floor})
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -150,9 +158,11 @@ def _read(spark: SparkSession, path: str, segs: Sequence[Segment]) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    segs = segments(spark, path)
-    if version is not None and version not in {s.version for s in segs}:
-        raise ValueError(f"version {version} not in {sorted({s.version for s in segs})}")
+    state = _state(spark, path)
+    segs = state.segments
+    readable = sorted({s.version for s in segs if s.version >= state.floor})
+    if version is not None and version not in readable:
+        raise ValueError(f"version {version} not in {readable}")
     cur = current_segments(segs, version)
     if not cur:
         raise FileNotFoundError(f"no table at {path}")
@@ -267,3 +277,42 @@ def register_table(spark: SparkSession, name: str, path: str,
     df = read_table(spark, path, version)
     df.createOrReplaceTempView(name)
     return df
+
+
+def _erase(spark: SparkSession, folder: str) -> None:
+    """Remove a folder's data files with a plain overwrite by an empty frame
+    (Spark deletes the old files; one empty placeholder file remains)."""
+    spark.createDataFrame([], "vacuumed boolean").coalesce(1) \
+        .write.mode("overwrite").parquet(folder)
+
+
+def vacuum(spark: SparkSession, path: str, retain_versions: int = 1) -> int:
+    """Free the storage of segments no retained version can read.
+
+    Keeps every segment that is current as of one of the newest
+    ``retain_versions`` versions, so time travel within that window still
+    works; older versions become unreadable. The new floor is written to the
+    commit log *before* anything is erased, so readers never see a version
+    whose files are being removed. Orphans of failed writes older than the
+    newest commit are erased too; newer ones may belong to a write still in
+    progress and are left alone. Returns the number of segments erased.
+    """
+    state = _state(spark, path)
+    segs = state.segments
+    versions = sorted({s.version for s in segs if s.version >= state.floor})
+    if not versions:
+        return 0
+    retained = versions[-max(1, retain_versions):]
+    keep: set[Segment] = set()
+    for v in retained:
+        keep |= set(current_segments(segs, v))
+    newest = max(state.committed)
+    orphans = [s for s in state.on_disk if s.version not in state.committed and s.version < newest]
+    drop = [s for s in segs if s not in keep] + orphans
+    floor = min(retained)
+    if floor > state.floor:
+        spark.createDataFrame([(floor,)], "floor long").coalesce(1).write.mode("overwrite") \
+            .parquet(f"{path.rstrip('/')}/_floor/floor={floor:09d}")
+    for s in drop:
+        _erase(spark, s.folder(path))
+    return len(drop)

@@ -163,3 +163,26 @@ def test_partitioned_segments_prune_by_value(spark, tmp_dir):
     q = cur.where(F.col("order_year") == 2011).select("sales")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year" in plan and q.count() == 10
+
+
+def test_vacuum_frees_stale_segments_and_keeps_retained_versions(spark, tmp_dir):
+    path = f"{tmp_dir}/vac"
+    base = spark.range(0, 200).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    tables.write_table(base, path, keys=["k"], buckets=4)                          # v1
+    tables.upsert(spark, path, spark.createDataFrame([(1, "b")], "k long, v string"), ["k"])
+    tables.upsert(spark, path, spark.createDataFrame([(2, "c")], "k long, v string"), ["k"])
+    before = dict(map(tuple, tables.read_table(spark, path).collect()))
+    v2_view = dict(map(tuple, tables.read_table(spark, path, version=2).collect()))
+    erased = tables.vacuum(spark, path, retain_versions=2)
+    assert erased >= 1
+    assert dict(map(tuple, tables.read_table(spark, path).collect())) == before
+    assert dict(map(tuple, tables.read_table(spark, path, version=2).collect())) == v2_view
+    assert tables.table_versions(spark, path) == [2, 3]
+    with pytest.raises(ValueError):
+        tables.read_table(spark, path, version=1)
+    # later writes keep working on top of the vacuumed table
+    tables.upsert(spark, path, spark.createDataFrame([(3, "d")], "k long, v string"), ["k"])
+    assert tables.read_table(spark, path).count() == 200
+    assert tables.vacuum(spark, path, retain_versions=1) >= 1
+    assert dict(map(tuple, tables.read_table(spark, path).where("k < 4").collect())) == \
+        {0: "a", 1: "b", 2: "c", 3: "d"}

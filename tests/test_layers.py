@@ -35,6 +35,9 @@ def test_rerun_adds_nothing_in_both_modes(spark, tmp_dir):
     gold_cols = tables.read_table(spark, roots.gold_table("fact_sales")).columns
     assert gold_cols[-2:] == ["dwh_update_date", layers.FACT_PARTITION]
 
+    erased = layers.vacuum_all(spark, roots, retain_versions=1)
+    assert sum(erased.values()) > 0 and _counts(spark, roots) == before
+
 
 def test_by_name_build_gives_same_gold(spark, tmp_dir):
     a = layers.Roots(f"{tmp_dir}/a/raw", f"{tmp_dir}/a/bronze", f"{tmp_dir}/a/silver",
