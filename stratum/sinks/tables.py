@@ -72,9 +72,11 @@ class Segment:
 
 def _listing(spark: SparkSession, path: str) -> list[str]:
     """File paths under ``path`` (the ``binaryFile`` source lists files
-    without opening them; no job runs)."""
+    without opening them; no job runs; partition discovery is off because
+    only the paths matter)."""
     try:
-        return spark.read.format("binaryFile").load(path).inputFiles()
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .load(path).inputFiles())
     except AnalysisException as exc:
         if (exc.getCondition() or "") == "PATH_NOT_FOUND":
             return []
