@@ -284,17 +284,17 @@ LEFT JOIN dim_products pr ON sd.sls_prd_key = pr.product_number
 LEFT JOIN dim_customers cr ON sd.sls_cust_id = cr.customer_id""",
 
     "upsert_dim": """
-WITH target AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0),
+WITH target AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
 source AS (SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal + 1 AS c_acctbal,
                   c_mktsegment
-           FROM customer WHERE c_custkey % 2 = 0)
+           FROM customer WHERE c_acctbal > 0)
 SELECT * FROM target WHERE c_custkey NOT IN (SELECT c_custkey FROM source)
 UNION ALL SELECT * FROM source""",
 
     "replace_by_order": """
 WITH target AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem),
 source AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity + 1 AS l_quantity FROM lineitem
-           WHERE l_orderkey % 5 = 0 AND l_linenumber <= 2)
+           WHERE l_returnflag = 'R' AND l_linenumber <= 2)
 SELECT * FROM target WHERE l_orderkey NOT IN (SELECT l_orderkey FROM source)
 UNION ALL SELECT * FROM source""",
 

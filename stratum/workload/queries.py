@@ -223,8 +223,9 @@ def fact_sales(spark, sf):
 
 def _customer_versions(spark, sf):
     customer = driver_table(spark, sf, "customer")
-    target = customer.where(F.col("c_custkey") % 3 != 0)
-    source = customer.where(F.col("c_custkey") % 2 == 0).select(
+    # old snapshot: every segment but one; changes: customers in credit
+    target = customer.where(F.col("c_mktsegment") != "BUILDING")
+    source = customer.where(F.col("c_acctbal") > 0).select(
         "c_custkey", F.upper("c_name").alias("c_name"), "c_nationkey",
         (F.col("c_acctbal") + 1).alias("c_acctbal"), "c_mktsegment")
     return target, source
@@ -241,8 +242,11 @@ def upsert_dim(spark, sf):
 def replace_by_order(spark, sf):
     lineitem = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    source = (lineitem.where((F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") <= 2))
-              .withColumn("l_quantity", F.col("l_quantity") + 1))
+    # a corrected order keeps only its first two returned lines
+    returned = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
+    source = (returned.where(F.col("l_linenumber") <= 2)
+              .select("l_orderkey", "l_linenumber", "l_partkey",
+                      (F.col("l_quantity") + 1).alias("l_quantity")))
     path = scratch_path(spark, "replace_by_order")
     tables.write_table(lineitem, path, "overwrite", keys=["l_orderkey"], buckets=8)
     tables.replace_by_keys(spark, path, source, ["l_orderkey"])
