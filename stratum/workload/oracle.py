@@ -255,7 +255,9 @@ SELECT a.o_orderkey, a.o_custkey, a.start_date,
 FROM o a""",
 
     "dense_key": """
-WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderdate END AS order_ts
+WITH o AS (SELECT o_orderkey,
+                  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderdate END
+                  AS order_ts
            FROM orders)
 SELECT o_orderkey, order_ts,
        CAST(row_number() OVER (ORDER BY order_ts NULLS FIRST, o_orderkey) AS BIGINT) AS row_key
@@ -305,16 +307,12 @@ UNION ALL SELECT p_partkey, p_name, p_size FROM part""",
     "stream_ingest": feed_cte("cust_info") + """
 SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM cust_info""",
 
-    "stream_rescue": feed_cte("loc_a101") + r"""
-, lines AS (
-  SELECT CID, COALESCE(CNTRY, '') AS country,
-         CAST(regexp_extract(CID, '(\d+)$', 1) AS BIGINT) AS k
-  FROM loc_a101)
+    "stream_rescue": feed_cte("loc_a101") + """
 SELECT CID,
-       CASE WHEN k % 11 <> 0 AND k % 13 = 0 THEN NULL ELSE NULLIF(country, '') END AS CNTRY,
-       CASE WHEN k % 11 = 0 THEN CID || ',' || country || ',EXTRA'
-            WHEN k % 13 = 0 THEN CID END AS _rescued_data
-FROM lines""",
+       CASE WHEN CNTRY = 'Australia' THEN NULL ELSE NULLIF(COALESCE(CNTRY, ''), '') END AS CNTRY,
+       CASE WHEN CNTRY = 'USA' THEN CID || ',' || CNTRY || ',EXTRA'
+            WHEN CNTRY = 'Australia' THEN CID END AS _rescued_data
+FROM loc_a101""",
 }
 ORACLE_SQL["version_end_timestamp"] = """
 SELECT a.o_orderkey, a.o_custkey, a.o_orderdate AS start_ts,

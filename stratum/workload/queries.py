@@ -178,7 +178,8 @@ def version_end_timestamp(spark, sf):
 def dense_key(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None))
+        # orders without a stated priority carry no usable date here (nulls first)
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None))
          .otherwise(F.col("o_orderdate")).alias("order_ts"))
     return surrogate.dense_key(orders, [F.col("order_ts").asc_nulls_first(),
                                         F.col("o_orderkey").asc()], "row_key")
@@ -289,12 +290,12 @@ def stream_ingest(spark, sf):
 
 def stream_rescue(spark, sf):
     """Lines with an extra or a missing token keep their text in
-    ``_rescued_data``."""
+    ``_rescued_data``: locations in the USA get an extra token, those in
+    Australia lose their country token."""
     r5 = raw_feed(spark, sf, "loc_a101")
-    key = F.regexp_extract("CID", r"(\d+)$", 1).cast("bigint")
     country = F.coalesce("CNTRY", F.lit(""))
-    line = (F.when(key % 11 == 0, F.concat_ws(",", "CID", country, F.lit("EXTRA")))
-             .when(key % 13 == 0, F.col("CID"))
+    line = (F.when(F.col("CNTRY") == "USA", F.concat_ws(",", "CID", country, F.lit("EXTRA")))
+             .when(F.col("CNTRY") == "Australia", F.col("CID"))
              .otherwise(F.concat_ws(",", "CID", country)))
     root = scratch_path(spark, "rescue")
     raw, bronze, ckpt = f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint"
