@@ -318,3 +318,22 @@ def vacuum(spark: SparkSession, path: str, retain_versions: int = 1) -> int:
     for s in drop:
         _erase(spark, s.folder(path))
     return len(drop)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the data files under ``path`` - one small job that
+    reads file lengths from the listing, never file contents."""
+    try:
+        row = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+               .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first())
+    except AnalysisException as exc:
+        if (exc.getCondition() or "") == "PATH_NOT_FOUND":
+            return 0
+        raise
+    return int(row["n"])
+
+
+def buckets_for(size_bytes: int, bytes_per_bucket: int = 1 << 30, limit: int = 65536) -> int:
+    """Bucket count giving about ``bytes_per_bucket`` per bucket: an upsert
+    then rewrites whole buckets of roughly that size, whatever the table's."""
+    return max(1, min(limit, -(-size_bytes // bytes_per_bucket)))

@@ -186,3 +186,13 @@ def test_vacuum_frees_stale_segments_and_keeps_retained_versions(spark, tmp_dir)
     assert tables.vacuum(spark, path, retain_versions=1) >= 1
     assert dict(map(tuple, tables.read_table(spark, path).where("k < 4").collect())) == \
         {0: "a", 1: "b", 2: "c", 3: "d"}
+
+
+def test_bucket_count_follows_size(spark, tmp_dir):
+    assert tables.buckets_for(0) == 1
+    assert tables.buckets_for(5 << 30) == 5
+    assert tables.buckets_for(100 << 40) == 65536
+    path = f"{tmp_dir}/sized"
+    assert tables.stored_bytes(spark, path) == 0
+    tables.write_table(spark.range(0, 1000), path)
+    assert tables.stored_bytes(spark, path) > 0
