@@ -196,3 +196,53 @@ def test_bucket_count_follows_size(spark, tmp_dir):
     assert tables.stored_bytes(spark, path) == 0
     tables.write_table(spark.range(0, 1000), path)
     assert tables.stored_bytes(spark, path) > 0
+
+
+def test_dim_customers_with_repeated_erp_ids_matches_all_pairs_join(spark):
+    import random
+    from pyspark.sql import Window as W
+
+    from stratum.plans import gold as g
+
+    rnd = random.Random(9)
+    genders = ["Male", "Female", "Unknown", "n/a", None]
+    ci_rows = [(i % 40, f"AW{i % 45}", f"f{i % 3}", "l", rnd.choice(["Married", "Single"]),
+                rnd.choice(["Male", "Female", "Unknown", ""]),
+                D(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 3))) for i in range(120)]
+    ca_rows = [(f"AW{rnd.randint(0, 50)}" if i % 17 else None,
+                None if i % 7 == 0 else D(1950, 1, 1) + dt.timedelta(days=rnd.randint(0, 9000)),
+                rnd.choice(genders)) for i in range(600)]
+    ca_rows += [("AW1", D(1960, 1, 1) + dt.timedelta(days=i % 50), "Female") for i in range(2000)]
+    la_rows = [(f"AW{rnd.randint(0, 50)}", rnd.choice(["Germany", "France", None, "Unknown"]))
+               for i in range(400)]
+    ci = spark.createDataFrame(ci_rows, CI)
+    ca = spark.createDataFrame(ca_rows, "cid string, bdate date, gen string")
+    la = spark.createDataFrame(la_rows, "cid string, cntry string")
+
+    ours = {r["customer_id"]: tuple(r) for r in g.dim_customers(ci, ca, la).collect()}
+
+    # reference: every pair of matching rows, then the same de-dup and numbering
+    c, a, l_ = ci.alias("c"), ca.alias("a"), la.alias("l")
+    pairs = (c.join(a, F.col("c.cst_key") == F.col("a.cid"), "left")
+              .join(l_, F.col("c.cst_key") == F.col("l.cid"), "left")
+              .select(F.col("c.cst_id").alias("customer_id"),
+                      F.col("c.cst_key").alias("customer_number"),
+                      F.col("c.cst_firstname").alias("first_name"),
+                      F.col("c.cst_lastname").alias("last_name"),
+                      F.col("l.cntry").alias("country"),
+                      F.col("c.cst_marital_status").alias("marital_status"),
+                      F.when(F.col("c.cst_gndr") != "Unknown", F.col("c.cst_gndr"))
+                       .otherwise(F.coalesce(F.col("a.gen"), F.lit("Unknown"))).alias("gender"),
+                      F.col("a.bdate").alias("birth_date"),
+                      F.col("c.cst_create_date").alias("created_date")))
+    w = W.partitionBy("customer_id").orderBy(
+        F.col("created_date").desc_nulls_last(),
+        *[F.col(x).asc_nulls_first() for x in ("customer_number", "first_name", "last_name",
+                                               "country", "marital_status", "gender",
+                                               "birth_date")])
+    best = pairs.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    ref = best.withColumn("customer_sk", F.row_number().over(W.orderBy("customer_id")).cast("long"))
+    expected = {r["customer_id"]: tuple(r) for r in ref.select(
+        "customer_sk", "customer_id", "customer_number", "first_name", "last_name", "country",
+        "marital_status", "gender", "birth_date", "created_date").collect()}
+    assert ours == expected
