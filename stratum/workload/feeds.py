@@ -79,7 +79,7 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 
 # Fact-sized tables and the key their rows are spread on when a scan is
 # under-partitioned (see ``sources.feeds.spread``).
-SPREAD_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]}
+SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"]}
 
 # The large (probe) side of each derived feed; only that one is spread - the
 # other side is a broadcast candidate and gains nothing from a shuffle.
