@@ -106,3 +106,24 @@ def test_second_batch_of_files_equals_one_full_load(spark, tmp_dir):
         y = tables.read_table(spark, inc.gold_table(g))
         assert x.count() == y.count() > 0
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_command_line_jobs(spark, tmp_dir):
+    from stratum.__main__ import main
+
+    roots = layers.Roots(f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/silver",
+                         f"{tmp_dir}/gold")
+    write_raw_feeds(spark, SF_SMALL, roots)
+    dirs = ["--raw", roots.raw, "--bronze", roots.bronze, "--silver", roots.silver,
+            "--gold", roots.gold]
+    out = main(["run", *dirs, "--as-of", AS_OF], spark=spark)
+    assert all(v > 0 for v in out["ingested_rows"].values())
+    again = main(["ingest", "--raw", roots.raw, "--bronze", roots.bronze, "--feed", "cust_info"],
+                 spark=spark)
+    assert again["rows"] == 0
+    merged = main(["gold", "--silver", roots.silver, "--gold", roots.gold, "--upsert"], spark=spark)
+    assert set(merged["gold_versions"]) == set(layers.GOLD_KEYS)
+    vac = main(["vacuum", "--silver", roots.silver, "--gold", roots.gold, "--retain", "1"],
+               spark=spark)
+    assert sum(vac["erased_segments"].values()) > 0
+    assert tables.read_table(spark, roots.gold_table("fact_sales")).count() > 0
