@@ -245,15 +245,23 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     executor only means its blocks are rebuilt from lineage."""
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if check_unique:
-            _check_unique_source(src, keys)
         state = _state(spark, path)
         cur = current_segments(state.segments)
         if not cur:
+            if check_unique:
+                _check_unique_source(src, keys)
             return write_table(src, path, "overwrite", keys, buckets, partition_by)
         n = cur[0].buckets
-        bucket = bucket_of(keys, n)
-        touched = {r[0] for r in src.select(bucket.alias("b")).distinct().collect()}
+        # One pass answers both questions: does any key occur twice, and
+        # which buckets does the source touch (at most n values).
+        all_keys = reduce(operator.and_, [F.col(k).isNotNull() for k in keys])
+        stats = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+                 .agg(F.max(F.when(all_keys, F.col("__rows"))).alias("most"),
+                      F.collect_set(bucket_of(keys, n)).alias("touched"))
+                 .first())
+        if check_unique and (stats["most"] or 0) > 1:
+            raise DuplicateSourceKeyError(f"several source rows share a key of {list(keys)}")
+        touched = set(stats["touched"])
         hit = [s for s in cur if s.bucket in touched]
         merged = merge_rows(_read(spark, path, hit), src, keys) if hit else src
         return _write(merged, path, bucket_of(keys, n), n, state.next_version, "part",
