@@ -270,7 +270,7 @@ CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
 BATCH_SPLIT = "1995-01-01"
 
 
-def _ingest_twice(spark, sf, feed, first, second):
+def _ingest_twice(spark, feed, first, second):
     root = scratch_path(spark, f"ingest_{feed}")
     raw, bronze, ckpt = f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint"
     first.write.mode("append").options(**CSV_WRITE).csv(raw)
@@ -283,7 +283,7 @@ def _ingest_twice(spark, sf, feed, first, second):
 def stream_ingest(spark, sf):
     r1 = raw_feed(spark, sf, "cust_info")
     before = F.col("cst_create_date") < F.lit(BATCH_SPLIT)
-    bronze = _ingest_twice(spark, sf, "cust_info", r1.where(before), r1.where(~before))
+    bronze = _ingest_twice(spark, "cust_info", r1.where(before), r1.where(~before))
     return bronze.select("cst_id", "cst_key", "cst_firstname", "cst_lastname",
                          "cst_marital_status", "cst_gndr", "cst_create_date", "_rescued_data")
 
