@@ -55,15 +55,13 @@ def csv_options(rescue: bool = True) -> dict[str, str]:
 
 
 def read_feed_csv(spark: SparkSession, path: str, feed: str, rescue: bool = True) -> DataFrame:
-    """Batch read of raw CSV files of one feed (all columns text)."""
+    """Batch read of raw CSV files of one feed (all columns text), with the
+    same parsing and rescue as the bronze stream - for re-reading extracts
+    outside the incremental load."""
     return (spark.read.schema(feed_schema(feed, rescue)).options(**csv_options(rescue))
             .csv(path))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
     """Hash-distribute ``df`` on ``keys`` when its scan yields fewer
     partitions than the session can run at once (e.g. a large file written

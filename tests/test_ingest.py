@@ -87,3 +87,12 @@ def test_processed_raw_files_are_archived(spark, tmp_dir):
     assert second.rows == 1
     assert os.listdir(raw) == ["f3.csv"]          # everything before the last batch moved
     assert ingest.read_bronze(spark, bronze).count() == 4
+
+
+def test_batch_read_of_raw_extracts_matches_stream_parsing(spark, tmp_dir):
+    from stratum.sources.feeds import read_feed_csv
+
+    write(f"{tmp_dir}/raw", "a.csv", "CID,CNTRY\nAW-1,\"\"\nAW-2,\nAW-3,US,EXTRA\n")
+    rows = {r["CID"]: r for r in read_feed_csv(spark, f"{tmp_dir}/raw", "loc_a101").collect()}
+    assert rows["AW-1"]["CNTRY"] == "" and rows["AW-2"]["CNTRY"] is None
+    assert rows["AW-3"]["_rescued_data"] == "AW-3,US,EXTRA"
