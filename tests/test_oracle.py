@@ -40,3 +40,13 @@ def test_entry_smoke(spark):
     assert df.columns == ["order_number", "product_sk", "customer_sk", "order_date", "ship_date",
                           "due_date", "sales", "quantity", "price"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["fact_sales", "star_build_stored"])
+def test_flagship_matches_oracle_at_gate_scale(spark, name):
+    from conftest import SF_ORACLE
+    c = duckdb.connect()
+    for t in BASE_TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
+    r = compare(spark, c, name, entry.queries()[name], entry.oracle_sql()[name], SF_ORACLE)
+    assert r["cols"] and r["count"] and r["values"] and r["rows"] > 100_000, r
