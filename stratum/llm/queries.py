@@ -5,12 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratum.llm import secret_scan, sharding
+from stratum.llm import huffman, packing, secret_scan, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer() -> str:
+    """The tokenizer file of the token queries; operators take any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -19,10 +27,21 @@ def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), 16)
 
 
+def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer())
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op7_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.base_digest(secret_scan.scan_versions(docs, ["doc_id"]))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_jump_shards, op7_blob_ledger)}
+def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = huffman.coded_documents(read(spark, sf_dir, "documents"), tokenizer())
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_jump_shards, op2_nnls_packing, op7_blob_ledger, op10_huffman_ids)}
 ORACLE_SQL: dict[str, str] = {}

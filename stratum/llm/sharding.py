@@ -18,11 +18,11 @@ columns called ``shard``, ``grown_shard`` or ``slot`` are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.session import scratch_path
+from stratum.llm.numbering import number_within
 
 # Multiplier of the generator, and the range of its draws.
 LCG = 2862933555777941757
@@ -79,43 +79,14 @@ def jump_buckets(key: Column, shards: int) -> Column:
                        .otherwise(F.aggregate(rest, s, step)))
 
 
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def assign_shards(df: DataFrame, key: str, shards: int, order: list[str]) -> DataFrame:
-    """``df`` with shard, grown_shard and slot.
-
-    Rows are range-partitioned on (shard, order columns, spread), so a shard -
-    or one order value held by a third of the rows - spans many tasks. That
-    layout is written once to the shared scratch folder, which makes the row
-    positions fixed; a per-partition count and a running sum over partitions
-    (one row each) turn them into gapless slots. Pass narrow rows: what is
-    passed is written and read once.
-    """
-    spark = df.sparkSession
+    """``df`` with shard, grown_shard and slot. Pass narrow rows (see ``number_within``)."""
     df = df.drop("shard", "grown_shard", "slot")
     jump = jump_buckets(key64(F.col(key), df.schema[key].dataType), shards)
-    placed = df.withColumn("__jump", jump)
-    placed = (placed.withColumn("shard", F.col("__jump.b").cast("int"))
-              .withColumn("grown_shard", F.when(F.col("__jump.j") == shards, F.lit(shards))
-                          .otherwise(F.col("__jump.b")).cast("int"))
-              .drop("__jump"))
-    # Ties are spread by their place in the input partition; the local sort
-    # before makes a re-run task number them as the first attempt did.
-    placed = placed.sortWithinPartitions(*order).withColumn("__spread", F.monotonically_increasing_id())
-    keys = ["shard", *order, "__spread"]
-    laid = (placed.repartitionByRange(_partitions(spark), *keys).sortWithinPartitions(*keys)
-            .withColumn("__part", F.spark_partition_id())
-            .withColumn("__pos", F.monotonically_increasing_id()).drop("__spread"))
-    path = scratch_path(spark, "shards")
-    laid.write.parquet(path)
-    laid = spark.read.parquet(path)
-    runs = laid.groupBy("shard", "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first"))
-    before = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("shard", "__part", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__base"))
-    return (laid.join(runs, ["shard", "__part"])
-            .withColumn("slot", (F.col("__base") + F.col("__pos")).cast("long")).drop("__part", "__pos", "__base"))
+    grown = F.when(F.col("__jump.j") == shards, F.lit(shards)).otherwise(F.col("__jump.b"))
+    placed = (df.withColumn("__jump", jump).withColumn("shard", F.col("__jump.b").cast("int"))
+              .withColumn("grown_shard", grown.cast("int")).drop("__jump"))
+    return number_within(placed, "shard", order, "slot")
 
 
 def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
