@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import huffman, packing, secret_scan, sharding
+from stratum.llm import huffman, packing, secret_scan, sharding, toxicity
+from stratum.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,7 @@ def tokenizer() -> str:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
@@ -32,6 +34,13 @@ def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op7_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.base_digest(secret_scan.scan_versions(docs, ["doc_id"]))
@@ -43,5 +52,5 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_jump_shards, op2_nnls_packing, op7_blob_ledger, op10_huffman_ids)}
+    op1_jump_shards, op2_nnls_packing, op5_toxicity, op7_blob_ledger, op10_huffman_ids)}
 ORACLE_SQL: dict[str, str] = {}
