@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import huffman, packing, secret_scan, sharding, toxicity
+from stratum.llm import huffman, near_dedup, packing, secret_scan, sharding, toxicity
 from stratum.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,11 +46,16 @@ def op7_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.base_digest(secret_scan.scan_versions(docs, ["doc_id"]))
 
 
+def op8_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_dedup.near_groups(read(spark, sf_dir, "documents"), size=4, percent=80)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = huffman.coded_documents(read(spark, sf_dir, "documents"), tokenizer())
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_jump_shards, op2_nnls_packing, op5_toxicity, op7_blob_ledger, op10_huffman_ids)}
+    op1_jump_shards, op2_nnls_packing, op5_toxicity, op7_blob_ledger, op8_super_minhash, op10_huffman_ids)}
 ORACLE_SQL: dict[str, str] = {}

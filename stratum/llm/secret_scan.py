@@ -100,29 +100,38 @@ def _read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def scan_versions(versions: DataFrame, path_columns: list[str], text: str = "text", ledger: str | None = None,
+def _address(text: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+
+
+def update_ledger(versions: DataFrame, text: str = "text", ledger: str | None = None,
                   rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION) -> DataFrame:
-    """path columns, blob, rules_version and spans of every version.
+    """Scan what the ledger lacks and return its rows for this rule version, one per blob.
 
     ``ledger`` is the folder of the ledger table (a fresh one in the shared
-    scratch folder without it). It is only appended to, and a run that is
-    repeated finds its pairs already there.
+    scratch folder without it). It is only appended to, by one run at a time; a
+    run that is repeated finds its pairs already there.
     """
     spark = versions.sparkSession
     ledger = ledger or scratch_path(spark, "secret-ledger")
-    body = F.coalesce(F.col(text), F.lit(""))
     known = _read_ledger(spark, ledger)
-    blobs = versions.select(F.unhex(F.sha2(body.cast("binary"), 256)).alias("blob"), body.alias("text"))
+    blobs = versions.select(_address(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     if known is not None:
-        done = known.filter(F.col("rules_version") == rules_version).select("blob").distinct()
+        done = known.filter(F.col("rules_version") == rules_version).select("blob")
         blobs = blobs.join(done, "blob", "left_anti")
     # One copy of each unseen blob; the partial aggregate drops copies within
     # a map task before anything is shuffled.
     unseen = blobs.dropDuplicates(["blob"])
     (unseen.select("blob", F.lit(rules_version).alias("rules_version"), find_spans(F.col("text"), rules).alias("spans"))
      .write.mode("append").parquet(ledger))
-    found = (spark.read.parquet(ledger).filter(F.col("rules_version") == rules_version).dropDuplicates(["blob"]))
-    paths = versions.select(*path_columns, F.unhex(F.sha2(body.cast("binary"), 256)).alias("blob"))
+    return spark.read.parquet(ledger).filter(F.col("rules_version") == rules_version)
+
+
+def scan_versions(versions: DataFrame, path_columns: list[str], text: str = "text", ledger: str | None = None,
+                  rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION) -> DataFrame:
+    """path columns, blob, rules_version and spans of every version (see ``update_ledger``)."""
+    found = update_ledger(versions, text, ledger, rules, rules_version)
+    paths = versions.select(*path_columns, _address(text).alias("blob"))
     return paths.join(found, "blob", "left").select(*path_columns, *FINDINGS)
 
 
@@ -142,10 +151,7 @@ def mask_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule,
     Null texts stay null. Rows are matched to findings by content, so repeated
     or null ids do no harm.
     """
-    blob = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    keyed = docs.withColumn("__blob", blob)
-    found = (scan_versions(docs.select("text"), [], ledger=ledger, rules=rules)
-             .dropDuplicates(["blob"]).filter(F.size("spans") > 0)
+    found = (update_ledger(docs, ledger=ledger, rules=rules).filter(F.size("spans") > 0)
              .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
 
     def cut(acc: Column, s: Column) -> Column:
@@ -156,6 +162,6 @@ def mask_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule,
 
     masked = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut,
                          lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    joined = keyed.join(found, "__blob", "left")
+    joined = docs.withColumn("__blob", _address("text")).join(found, "__blob", "left")
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(masked)
     return joined.withColumn("text", text).select(*docs.columns)
