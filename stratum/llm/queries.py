@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import huffman, near_dedup, packing, secret_scan, sharding, toxicity
+from stratum.llm import decontaminate, huffman, near_dedup, packing, secret_scan, sharding, toxicity
 from stratum.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op3_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
@@ -57,5 +61,27 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_jump_shards, op2_nnls_packing, op5_toxicity, op7_blob_ledger, op8_super_minhash, op10_huffman_ids)}
-ORACLE_SQL: dict[str, str] = {}
+    op1_jump_shards, op2_nnls_packing, op3_minhash_containment, op5_toxicity, op7_blob_ledger, op8_super_minhash, op10_huffman_ids)}
+# Words, shingles and distinct shingles of (id, text) rows of a table.
+_SHINGLES = """
+{name}_words AS (
+    SELECT {key} AS id, string_split_regex(regexp_replace(lower_ascii, '^[ \\t-\\r]+|[ \\t-\\r]+$', '', 'g'), '[ \\t-\\r]+') AS w
+    FROM (SELECT {key}, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM {table})
+    WHERE regexp_matches(lower_ascii, '[^ \\t-\\r]')),
+{name}_sets AS (
+    SELECT DISTINCT id, array_to_string(list_slice(w, i, i + {size} - 1), ' ') AS s
+    FROM {name}_words, unnest(range(1, greatest(2, len(w) - {size} + 2))) AS u(i))"""
+
+
+def shingle_sql(name: str, table: str, key: str, size: int) -> str:
+    return _SHINGLES.format(name=name, table=table, key=key, size=size)
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_containment": f"""
+WITH {shingle_sql("d", "documents", "doc_id", 5)}, {shingle_sql("b", "benchmark", "item_id", 5)},
+sizes AS (SELECT id, count(*) AS n FROM b_sets GROUP BY id)
+SELECT d_sets.id AS doc_id, b_sets.id AS item_id, n AS item_shingles, count(*) AS shared_shingles
+FROM d_sets JOIN b_sets USING (s) JOIN sizes ON sizes.id = b_sets.id
+GROUP BY d_sets.id, b_sets.id, n HAVING 100 * count(*) >= 80 * n""",
+}

@@ -5,8 +5,10 @@ The file's path is a parameter; encoders are kept per worker process.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -15,8 +17,18 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs o
 
 _SPACES = re.compile("[^ \t\n\r\x0b\x0c]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to regular expressions
-_TAILS = frozenset(".,;:!?")
-_KEPT = 300_000  # words kept in memory, about 60 MB
+_TAILS = ".,;:!?"
+_WORDS, _STEMS = 600_000, 400_000  # entries kept in memory at most, about 200 bytes each
+# Tokenizers whose letters-only words go straight to the merge table: lower
+# case, then bytes as printable characters.
+_LOWER = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
+
+
+def _printable_bytes() -> dict[int, str]:
+    """Byte-level vocabularies write printable bytes as themselves, the others from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(0x100 + i) for i, b in enumerate(rest)}}
 
 
 class Encoder:
@@ -25,21 +37,25 @@ class Encoder:
     A tokenizer whose tokens never span white space gives each word the same
     ids wherever it stands, so words are looked up in a bounded table and only
     new ones are encoded. Whether the file is of that kind is probed; any
-    other file is applied to whole texts.
+    other file is applied to whole texts. Words beyond the table's bound are
+    encoded whenever they come up.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
-        probe = ["Ab,", "cd", "'s", "éx-7", "<|x", " y"]
+        probe = ["Ab,", "cd", "'s", "éx-7", "<|x", " y"]
         self.by_word = self._ids(" \n".join(probe)) == [i for w in probe for i in self._ids(w)]
-        ends = [i for t, i in self.tok.get_vocab(with_added_tokens=True).items() if t.endswith("</w>")]
-        self.is_end = np.zeros(self.vocab, bool)
-        self.is_end[ends] = True
+        spec = json.loads(self.tok.to_str())
+        kinds = [[x["type"] for x in (spec[part] or {}).get(key, [])]
+                 for part, key in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.lower = tuple(kinds) == _LOWER
+        self.printable = _printable_bytes()
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.tails = {t: self._each([t])[0] for t in _TAILS}
 
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
@@ -47,53 +63,46 @@ class Encoder:
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, stems: list[str]) -> list[bytes]:
-        """Words of letters only, in one call: each ends with its only word-end token."""
-        ids = np.array(self._ids(" ".join(stems)), "<u4")
-        cuts = np.flatnonzero(self.is_end[ids]) + 1
-        if len(cuts) != len(stems) or cuts[-1] != len(ids):
-            return self._each(stems)
-        raw, out, at = ids.tobytes(), [], 0
-        for c in cuts.tolist():
-            out.append(raw[4 * at:4 * c])
-            at = c
-        return out
+    def _merge(self, stem: str) -> bytes:
+        if not stem.isascii():
+            stem = stem.encode().decode("latin-1").translate(self.printable)
+        return array("I", [t.id for t in self.tok.model.tokenize(stem)]).tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        split, other = {}, []
+        words, stems, tails, other = self.words, self.stems, self.tails, []
+        merge = self._merge
         for w in new:
-            stem, tail = (w[:-1], w[-1]) if w[-1] in _TAILS else (w, "")
+            tail = tails.get(w[-1], b"")
+            stem = w[:-1] if tail else w
             # Below U+0250 lower case needs no context and no composition.
-            if stem.isalpha() and (stem.isascii() or max(stem) < "ɐ"):
-                split[w] = (stem.lower(), tail)
+            low = stem.lower()
+            if self.lower and low.isalpha() and (stem.isascii() or max(stem) < "ɐ"):
+                stem = low
+                ids = stems.get(stem)
+                if ids is None:
+                    ids = merge(stem)
+                    if len(stems) < _STEMS:
+                        stems[stem] = ids
+                words[w] = ids + tail
             else:
                 other.append(w)
-        stems = self.stems
-        if len(stems) > _KEPT:
-            stems.clear()
-        for t in _TAILS - stems.keys():
-            stems[t] = self._each([t])[0]
-        fresh = list({s for s, _ in split.values()} - stems.keys())
-        for i in range(0, len(fresh), 2000):
-            part = fresh[i:i + 2000]
-            stems.update(zip(part, self._plain(part)))
-        stems[""] = b""
-        for w, (stem, tail) in split.items():
-            self.words[w] = stems[stem] + stems[tail]
         if other:
-            self.words.update(zip(other, self._each(other)))
+            words.update(zip(other, self._each(other)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._each(texts)
         split = [_SPACES.findall(t) if _SEPARATORS.search(t) else t.split() for t in texts]
-        if len(self.words) > _KEPT:
-            self.words.clear()
-        new = set().union(*split) - self.words.keys()
+        words = self.words
+        new = set().union(*split) - words.keys()
         if new:
             self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, w)) for w in split]
+        get = words.__getitem__
+        out = [b"".join(map(get, w)) for w in split]
+        if len(words) > _WORDS:
+            for w in new:
+                del words[w]
+        return out
 
 
 @lru_cache(maxsize=2)
