@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import decontaminate, huffman, near_dedup, packing, secret_scan, sharding, toxicity
+from stratum.llm import decontaminate, html_text, huffman, near_dedup, packing, secret_scan, sharding, toxicity
 from stratum.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,13 +55,17 @@ def op8_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = huffman.coded_documents(read(spark, sf_dir, "documents"), tokenizer())
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_jump_shards, op2_nnls_packing, op3_minhash_containment, op5_toxicity, op7_blob_ledger, op8_super_minhash, op10_huffman_ids)}
+    op1_jump_shards, op2_nnls_packing, op3_minhash_containment, op5_toxicity, op7_blob_ledger, op8_super_minhash, op9_tree_scoring, op10_huffman_ids)}
 # Words, shingles and distinct shingles of (id, text) rows of a table.
 _SHINGLES = """
 {name}_words AS (
