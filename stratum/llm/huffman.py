@@ -136,7 +136,9 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFr
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
             for at, texts in tokens.batches(batch.column(1).to_pylist()):
-                ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in enc.encode(texts)]
+                flat, bounds = enc.encode(texts)
+                flat = flat.astype(kind)
+                ids = [flat[s:e].tobytes() + end for s, e in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(ids, pa.binary())],
                                                  names=["doc_id", "ids"])
 

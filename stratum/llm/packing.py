@@ -50,8 +50,9 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END
             ids = batch.column(0).to_pylist()
             for at, texts in tokens.batches(batch.column(1).to_pylist()):
                 rows = []
-                for doc_id, raw in zip(ids[at:at + len(texts)], enc.encode(texts)):
-                    raw += end
+                flat, bounds = enc.encode(texts)
+                for i, doc_id in enumerate(ids[at:at + len(texts)]):
+                    raw = flat[bounds[i]:bounds[i + 1]].tobytes() + end
                     n = len(raw) // 4
                     for s in range(0, n, window):
                         part = raw[4 * s:4 * (s + window)]

@@ -13,6 +13,7 @@ import numpy as np
 
 _RNG = np.random.default_rng(20240607)
 _VALUE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_EXACT = _VALUE.copy()
 for _c in range(ord("A"), ord("Z") + 1):
     _VALUE[_c] = _VALUE[_c + 32]
 _SPACE = np.zeros(256, bool)
@@ -50,16 +51,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def split(texts: list[bytes], fold: bool = True) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(all texts in one, start and end of each word there, its hash, first word
+    of each text and the end) of UTF-8 texts; ``fold``: A-Z count as a-z."""
+    joined = b"\n".join(texts) + b"\n"
+    blob = np.frombuffer(joined, np.uint8)
+    edge = np.diff(_SPACE[blob].view(np.int8), prepend=np.int8(1))
+    cuts = np.flatnonzero(edge)
+    start, end = cuts[0::2], cuts[1::2]  # the last byte is white space
+    value = (_VALUE if fold else _EXACT)[blob]
+    value *= _power_table(_BASE, len(blob))
+    sums = np.cumsum(value, dtype=np.uint64)
+    before = np.where(start > 0, sums[start - 1], np.uint64(0))
+    h = mix((sums[end - 1] - before) * _power_table(_INVERSE, len(blob))[start] + (end - start).astype(np.uint64))
+    heads = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
+    return joined, start, end, h, np.searchsorted(start, heads)
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each text and the end) of UTF-8 texts."""
-    blob = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    space = _SPACE[blob]
-    edge = np.diff(space.view(np.int8), prepend=np.int8(1))
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[blob] * _power_table(_BASE, len(blob)), dtype=np.uint64)])
-    h = mix((sums[end] - sums[start]) * _power_table(_INVERSE, len(blob) + 1)[start] + (end - start).astype(np.uint64))
-    heads = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
-    return h, np.searchsorted(start, heads)
+    return split(texts)[3:]
 
 
 def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
