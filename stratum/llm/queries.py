@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import decontaminate, html_text, huffman, near_dedup, packing, secret_scan, sharding, toxicity
+from stratum.llm import decontaminate, hamming_topk, html_text, huffman, near_dedup, packing, repeats, secret_scan, sharding, toxicity
 from stratum.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op3_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, bits = hamming_topk.sign_codes(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return hamming_topk.top_k(codes, codes.filter(F.col("id") % 50 == 0), bits, k=10)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
@@ -45,6 +50,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.base_digest(secret_scan.scan_versions(docs, ["doc_id"]))
@@ -65,7 +74,7 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_jump_shards, op2_nnls_packing, op3_minhash_containment, op5_toxicity, op7_blob_ledger, op8_super_minhash, op9_tree_scoring, op10_huffman_ids)}
+    op1_jump_shards, op2_nnls_packing, op3_minhash_containment, op4_multi_index_hashing, op5_toxicity, op6_bucket_refinement, op7_blob_ledger, op8_super_minhash, op9_tree_scoring, op10_huffman_ids)}
 # Words, shingles and distinct shingles of (id, text) rows of a table.
 _SHINGLES = """
 {name}_words AS (
@@ -88,4 +97,14 @@ sizes AS (SELECT id, count(*) AS n FROM b_sets GROUP BY id)
 SELECT d_sets.id AS doc_id, b_sets.id AS item_id, n AS item_shingles, count(*) AS shared_shingles
 FROM d_sets JOIN b_sets USING (s) JOIN sizes ON sizes.id = b_sets.id
 GROUP BY d_sets.id, b_sets.id, n HAVING 100 * count(*) >= 80 * n""",
+    "op4_multi_index_hashing": """
+WITH codes AS (
+    SELECT vec_id AS id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS code
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+pairs AS (
+    SELECT q.id AS query_id, c.id AS neighbor_id, CAST(hamming(q.code, c.code) AS INTEGER) AS distance
+    FROM codes q JOIN codes c ON q.id % 50 = 0 AND q.id <> c.id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM pairs)
+WHERE rank <= 10""",
 }
