@@ -1,29 +1,58 @@
-"""Corpus clean-up pipeline over ``documents``."""
+"""Corpus clean-up pipeline over ``documents``.
+
+Each stage takes what its predecessor kept, as a stored table; all but the last
+return the columns of ``documents``. Null texts pass every filter as empty texts
+and end as one-token documents; rows that repeat an id are filtered alike.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import secret_scan
-from stratum.llm.queries import read
+from stratum.llm import decontaminate, near_dedup, packing, secret_scan, toxicity
+from stratum.llm.queries import read, tokenizer
+from stratum.llm.ship import ship
 from stratum.session import scratch_path
 
 
-def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the calibrated classifier scores 0.5 or more go."""
+    return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate group (five-word shingles, similarity 0.8) the smallest doc_id stays."""
+    ship(spark)
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain 80 % of a benchmark item's five-word shingles go."""
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in place; every document stays."""
     return secret_scan.mask_secrets(docs)
 
 
-STAGES = [("secrets", secrets)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents in windows of 2048: one row per piece."""
+    ship(spark)
+    return packing.pack_documents(docs, tokenizer(), with_ids=True)
+
+
+STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_duplicates), ("decontamination", drop_contaminated),
+          ("secret_scan", mask_secrets), ("packing", pack)]
 
-# Toxicity scores, MinHash and the tokenizer have no SQL form.
+# Learned scores, MinHash groups and tokenizer ids have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -340,10 +340,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     return Model(lexicons[2], boost(x, y), isotonic(margin, y), prior)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from 0.5 on); all columns stay."""
-    docs = docs.drop("score", "predicted")
-    schema = docs.withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
+def score(docs: DataFrame, model: Model, score_column: str = "score", predicted_column: str = "predicted") -> DataFrame:
+    """``docs`` with a score (0 to 1) and a prediction (1 from 0.5 on); all other columns stay."""
+    docs = docs.drop(score_column, predicted_column)
+    schema = docs.withColumn(score_column, F.lit(0.0)).withColumn(predicted_column, F.lit(0)).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,6 +354,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 scores.append(shared.value.score(reader.features(texts)))
             s = np.concatenate(scores)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
-                                             names=[*batch.schema.names, "score", "predicted"])
+                                             names=[*batch.schema.names, score_column, predicted_column])
 
     return docs.mapInArrow(run, schema)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``docs`` without the rows that a model fitted on ``labels`` rejects; all columns stay."""
+    scored = score(docs, fit(docs, labels, max_rows), "__score", "__predicted")
+    return scored.filter(F.col("__predicted") == 0).select(*docs.columns)
