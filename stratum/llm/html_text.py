@@ -46,6 +46,7 @@ BAD = frozenset("ad ads adv advert adverts advertisement advertising adsense spo
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
 _WORD = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
+_TAG_START = re.compile(r"</?[a-zA-Z]")
 _SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
 
 
@@ -131,10 +132,10 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in INLINE:
-            self._flush()
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0].tag == tag:
+                if tag not in INLINE:
+                    self._flush()
                 del self.open[i:]
                 break
             if tag in INLINE and self.open[i][0].tag not in INLINE:
@@ -149,6 +150,8 @@ class Page(HTMLParser):
                 self.links += len(data.strip())
 
     def done(self) -> None:
+        if _TAG_START.match(self.rawdata):  # an unfinished tag at the end is no text
+            self.rawdata = ""
         self.close()
         self._flush()
 

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.llm import sharding
+
+
+def jump(key: int, n: int) -> int:
+    key &= (1 << 64) - 1
+    b, j = -1, 0
+    while j < n:
+        b = j
+        key = (key * 2862933555777941757 + 1) & ((1 << 64) - 1)
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_documents(corpus, corpus_rows):
+    rows = sharding.shard_documents(corpus, 16).collect()
+    want = Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in corpus_rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == want
+    slots = defaultdict(list)
+    for r in rows:
+        assert r["shard"] == jump(r["doc_id"] or 0, 16) and r["grown_shard"] == jump(r["doc_id"] or 0, 17)
+        assert r["law"] == "key" and r["grown_shard"] in (r["shard"], 16)
+        slots[r["shard"]].append((r["slot"], r["doc_id"] if r["doc_id"] is not None else -1))
+    for s in slots.values():
+        s.sort()
+        assert [a for a, _ in s] == list(range(len(s))) and [b for _, b in s] == sorted(b for _, b in s)
+
+
+@pytest.mark.parametrize("shards", [1, 2, 65, 1000])
+def test_jump_sequence(spark, shards):
+    df = spark.createDataFrame([(k,) for k in [0, 1, -1, 7, 2**63 - 1, -(2**63), 123456789012345]], "k long")
+    got = df.select("k", sharding.jump_buckets(F.col("k"), shards)["b"].alias("b")).collect()
+    assert [(r["k"], r["b"]) for r in got] == [(r["k"], jump(r["k"], shards)) for r in got]
+
+
+def test_other_columns_and_key_types(spark):
+    df = spark.createDataFrame([("a", 1, "old"), ("a", 1, "old"), (None, 2, "old"), ("b", 3, None)], "k string, v int, shard string")
+    rows = sharding.assign_shards(df, "k", 3, ["k", "v"]).collect()
+    assert len(rows) == 4 and len({r["shard"] for r in rows if r["k"] == "a"}) == 1
+    with pytest.raises(ValueError):
+        sharding.jump_buckets(F.col("k"), 0)
+
+
+def test_empty(nothing):
+    assert sharding.shard_documents(nothing).collect() == []
+
+
+def test_hot_key(spark):
+    """A key with nearly all rows still gets gapless slots."""
+    rows = sharding.assign_shards(spark.range(3000).selectExpr("case when id % 10 > 0 then 5 else id end as k"), "k", 4, ["k"]).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and len(rows) == 3000
