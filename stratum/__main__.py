@@ -1,10 +1,9 @@
 """Command-line jobs: ``python -m stratum <command> ...`` (or ``spark-submit``).
 
-    ingest  --raw R --bronze B --feed cust_info [--by-name] [--archive A]
-    silver  --bronze B --silver S [--as-of 2024-06-30] [--append]
+    ingest  --raw R --bronze B --feed cust_info [--by-position] [--archive A]
+    silver  --bronze B --silver S [--as-of 2024-06-30] [--append | --incremental]
     gold    --silver S --gold G [--upsert]
-    run     --raw R --bronze B --silver S --gold G [--as-of ...] [--upsert] [--by-name]
-    vacuum  --silver S --gold G [--retain 2]
+    run     --raw R --bronze B --silver S --gold G [--as-of ...] [--upsert] [--by-position] [--incremental]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
 settings (including ``spark.checkpoint.dir``) are whatever the launcher
@@ -38,15 +37,17 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--raw", required=True)
     ing.add_argument("--bronze", required=True)
     ing.add_argument("--feed", required=True, choices=sorted(FEED_COLUMNS))
-    ing.add_argument("--by-name", action="store_true")
+    ing.add_argument("--by-position", action="store_true")
     ing.add_argument("--archive")
-    ing.add_argument("--timeout", type=float, default=3600.0)
+    ing.add_argument("--timeout", type=float, help="seconds; without it, until all files are taken")
 
     sil = sub.add_parser("silver", help="rebuild the six silver tables")
     sil.add_argument("--bronze", required=True)
     sil.add_argument("--silver", required=True)
     sil.add_argument("--as-of")
-    sil.add_argument("--append", action="store_true")
+    how = sil.add_mutually_exclusive_group()
+    how.add_argument("--append", action="store_true")
+    how.add_argument("--incremental", action="store_true")
 
     gol = sub.add_parser("gold", help="rebuild or merge the gold tables")
     gol.add_argument("--silver", required=True)
@@ -59,12 +60,8 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--archive")
     run.add_argument("--as-of")
     run.add_argument("--upsert", action="store_true")
-    run.add_argument("--by-name", action="store_true")
-
-    vac = sub.add_parser("vacuum", help="free superseded table segments")
-    vac.add_argument("--silver", required=True)
-    vac.add_argument("--gold", required=True)
-    vac.add_argument("--retain", type=int, default=2)
+    run.add_argument("--by-position", action="store_true")
+    run.add_argument("--incremental", action="store_true")
     return p
 
 
@@ -75,25 +72,25 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     roots = _roots(a)
     if a.command == "ingest":
         from stratum.streaming import by_name, ingest
-        run = by_name.ingest_feed_by_name if a.by_name else ingest.ingest_feed
+        run = ingest.ingest_feed if a.by_position else by_name.ingest_feed_by_name
         res = run(spark, roots.raw_feed(a.feed), roots.bronze_data(a.feed),
                   roots.bronze_checkpoint(a.feed), a.feed, timeout_s=a.timeout,
                   archive_dir=roots.raw_archive(a.feed))
         out = {"feed": res.feed, "batches": res.batches, "rows": res.rows}
     elif a.command == "silver":
         rep = layers.build_silver(spark, roots, as_of=a.as_of,
-                                  mode="append" if a.append else "overwrite")
+                                  mode="append" if a.append else "overwrite",
+                                  incremental=a.incremental)
         out = {"silver_versions": rep.silver_versions}
     elif a.command == "gold":
         rep = layers.build_gold(spark, roots, mode="upsert" if a.upsert else "replace")
         out = {"gold_versions": rep.gold_versions}
-    elif a.command == "run":
+    else:
         rep = layers.run_all(spark, roots, as_of=a.as_of,
-                             mode="upsert" if a.upsert else "replace", by_name=a.by_name)
+                             mode="upsert" if a.upsert else "replace", by_name=not a.by_position,
+                             incremental=a.incremental)
         out = {"ingested_rows": rep.ingested_rows, "silver_versions": rep.silver_versions,
                "gold_versions": rep.gold_versions}
-    else:
-        out = {"erased_segments": layers.vacuum_all(spark, roots, a.retain)}
     out = {"command": a.command, **out}
     print(json.dumps(out))
     return out

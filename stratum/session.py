@@ -10,10 +10,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_scope = threading.local()  # the open scratch scope of each thread
+
 # Defaults for a single-node session (tests, bench). On a cluster the
 # launcher's values win because ``getOrCreate`` keeps an existing session.
 LOCAL_DEFAULTS = {
@@ -72,37 +77,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "stratum-scratch",
+    path = os.path.join(base.rstrip("/"), "stratum-scratch",
                         f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def scale_settings(input_bytes: int, total_cores: int,
-                   target_partition_bytes: int = 256 << 20,
-                   broadcast_bytes: int = 64 << 20) -> dict[str, str]:
-    """Session settings sized for a job reading ``input_bytes`` on a cluster
-    with ``total_cores`` task slots.
-
-    Shuffle partitions are sized so a reducer handles about
-    ``target_partition_bytes`` (rounded up to whole waves of the cluster),
-    AQE coalesces the small ones and splits skewed ones, scans are split at
-    the same size, and broadcasts stay under a fixed bound that does not
-    grow with the data.
-    """
-    by_size = -(-input_bytes // target_partition_bytes)
-    waves = max(1, -(-by_size // total_cores))
-    partitions = max(total_cores, waves * total_cores)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
-    }
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
+    return path
+
+
+def free(spark: SparkSession, path: str) -> None:
+    """Remove a folder from the store it is in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made by this thread inside the block are removed at its
+    end. Results that still read them must be stored before."""
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        paths, _scope.paths = _scope.paths, outer
+        for path in paths:
+            free(spark, path)

@@ -1,174 +1,153 @@
-"""Versioned, key-bucketed Parquet tables: append, replace, upsert.
-
-No transactional table format is available, so a table is a folder of
-immutable segments plus a commit log::
-
-    <path>/bucket=<b>of<B>/version=<v>-full|part|add/part-*.parquet
-    <path>/_commits/version=<v>/part-*.parquet      (one row per commit)
-    <path>/_floor/floor=<v>/part-*.parquet          (oldest readable version)
-
-Rows are assigned to one of ``B`` buckets by a hash of the table's key
-columns (``B = 1`` without keys). Every change writes new segment folders
-for a new version ``v`` in one Spark job and then records ``v`` in the
-commit log with a second, tiny job. Readers only see committed versions, so
-a write that fails or loses its driver half-way - even during the file
-moves of the job commit - is invisible, and the next write simply takes a
-higher version number. Nothing is modified in place.
-
-* ``overwrite`` - kind ``full`` for every bucket that has rows; every older
-  segment stops counting.
-* ``append``    - kind ``add``: rows added to each bucket's current state.
-* ``upsert``    - kind ``part``, only for the buckets the source touches:
-  each becomes (current rows whose key is not in the source) + (source
-  rows). Untouched buckets are neither read nor written, so an upsert costs
-  the size of the touched buckets, not of the table. Null keys never match,
-  as with an equality merge condition.
-
-The current state of a bucket is its newest ``full``/``part`` segment at or
-after the newest ``full`` version, plus the ``add`` segments written after
-it. Segment folders are found from the file listing, without running a job.
-Old segments stay for time travel (``read_table(version=)``) until
-``vacuum`` frees the ones no retained version can read.
+"""Key-bucketed Parquet tables with one small manifest per version.
+
+A table is a folder::
+
+    <path>/stratum_write=<id>/stratum_bucket=<b>/part-*.parquet   rows of one write
+    <path>/_manifest/version=<v>/id=<id>/part-*.parquet           one per committed version
+
+A manifest holds the schema, the bucketing, and one row per data folder of its
+version with the folder's size, so the current state is read from one small
+file: no listing of data, no footers, and a table without rows is a table.
+
+Every write puts its rows into folders with an id of its own and then writes the
+manifest of the next version, which names exactly the folders that count.
+Rows of a write that failed, or lost a race, are named by no manifest. Of two
+writers of the same version the first manifest wins; the other one finds it and
+raises ``ConcurrentWriteError``.
+
+* ``overwrite`` - the manifest names the new folders only.
+* ``append``    - the folders of the current version and the new ones.
+* ``upsert``    - the source rows are written first; they show which buckets are
+  touched. Rows of those buckets whose key is not in the source are written
+  anew, folders of all other buckets stay as they are, so the cost follows the
+  touched buckets, not the table. Null keys never match, as with an equality
+  merge condition.
 """
 
 from __future__ import annotations
 
+import json
 import operator
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-_SEGMENT_RE = re.compile(r"/bucket=(\d+)of(\d+)/version=(\d+)-(full|part|add)(/|$)")
-_COMMIT_RE = re.compile(r"/_commits/version=(\d+)(/|$)")
-_FLOOR_RE = re.compile(r"/_floor/floor=(\d+)(/|$)")
-_BUCKET, _VERSION, _COMMITS = "bucket", "version", "_commits"
+_BUCKET, _WRITE, _MANIFEST = "stratum_bucket", "stratum_write", "_manifest"
+_MANIFEST_FILE = re.compile(rf"/{_MANIFEST}/version=(\d+)/id=([0-9a-f]+)/[^/]+\.parquet$")
+_MANIFEST_SCHEMA = "bucket int, folder string, bytes long, buckets int, schema string, tag string"
+_HEADER = -1  # the bucket of the row that every manifest has
 
 
 class DuplicateSourceKeyError(ValueError):
     """Two source rows would update the same target row."""
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer committed the version this write was based on."""
+
+
 @dataclass(frozen=True)
-class Segment:
-    bucket: int
-    buckets: int
+class State:
+    """One committed version: (bucket, folder, bytes) of its data."""
     version: int
-    kind: str  # full | part | add
+    buckets: int
+    schema: StructType
+    folders: tuple[tuple[int, str, int], ...]
+    tag: str | None = None
 
     @property
-    def full(self) -> bool:
-        return self.kind == "full"
+    def bytes(self) -> int:
+        return sum(n for _, _, n in self.folders)
 
-    def folder(self, path: str) -> str:
-        return (f"{path.rstrip('/')}/{_BUCKET}={self.bucket:05d}of{self.buckets:05d}/"
-                f"{_VERSION}={self.version:09d}-{self.kind}")
 
+def _not_found(exc: AnalysisException) -> bool:
+    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
-def _listing(spark: SparkSession, path: str) -> list[str]:
-    """File paths under ``path`` (the ``binaryFile`` source lists files
-    without opening them; no job runs; partition discovery is off because
-    only the paths matter)."""
+
+def _manifests(spark: SparkSession, path: str, version: int | None = None) -> list[tuple[int, str, str]]:
+    """(version, id, file), oldest version first, from a listing of the manifests alone."""
+    below = f"{path.rstrip('/')}/{_MANIFEST}" + (f"/version={version}" if version else "")
     try:
-        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                .load(path).inputFiles())
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(below).inputFiles()
     except AnalysisException as exc:
-        if (exc.getCondition() or "") == "PATH_NOT_FOUND":
+        if _not_found(exc):
             return []
         raise
+    return sorted((int(m[1]), m[2], f) for f in files if (m := _MANIFEST_FILE.search(f)))
 
 
-@dataclass(frozen=True)
-class _State:
-    on_disk: list[Segment]       # every segment folder, committed or not
-    committed: set[int]
-    floor: int = 0               # versions below this were vacuumed
+def _first(spark: SparkSession, files: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+    """The manifest of a version that counts: the one written first."""
+    if len(files) == 1:
+        return files[0]
+    times = {r["path"].rsplit("/id=", 1)[1]: r["modificationTime"] for r in
+             spark.read.format("binaryFile").load([f for _, _, f in files]).select("path", "modificationTime").collect()}
+    return min(files, key=lambda m: (times[m[2].rsplit("/id=", 1)[1]], m[1]))
 
-    @property
-    def segments(self) -> list[Segment]:
-        return [s for s in self.on_disk if s.version in self.committed]
 
-    @property
-    def next_version(self) -> int:
-        """Above every version on disk, committed or not, so a crashed
-        write's folders are never reused."""
-        seen = [s.version for s in self.on_disk] + list(self.committed)
-        return max(seen, default=0) + 1
-
-
-def _state(spark: SparkSession, path: str) -> _State:
-    found = set()
-    for f in _listing(spark, path):
-        m = _SEGMENT_RE.search(f)
-        if m:
-            found.add(Segment(int(m.group(1)), int(m.group(2)), int(m.group(3)), m.group(4)))
-    log = _listing(spark, f"{path.rstrip('/')}/{_COMMITS}")
-    committed = {int(m.group(1)) for f in log if (m := _COMMIT_RE.search(f))}
-    marks = _listing(spark, f"{path.rstrip('/')}/_floor")
-    floor = max((int(m.group(1)) for f in marks if (m := _FLOOR_RE.search(f))), default=0)
-    return _State(sorted(found, key=lambda s: (s.version, s.bucket)), committed, floor)
-
-
-def committed_versions(spark: SparkSession, path: str) -> set[int]:
-    return _state(spark, path).committed
-
-
-def segments(spark: SparkSession, path: str) -> list[Segment]:
-    """Segments of committed versions only."""
-    return _state(spark, path).segments
-
-
-def current_segments(segs: Sequence[Segment], version: int | None = None) -> list[Segment]:
-    segs = [s for s in segs if version is None or s.version <= version]
-    fulls = [s.version for s in segs if s.full]
-    if not fulls:
-        return []
-    floor = max(fulls)
-    live = [s for s in segs if s.version >= floor]
-    out: list[Segment] = []
-    for b in sorted({s.bucket for s in live}):
-        mine = [s for s in live if s.bucket == b]
-        bases = [s for s in mine if s.kind != "add"]
-        base = max(bases, key=lambda s: s.version) if bases else None
-        start = base.version if base else floor - 1
-        out += ([base] if base else []) + [s for s in mine if s.kind == "add" and s.version > start]
-    return out
-
-
-def table_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions that can still be read (time travel stops at a vacuum)."""
-    state = _state(spark, path)
-    return sorted({s.version for s in state.segments if s.version >= state.floor})
+def state(spark: SparkSession, path: str) -> State | None:
+    """The current version, or None without a table."""
+    found = _manifests(spark, path)
+    if not found:
+        return None
+    version = found[-1][0]
+    _, _, file = _first(spark, [m for m in found if m[0] == version])
+    rows = spark.read.schema(_MANIFEST_SCHEMA).parquet(file).collect()  # one per data folder
+    head = next(r for r in rows if r["bucket"] == _HEADER)
+    return State(version, head["buckets"], StructType.fromJson(json.loads(head["schema"])),
+                 tuple((r["bucket"], r["folder"], r["bytes"]) for r in rows if r["bucket"] != _HEADER), head["tag"])
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(current_segments(segments(spark, path)))
-
-
-def _read(spark: SparkSession, path: str, segs: Sequence[Segment]) -> DataFrame:
-    """Rows of the given segments. Reading relative to the table root keeps
-    partition discovery consistent across segments (value folders such as
-    ``order_year=`` inside them become columns and prune on filters); the
-    two storage columns are dropped."""
-    return (spark.read.option("mergeSchema", "true").option("basePath", path)
-            .parquet(*[s.folder(path) for s in segs]).drop(_BUCKET, _VERSION))
-
-
-def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    state = _state(spark, path)
-    segs = state.segments
-    readable = sorted({s.version for s in segs if s.version >= state.floor})
-    if version is not None and version not in readable:
-        raise ValueError(f"version {version} not in {readable}")
-    cur = current_segments(segs, version)
-    if not cur:
+    return bool(_manifests(spark, path))
+
+
+def current_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the data files that the current version names."""
+    now = state(spark, path)
+    return now.bytes if now else 0
+
+
+def _read(spark: SparkSession, path: str, schema: StructType, folders: Sequence[str]) -> DataFrame:
+    """Rows of some data folders. The schema is known, so no footer is read for
+    it; columns that a folder lacks are null. Value folders (``order_year=``)
+    inside become columns and prune on filters."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    root = path.rstrip("/")
+    return (spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
+            .select(*[F.col(f"`{n}`") for n in schema.names]))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    now = state(spark, path)
+    if now is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return _read(spark, path, now.schema, [f for _, f, _ in now.folders])
+
+
+def read_added(spark: SparkSession, path: str, since: State | None) -> DataFrame:
+    """Rows in folders that the current version names and ``since`` did not."""
+    now = state(spark, path)
+    if now is None:
         raise FileNotFoundError(f"no table at {path}")
-    return _read(spark, path, cur)
+    old = {f for _, f, _ in since.folders} if since else set()
+    return _read(spark, path, now.schema, [f for _, f, _ in now.folders if f not in old])
+
+
+def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Expose the table's current state under ``name`` for ``spark.read.table``
+    and SQL in this session; register again after a write."""
+    df = read_table(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -177,52 +156,74 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _write(df: DataFrame, path: str, bucket: Column, buckets: int, version: int,
-           kind: str, partition_by: Sequence[str] = ()) -> int:
-    label = F.format_string("%05dof%05d", bucket, F.lit(buckets))
-    out = (df.withColumn(_BUCKET, label)
-             .withColumn(_VERSION, F.lit(f"{version:09d}-{kind}")))
+def _write_rows(df: DataFrame, path: str, write: str, keys: Sequence[str], buckets: int,
+                partition_by: Sequence[str]) -> list[tuple[int, str, int]]:
+    """Write rows into folders of this write; (bucket, folder, bytes) of each."""
+    spark = df.sparkSession
+    out = df.withColumn(_BUCKET, bucket_of(keys, buckets))
     if buckets > 1:
         # Without this every write task would open a file in every bucket
         # (tasks x buckets small files). REBALANCE lets AQE gather each
         # bucket's rows into tasks of the advisory size and split a hot
         # bucket over several tasks instead of writing it from one.
-        out = out.hint("rebalance", _BUCKET)
-    out.write.mode("append").partitionBy(_BUCKET, _VERSION, *partition_by).parquet(path)
-    commit = df.sparkSession.createDataFrame([(version, kind, buckets)],
-                                             "version long, kind string, buckets int")
-    commit.coalesce(1).write.mode("errorifexists").parquet(
-        f"{path.rstrip('/')}/{_COMMITS}/{_VERSION}={version:09d}")
-    return version
+        out = out.hint("rebalance", _BUCKET, *partition_by)
+    folder = f"{path.rstrip('/')}/{_WRITE}={write}"
+    out.write.partitionBy(_BUCKET, *partition_by).parquet(folder)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(folder).select("path", "length"))
+    bucket = F.regexp_extract("path", rf"/{_BUCKET}=(\d+)/", 1).cast("int")
+    sizes = files.groupBy(bucket.alias("bucket")).agg(F.sum("length").alias("bytes")).collect()  # one per bucket
+    return [(r["bucket"], f"{_WRITE}={write}/{_BUCKET}={r['bucket']}", int(r["bytes"])) for r in sorted(sizes)]
+
+
+def _commit(spark: SparkSession, path: str, new: State, write: str) -> int:
+    header = (_HEADER, None, new.bytes, new.buckets, new.schema.json(), new.tag)
+    rows = [header, *((b, f, n, None, None, None) for b, f, n in new.folders)]
+    below = f"{path.rstrip('/')}/{_MANIFEST}/version={new.version}"
+    (spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(f"{below}/id={write}"))
+    rivals = _manifests(spark, path, new.version)
+    if _first(spark, rivals)[1] != write:
+        raise ConcurrentWriteError(f"version {new.version} of {path} was committed by another writer")
+    return new.version
+
+
+def _widened(old: StructType, new: StructType) -> StructType:
+    """The table's columns, then those that are new; a column keeps its type."""
+    known = {f.name: f for f in old.fields}
+    for f in new.fields:
+        if f.name in known and f.dataType != known[f.name].dataType:
+            raise ValueError(f"column {f.name} is {known[f.name].dataType.simpleString()} in the table, not {f.dataType.simpleString()}")
+    return StructType([*old.fields, *(f for f in new.fields if f.name not in known)])
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequence[str] = (),
-                buckets: int = 1, partition_by: Sequence[str] = ()) -> int:
+                buckets: int = 1, partition_by: Sequence[str] = (), tag: str | None = None) -> int:
     """Replace the table (``overwrite``) or add rows to it (``append``).
     ``keys`` / ``buckets`` set the bucketing when the table is created; an
     append reuses the table's bucketing. ``partition_by`` adds value folders
-    (e.g. a year) inside every segment, so filters on those columns prune
-    files; every write to a table must use the same ``partition_by``.
-    Returns the version written."""
+    (e.g. a year) inside every bucket, so filters on those columns prune
+    files; every write to a table must use the same ``partition_by``. ``tag``
+    is kept with the version. Returns the version written."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
-    state = _state(spark, path)
-    cur = current_segments(state.segments)
-    v = state.next_version
-    if mode == "append" and cur:
-        n = cur[0].buckets
-        if n > 1 and not keys:
+    write = uuid.uuid4().hex
+    now = state(spark, path)
+    version = now.version + 1 if now else 1
+    if mode == "append" and now:
+        if now.buckets > 1 and not keys:
             raise ValueError("append to a bucketed table needs its key columns")
-        return _write(df, path, bucket_of(keys, n), n, v, "add", partition_by)
+        schema = _widened(now.schema, df.schema)
+        added = _write_rows(df, path, write, keys, now.buckets, partition_by)
+        return _commit(spark, path, State(version, now.buckets, schema, (*now.folders, *added), tag), write)
     n = buckets if keys else 1
-    return _write(df, path, bucket_of(keys, n), n, v, "full", partition_by)
+    folders = _write_rows(df, path, write, keys, n, partition_by)
+    return _commit(spark, path, State(version, n, df.schema, tuple(folders), tag), write)
 
 
-def _check_unique_source(source: DataFrame, keys: Sequence[str]) -> None:
-    any_null = reduce(operator.or_, [F.col(k).isNull() for k in keys])
-    dup = (source.where(~any_null).groupBy(*keys).count()
-           .where(F.col("count") > 1).limit(1).collect())
+def _check_unique(rows: DataFrame, keys: Sequence[str]) -> None:
+    present = reduce(operator.and_, [F.col(k).isNotNull() for k in keys])
+    dup = rows.where(present).groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise DuplicateSourceKeyError(f"several source rows share key {dup[0].asDict()}")
 
@@ -234,114 +235,43 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-           check_unique: bool = True, buckets: int = 1, partition_by: Sequence[str] = ()) -> int:
+           check_unique: bool = True, buckets: int = 1, partition_by: Sequence[str] = (),
+           tag: str | None = None) -> int:
     """Update matched rows, insert new ones, keep the rest, rewriting only
     the buckets the source touches. Creates the table (with ``buckets``
     buckets over ``keys``) when it does not exist. Returns the version.
 
-    The source is used by up to three jobs (uniqueness check, touched
-    buckets, merge), so it is kept (memory, spilling to disk) for the
-    duration of the call instead of being recomputed from its plan; a lost
-    executor only means its blocks are rebuilt from lineage."""
-    src = source.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        state = _state(spark, path)
-        cur = current_segments(state.segments)
-        if not cur:
-            if check_unique:
-                _check_unique_source(src, keys)
-            return write_table(src, path, "overwrite", keys, buckets, partition_by)
-        n = cur[0].buckets
-        # One pass answers both questions: does any key occur twice, and
-        # which buckets does the source touch (at most n values).
-        all_keys = reduce(operator.and_, [F.col(k).isNotNull() for k in keys])
-        stats = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-                 .agg(F.max(F.when(all_keys, F.col("__rows"))).alias("most"),
-                      F.collect_set(bucket_of(keys, n)).alias("touched"))
-                 .first())
-        if check_unique and (stats["most"] or 0) > 1:
-            raise DuplicateSourceKeyError(f"several source rows share a key of {list(keys)}")
-        touched = set(stats["touched"])
-        hit = [s for s in cur if s.bucket in touched]
-        merged = merge_rows(_read(spark, path, hit), src, keys) if hit else src
-        return _write(merged, path, bucket_of(keys, n), n, state.next_version, "part",
-                      partition_by)
-    finally:
-        src.unpersist()
-
-
-def replace_by_keys(spark: SparkSession, path: str, source: DataFrame,
-                    keys: Sequence[str], buckets: int = 1, partition_by: Sequence[str] = ()) -> int:
+    The source is evaluated once: its rows are written as they are to count in
+    the new version, and everything else is decided from what was written."""
+    write = uuid.uuid4().hex
+    now = state(spark, path)
+    n = now.buckets if now else (buckets if keys else 1)
+    schema = _widened(now.schema, source.schema) if now else source.schema
+    new = _write_rows(source, path, write, keys, n, partition_by)
+    written = _read(spark, path, source.schema, [f for _, f, _ in new])
+    if check_unique:
+        _check_unique(written, keys)
+    folders = new
+    if now:
+        touched = {b for b, _, _ in new}
+        hit = [f for b, f, _ in now.folders if b in touched]
+        folders = [f for f in now.folders if f[0] not in touched] + new
+        if hit:
+            kept = _read(spark, path, now.schema, hit).join(written.select(*keys), list(keys), "left_anti")
+            folders += _write_rows(kept.select(*now.schema.names), path, f"{write}k", keys, n, partition_by)
+    version = now.version + 1 if now else 1
+    return _commit(spark, path, State(version, n, schema, tuple(folders), tag), write)
+
+
+def replace_by_keys(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                    buckets: int = 1, partition_by: Sequence[str] = (), tag: str | None = None) -> int:
     """Replace every target row sharing a key with the source rows of that
     key (e.g. all lines of an order), keep the other target rows."""
     return upsert(spark, path, source, keys, check_unique=False, buckets=buckets,
-                  partition_by=partition_by)
-
-
-def register_table(spark: SparkSession, name: str, path: str,
-                   version: int | None = None) -> DataFrame:
-    """Expose the table's current (or a past) state under ``name`` for
-    ``spark.read.table(name)`` and SQL in this session. The view pins the
-    segments that were current when it was registered; register again after
-    a write to see the new version."""
-    df = read_table(spark, path, version)
-    df.createOrReplaceTempView(name)
-    return df
-
-
-def _erase(spark: SparkSession, folder: str) -> None:
-    """Remove a folder's data files with a plain overwrite by an empty frame
-    (Spark deletes the old files; one empty placeholder file remains)."""
-    spark.createDataFrame([], "vacuumed boolean").coalesce(1) \
-        .write.mode("overwrite").parquet(folder)
-
-
-def vacuum(spark: SparkSession, path: str, retain_versions: int = 1) -> int:
-    """Free the storage of segments no retained version can read.
-
-    Keeps every segment that is current as of one of the newest
-    ``retain_versions`` versions, so time travel within that window still
-    works; older versions become unreadable. The new floor is written to the
-    commit log *before* anything is erased, so readers never see a version
-    whose files are being removed. Orphans of failed writes older than the
-    newest commit are erased too; newer ones may belong to a write still in
-    progress and are left alone. Returns the number of segments erased.
-    """
-    state = _state(spark, path)
-    segs = state.segments
-    versions = sorted({s.version for s in segs if s.version >= state.floor})
-    if not versions:
-        return 0
-    retained = versions[-max(1, retain_versions):]
-    keep: set[Segment] = set()
-    for v in retained:
-        keep |= set(current_segments(segs, v))
-    newest = max(state.committed)
-    orphans = [s for s in state.on_disk if s.version not in state.committed and s.version < newest]
-    drop = [s for s in segs if s not in keep] + orphans
-    floor = min(retained)
-    if floor > state.floor:
-        spark.createDataFrame([(floor,)], "floor long").coalesce(1).write.mode("overwrite") \
-            .parquet(f"{path.rstrip('/')}/_floor/floor={floor:09d}")
-    for s in drop:
-        _erase(spark, s.folder(path))
-    return len(drop)
-
-
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the data files under ``path`` - one small job that
-    reads file lengths from the listing, never file contents."""
-    try:
-        row = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-               .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first())
-    except AnalysisException as exc:
-        if (exc.getCondition() or "") == "PATH_NOT_FOUND":
-            return 0
-        raise
-    return int(row["n"])
+                  partition_by=partition_by, tag=tag)
 
 
-def buckets_for(size_bytes: int, bytes_per_bucket: int = 1 << 30, limit: int = 65536) -> int:
+def buckets_for(size_bytes: int, bytes_per_bucket: int = 1 << 30) -> int:
     """Bucket count giving about ``bytes_per_bucket`` per bucket: an upsert
     then rewrites whole buckets of roughly that size, whatever the table's."""
-    return max(1, min(limit, -(-size_bytes // bytes_per_bucket)))
+    return max(1, -(-size_bytes // bytes_per_bucket))

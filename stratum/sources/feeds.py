@@ -54,27 +54,6 @@ def csv_options(rescue: bool = True) -> dict[str, str]:
     return opts
 
 
-def read_feed_csv(spark: SparkSession, path: str, feed: str, rescue: bool = True) -> DataFrame:
-    """Batch read of raw CSV files of one feed (all columns text), with the
-    same parsing and rescue as the bronze stream - for re-reading extracts
-    outside the incremental load."""
-    return (spark.read.schema(feed_schema(feed, rescue)).options(**csv_options(rescue))
-            .csv(path))
-
-
-def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-distribute ``df`` on ``keys`` when its scan yields fewer
-    partitions than the session can run at once (e.g. a large file written
-    as one row group is read by a single task). A scan that is already
-    parallel is returned untouched, so this never adds a shuffle to a large,
-    well-split input. The check reads only the plan's partition count."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *keys)
-
-
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given benchmark tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -13,7 +13,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.sources.feeds import driver_table, spread
+from stratum.sources.feeds import driver_table
 
 FEED_SQL: dict[str, str] = {
     "cust_info": """
@@ -58,33 +58,25 @@ SELECT 'SO' || cast(l_orderkey AS string) AS sls_ord_num,
             WHEN 2 THEN cast(l_partkey % 100 + 1 AS string) || '.5' ELSE cast(l_partkey % 100 + 1 AS string) END AS sls_price
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "cust_az12": """
-SELECT CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || 'AW' || lpad(cast(c_custkey AS string), 8, '0') AS CID,
+SELECT CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || CASE WHEN c_custkey % 10 = 7 THEN 'ZZ' ELSE 'AW' END || lpad(cast(c_custkey AS string), 8, '0') AS CID,
        CASE WHEN c_custkey % 13 = 0 THEN '2100-01-01' WHEN c_custkey % 29 = 0 THEN 'bad'
             ELSE cast(date '1950-01-01' + cast((c_custkey * 23) % 18000 AS int) AS string) END AS BDATE,
        CASE c_custkey % 6 WHEN 0 THEN 'M' WHEN 1 THEN 'F ' WHEN 2 THEN 'female' WHEN 3 THEN ' Male' WHEN 4 THEN '  ' END AS GEN
-FROM customer WHERE c_custkey % 10 <> 7""",
+FROM customer""",
     "loc_a101": """
-SELECT ' AW-' || lpad(cast(c_custkey AS string), 8, '0') AS CID,
+SELECT CASE WHEN c_custkey % 10 = 3 THEN ' ZZ-' ELSE ' AW-' END || lpad(cast(c_custkey AS string), 8, '0') AS CID,
        CASE c_custkey % 7 WHEN 0 THEN 'DE' WHEN 1 THEN ' us' WHEN 2 THEN 'USA' WHEN 3 THEN ' ' WHEN 4 THEN 'France '
             WHEN 5 THEN 'Australia' END AS CNTRY
-FROM customer WHERE c_custkey % 10 <> 3""",
+FROM customer""",
     "px_cat_g1v2": """
-SELECT DISTINCT substr(p_type, 1, 2) || '_' || substr(p_type, 3, 2) AS ID, p_type AS CAT,
+SELECT DISTINCT CASE WHEN p_type = 'LARGE' THEN 'none' ELSE substr(p_type, 1, 2) || '_' || substr(p_type, 3, 2) END AS ID, p_type AS CAT,
        p_type || ' parts' AS SUBCAT,
        CASE WHEN p_type IN ('SMALL', 'PROMO') THEN 'No' ELSE 'Yes' END AS MAINTENANCE
-FROM part WHERE p_type <> 'LARGE'""",
+FROM part""",
 }
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-# Fact-sized tables and the key their rows are spread on when a scan is
-# under-partitioned (see ``sources.feeds.spread``).
-SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"]}
-
-# The large (probe) side of each derived feed; only that one is spread - the
-# other side is a broadcast candidate and gains nothing from a shuffle.
-FEED_SPREAD = {"sales_details": ("lineitem",), "cust_info": ("orders",)}
-
 # Tables each derived feed reads.
 FEED_TABLES = {
     "cust_info": ("orders", "customer"),
@@ -96,12 +88,6 @@ FEED_TABLES = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; fact-sized ones are spread when under-partitioned."""
-    df = driver_table(spark, sf_dir, name)
-    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
-
-
 def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """Derived raw feed (all text columns) read from the tables in ``sf_dir``.
 
@@ -110,9 +96,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     names = FEED_TABLES[feed]
     pattern = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(names) + r")\b")
     sql = pattern.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", FEED_SQL[feed])
-    spread_here = FEED_SPREAD.get(feed, ())
-    return spark.sql(sql, **{n: table(spark, sf_dir, n) if n in spread_here
-                             else driver_table(spark, sf_dir, n) for n in names})
+    return spark.sql(sql, **{n: driver_table(spark, sf_dir, n) for n in names})
 
 
 def feed_cte(*feeds: str) -> str:

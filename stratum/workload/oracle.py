@@ -194,7 +194,7 @@ SELECT prd_id,
 FROM prd_info""",
 
     "strip_tokens": feed_cte("cust_az12") + """
-SELECT CID, regexp_replace(CID, 'NAS', '', 'g') AS cid FROM cust_az12""",
+SELECT CID, regexp_replace(CID, 'NAS', '', 'g') AS cid_clean FROM cust_az12""",
 
     "guarded_dates": feed_cte("sales_details") + f"""
 SELECT sls_ord_num, sls_prd_key,
@@ -335,4 +335,34 @@ WHERE rn = 1"""
 ORACLE_SQL["stream_by_name"] = feed_cte("cust_info") + """
 SELECT *, CASE WHEN cst_create_date >= '1995-01-01' THEN '{"cst_source":"crm"}' END AS _rescued_data
 FROM cust_info"""
+ORACLE_SQL["replace_with_empty_then_append"] = "SELECT * FROM part WHERE p_size > 25"
+ORACLE_SQL["upsert_creates_missing"] = """
+SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN upper(c_name) ELSE c_name END AS c_name, c_nationkey, c_acctbal, c_mktsegment
+FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_acctbal > 0"""
+ORACLE_SQL["read_by_name"] = "SELECT * FROM supplier"
+ORACLE_SQL["audit_stamp"] = _with(("loc_a101",), SILVER_LOC_A101) + """
+SELECT cid, cntry, true AS stamped FROM silver_loc_a101"""
+ORACLE_SQL["repair_rule_price"] = _with(("sales_details",), SILVER_SALES) + """
+SELECT sls_ord_num, sls_prd_key,
+       CASE WHEN s IS NULL OR s <= 0 OR s <> qd * abs(p) THEN qd * abs(p) ELSE s END AS sls_sales
+FROM sales_typed"""
+ORACLE_SQL["fill_all_silver"] = _with(("cust_az12",), SILVER_CUST_AZ12) + """
+SELECT COALESCE(cid, 'Unknown') AS cid, bdate, COALESCE(gen, 'Unknown') AS gen FROM silver_cust_az12"""
+# Customers of the first load keep their key; new ones follow the largest.
+ORACLE_SQL["gold_upsert_second_load"] = _with(("cust_info",), """
+one AS (
+  SELECT load, TRY_CAST(cst_id AS INTEGER) AS customer_id, cst_key AS customer_number, trim(cst_lastname) AS last_name
+  FROM (SELECT *, row_number() OVER (
+            PARTITION BY load, cst_id
+            ORDER BY cst_create_date DESC NULLS LAST, cst_key ASC NULLS FIRST,
+                     cst_firstname ASC NULLS FIRST, cst_lastname ASC NULLS FIRST,
+                     cst_marital_status ASC NULLS FIRST, cst_gndr ASC NULLS FIRST) AS rn
+        FROM (SELECT 1 AS load, * FROM cust_info WHERE NOT starts_with(cst_lastname, 'B')
+              UNION ALL SELECT 2, * FROM cust_info WHERE NOT starts_with(cst_lastname, 'A')) loads) ranked
+  WHERE rn = 1 AND regexp_matches(cst_key, '^AW\\d+$'))""", """
+first_load AS (SELECT row_number() OVER (ORDER BY customer_id) AS sk, * FROM one WHERE load = 1)""", """
+added AS (SELECT row_number() OVER (ORDER BY customer_id) + (SELECT max(sk) FROM first_load) AS sk, * FROM one
+          WHERE load = 2 AND customer_id NOT IN (SELECT customer_id FROM first_load))""") + """
+SELECT CAST(sk AS BIGINT) AS customer_sk, customer_id, customer_number, last_name
+FROM (SELECT * FROM first_load UNION ALL SELECT * FROM added) s"""
 ORACLE_SQL["star_build_stored"] = ORACLE_SQL["fact_sales"]

@@ -21,7 +21,7 @@ from stratum.session import scratch_path
 from stratum.sinks import tables
 from stratum.sources.feeds import FEED_COLUMNS, driver_table
 from stratum.streaming import by_name, ingest
-from stratum.workload.feeds import raw_feed, table
+from stratum.workload.feeds import raw_feed
 
 # Fixed "today" for every date rule, so reruns and the oracle agree.
 AS_OF = "2024-06-30"
@@ -39,7 +39,7 @@ def keep_latest_hot_groups(spark, sf):
     """Newest line per (return flag, line status): a handful of groups, each
     holding a large share of all lines - the partial group limit keeps one
     row per group and map task before the shuffle."""
-    lines = table(spark, sf, "lineitem").select(
+    lines = driver_table(spark, sf, "lineitem").select(
         "l_returnflag", "l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
         "l_quantity")
     key = F.concat_ws("|", "l_returnflag", "l_linestatus").alias("flag_status")
@@ -47,7 +47,7 @@ def keep_latest_hot_groups(spark, sf):
 
 
 def keep_any_deterministic(spark, sf):
-    orders = table(spark, sf, "orders")
+    orders = driver_table(spark, sf, "orders")
     one = dedup.keep_first(orders, ["o_custkey"], [F.col("o_orderkey").asc()])
     return one.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
 
@@ -83,7 +83,7 @@ def split_key_parts(spark, sf):
 
 def strip_tokens(spark, sf):
     r4 = raw_feed(spark, sf, "cust_az12")
-    return r4.select("CID", keys.strip_pattern("CID", silver.ERP_ID_NOISE).alias("cid"))
+    return r4.select("CID", keys.strip_pattern("CID", silver.ERP_ID_NOISE).alias("cid_clean"))
 
 
 def guarded_dates(spark, sf):
@@ -119,6 +119,26 @@ def repair_price(spark, sf):
               .select("sls_ord_num", "sls_prd_key", "sls_sales", "sls_quantity", "sls_price"))
 
 
+def repair_rule_price(spark, sf):
+    """The amount check against the unit price (``rule="price"``)."""
+    r3 = raw_feed(spark, sf, "sales_details")
+    return r3.select("sls_ord_num", "sls_prd_key",
+                     numbers.repaired_amount("sls_sales", "sls_quantity", "sls_price", rule="price")
+                     .alias("sls_sales"))
+
+
+def audit_stamp(spark, sf):
+    """The load time that silver rows carry; only its presence can be compared."""
+    silver_rows = silver.clean_loc_a101(raw_feed(spark, sf, "loc_a101"))
+    stamp = silver_rows.columns[-1]
+    return silver_rows.select("cid", "cntry", F.col(stamp).isNotNull().alias("stamped"))
+
+
+def fill_all_silver(spark, sf):
+    """Every text column of a silver table filled (``fill_all=True``)."""
+    return silver.clean_cust_az12(raw_feed(spark, sf, "cust_az12"), as_of=AS_OF, audit=None, fill_all=True)
+
+
 def move_column(spark, sf):
     return shape.move_column(driver_table(spark, sf, "part"), "p_type", "p_partkey")
 
@@ -161,7 +181,7 @@ def clean_px_cat(spark, sf):
 # --- windows ----------------------------------------------------------------
 
 def version_end_date(spark, sf):
-    orders = table(spark, sf, "orders").select(
+    orders = driver_table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("start_date"))
     return versions.version_end(orders, "o_custkey", "start_date", "end_date",
                                 open_value=dates.as_of_date(AS_OF))
@@ -170,13 +190,13 @@ def version_end_date(spark, sf):
 def version_end_timestamp(spark, sf):
     """Same rule on timestamp starts: takes the range-partitioned path, where
     a customer with very many orders is split over several tasks."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey",
+    orders = driver_table(spark, sf, "orders").select("o_orderkey", "o_custkey",
                                                F.col("o_orderdate").alias("start_ts"))
     return versions.version_end(orders, "o_custkey", "start_ts", "end_ts")
 
 
 def dense_key(spark, sf):
-    orders = table(spark, sf, "orders").select(
+    orders = driver_table(spark, sf, "orders").select(
         "o_orderkey",
         # orders without a stated priority carry no usable date here (nulls first)
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None))
@@ -241,10 +261,10 @@ def upsert_dim(spark, sf):
 
 
 def replace_by_order(spark, sf):
-    lineitem = table(spark, sf, "lineitem").select(
+    lineitem = driver_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     # a corrected order keeps only its first two returned lines
-    returned = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
+    returned = driver_table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     source = (returned.where(F.col("l_linenumber") <= 2)
               .select("l_orderkey", "l_linenumber", "l_partkey",
                       (F.col("l_quantity") + 1).alias("l_quantity")))
@@ -263,6 +283,35 @@ def append_replace_round_trip(spark, sf):
     return tables.read_table(spark, path).select("p_partkey", "p_name", "p_size")
 
 
+def replace_with_empty_then_append(spark, sf):
+    """A table replaced by no rows holds none; a later append is all it has."""
+    part = driver_table(spark, sf, "part")
+    path = scratch_path(spark, "emptied")
+    tables.write_table(part, path)
+    tables.write_table(part.where(F.lit(False)), path)
+    assert tables.read_table(spark, path).isEmpty()
+    tables.write_table(part.where(F.col("p_size") > 25), path, "append")
+    return tables.read_table(spark, path)
+
+
+def upsert_creates_missing(spark, sf):
+    """The first merge into a table that does not exist creates it; the second
+    one updates and inserts."""
+    customer = driver_table(spark, sf, "customer")
+    path = scratch_path(spark, "created")
+    tables.upsert(spark, path, customer.where(F.col("c_mktsegment") != "BUILDING"), ["c_custkey"], buckets=4)
+    tables.upsert(spark, path, customer.where(F.col("c_acctbal") > 0).withColumn("c_name", F.upper("c_name")), ["c_custkey"])
+    return tables.read_table(spark, path)
+
+
+def read_by_name(spark, sf):
+    """A stored table read by its registered name."""
+    path = scratch_path(spark, "named")
+    tables.write_table(driver_table(spark, sf, "supplier"), path)
+    tables.register_table(spark, "stratum_supplier", path)
+    return spark.read.table("stratum_supplier")
+
+
 # --- streaming ingestion ----------------------------------------------------
 
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
@@ -277,7 +326,7 @@ def _ingest_twice(spark, feed, first, second):
     ingest.ingest_feed(spark, raw, bronze, ckpt, feed)
     second.write.mode("append").options(**CSV_WRITE).csv(raw)
     ingest.ingest_feed(spark, raw, bronze, ckpt, feed)
-    return ingest.read_bronze(spark, bronze)
+    return ingest.read_bronze(spark, bronze, feed)
 
 
 def stream_ingest(spark, sf):
@@ -301,23 +350,31 @@ def stream_rescue(spark, sf):
     raw, bronze, ckpt = f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint"
     r5.select(line.alias("value")).write.text(raw)
     ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", header=False)
-    return ingest.read_bronze(spark, bronze).select("CID", "CNTRY", "_rescued_data")
+    return ingest.read_bronze(spark, bronze, "loc_a101").select("CID", "CNTRY", "_rescued_data")
 
 
 def stream_by_name(spark, sf):
-    """Two extract layouts of the same feed: the later one lists the
-    columns in reverse order and adds an unknown column; columns are mapped
-    by header name and the unknown one is rescued as JSON."""
+    """Three extract layouts of the same feed: the later one lists the
+    columns in reverse order and adds an unknown column, a third one has blank
+    lines before its header and between its rows; columns are mapped by header
+    name, the unknown one is rescued as JSON, blank lines are no rows."""
     r1 = raw_feed(spark, sf, "cust_info")
     later = F.col("cst_create_date") >= F.lit(BATCH_SPLIT)
     root = scratch_path(spark, "by_name")
     raw, bronze, ckpt = f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint"
-    r1.where(~later).write.mode("append").options(**CSV_WRITE).csv(raw)
+    spaced = F.col("cst_key").startswith("BAD")
+    r1.where(~later & ~spaced).write.mode("append").options(**CSV_WRITE).csv(raw)
+    header, line = ",".join(r1.columns), F.concat(F.to_csv(F.struct(*r1.columns), CSV_WRITE), F.lit("\n"))
+    (r1.where(~later & spaced).select(line.alias("value")).coalesce(1).write.mode("append")
+       .option("lineSep", "\n").text(f"{root}/spaced"))
+    # one file: blank line, header, then every row with a blank line after it
+    body = spark.read.text(f"{root}/spaced", wholetext=True).select(F.concat(F.lit(f"\n{header}\n"), "value").alias("value"))
+    body.coalesce(1).write.mode("append").option("lineSep", "\n").text(raw)
     reordered = list(reversed(r1.columns)) + ["cst_source"]
     (r1.where(later).withColumn("cst_source", F.lit("crm")).select(*reordered)
        .write.mode("append").options(**CSV_WRITE).csv(raw))
     by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "cust_info")
-    return by_name.read_bronze_by_name(spark, bronze)
+    return ingest.read_bronze(spark, bronze, "cust_info")
 
 
 # --- the whole layered build over stored tables -------------------------------
@@ -344,6 +401,25 @@ def star_build_stored(spark, sf):
         "sales", "quantity", "price")
 
 
+def gold_upsert_second_load(spark, sf):
+    """Two loads in upsert mode: the second lacks some customers and products
+    and brings new ones; matched rows keep their surrogate key, vanished rows
+    stay, new rows are numbered after the largest key."""
+    root = scratch_path(spark, "second_load")
+    roots = layers.Roots(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    feeds = {f: raw_feed(spark, sf, f) for f in FEED_COLUMNS}
+    for segment in (F.col("cst_lastname").startswith("B"), F.col("cst_lastname").startswith("A")):
+        # each load delivers the whole state as it is then, without one segment
+        present = {**feeds, "cust_info": feeds["cust_info"].where(~segment)}
+        for feed, df in present.items():
+            builder = silver.SILVER_BUILDERS[feed]
+            extra = {"as_of": AS_OF} if feed in ("prd_info", "cust_az12") else {}
+            tables.write_table(builder(df, audit=None, **extra), roots.silver_table(feed))
+        layers.build_gold(spark, roots, mode="upsert", audit=False, buckets=4)
+    return tables.read_table(spark, roots.gold_table("dim_customers")).select(
+        "customer_sk", "customer_id", "customer_number", "last_name")
+
+
 QUERIES: dict[str, Query] = {
     "keep_latest": keep_latest,
     "keep_latest_hot_groups": keep_latest_hot_groups,
@@ -359,6 +435,9 @@ QUERIES: dict[str, Query] = {
     "cap_future_date": cap_future_date,
     "repair_amount": repair_amount,
     "repair_price": repair_price,
+    "repair_rule_price": repair_rule_price,
+    "audit_stamp": audit_stamp,
+    "fill_all_silver": fill_all_silver,
     "move_column": move_column,
     "rename_drop_alias": rename_drop_alias,
     "clean_cust_info": clean_cust_info,
@@ -377,8 +456,12 @@ QUERIES: dict[str, Query] = {
     "upsert_dim": upsert_dim,
     "replace_by_order": replace_by_order,
     "append_replace_round_trip": append_replace_round_trip,
+    "replace_with_empty_then_append": replace_with_empty_then_append,
+    "upsert_creates_missing": upsert_creates_missing,
+    "read_by_name": read_by_name,
     "stream_ingest": stream_ingest,
     "stream_rescue": stream_rescue,
     "stream_by_name": stream_by_name,
     "star_build_stored": star_build_stored,
+    "gold_upsert_second_load": gold_upsert_second_load,
 }

@@ -50,16 +50,50 @@ def test_fact_sales_versions_multiply_and_unmatched_null(spark):
 def test_write_read_versions(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     assert not tables.table_exists(spark, path)
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, path)
     df = spark.range(0, 10).withColumn("v", F.lit("a"))
     assert tables.write_table(df, path) == 1
     assert tables.write_table(df.select("id"), path) == 2           # replace, new schema
     # an append is its own committed version on top of version 2
     assert tables.write_table(df.select("id", F.lit(1).alias("w")), path, "append") == 3
     cur = tables.read_table(spark, path)
-    assert sorted(cur.columns) == ["id", "w"] and cur.count() == 20
-    assert tables.read_table(spark, path, version=1).count() == 10  # time travel
-    assert tables.read_table(spark, path, version=2).columns == ["id"]
-    assert tables.table_versions(spark, path) == [1, 2, 3]
+    assert cur.columns == ["id", "w"] and cur.count() == 20 and cur.where("w is null").count() == 10
+    with pytest.raises(ValueError):                                  # a column keeps its type
+        tables.write_table(spark.createDataFrame([("x",)], "id string"), path, "append")
+
+
+def test_empty_tables(spark, tmp_dir):
+    path = f"{tmp_dir}/empty"
+    none = spark.createDataFrame([], "k int, v string")
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.write_table(none, path, keys=["k"], buckets=4)            # the first write may be empty
+    assert tables.read_table(spark, path).schema == none.schema and tables.read_table(spark, path).count() == 0
+    tables.upsert(spark, path, one, ["k"])
+    assert tables.read_table(spark, path).collect() == one.collect()
+    tables.upsert(spark, path, none, ["k"])
+    assert tables.read_table(spark, path).collect() == one.collect()
+    tables.write_table(none, path, keys=["k"], buckets=4)            # replaced by nothing
+    assert tables.read_table(spark, path).count() == 0 and tables.current_bytes(spark, path) == 0
+    tables.write_table(one, path, "append", keys=["k"])
+    assert tables.read_table(spark, path).collect() == one.collect()
+
+
+def test_two_writers_of_one_version(spark, tmp_dir, monkeypatch):
+    """Both start from version 1; the first manifest wins and only its rows count."""
+    path = f"{tmp_dir}/race"
+    tables.write_table(spark.range(0, 3), path)
+    base = tables.state(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "state", lambda *_: base)
+        assert tables.write_table(spark.range(10, 12), path) == 2
+        with pytest.raises(tables.ConcurrentWriteError):
+            tables.write_table(spark.range(20, 25), path)
+        with pytest.raises(tables.ConcurrentWriteError):
+            tables.upsert(spark, path, spark.range(30, 31), ["id"])
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [10, 11]
+    assert tables.write_table(spark.range(40, 41), path, "append") == 3
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [10, 11, 40]
 
 
 def test_upsert_semantics_and_idempotence(spark, tmp_dir):
@@ -98,18 +132,19 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     path = f"{tmp_dir}/bucketed"
     target = spark.range(0, 400).select(F.col("id").alias("k"), F.lit("old").alias("v"))
     assert tables.write_table(target, path, keys=["k"], buckets=8) == 1
-    assert len(tables.current_segments(tables.segments(spark, path))) == 8
+    before = tables.state(spark, path)
+    assert len(before.folders) == 8
     source = spark.createDataFrame([(7, "new"), (1000, "ins")], "k long, v string")
-    v = tables.upsert(spark, path, source, ["k"])
-    segs = tables.segments(spark, path)
-    rewritten = [s for s in segs if s.version == v]
-    assert 1 <= len(rewritten) <= 2 and all(not s.full for s in rewritten)
+    tables.upsert(spark, path, source, ["k"])
+    after = tables.state(spark, path)
+    assert 6 <= len(set(before.folders) & set(after.folders)) <= 7   # untouched buckets stay as they are
     cur = tables.read_table(spark, path)
     assert cur.count() == 401
     assert dict(cur.where("k in (7, 1000, 8)").rdd.map(tuple).collect()) == \
         {7: "new", 1000: "ins", 8: "old"}
-    assert tables.read_table(spark, path, version=1).where("v = 'old'").count() == 400
-    # a full overwrite hides every older segment, also in untouched buckets
+    assert tables.read_added(spark, path, after).count() == 0
+    assert 2 <= tables.read_added(spark, path, before).count() < 401
+    # a full overwrite replaces untouched buckets as well
     tables.write_table(spark.createDataFrame([(1, "x")], "k long, v string"), path,
                        keys=["k"], buckets=8)
     assert tables.read_table(spark, path).count() == 1
@@ -123,17 +158,20 @@ def test_register_table_for_named_reads(spark, tmp_dir):
     assert spark.sql("SELECT sum(id) AS s FROM stratum_named_t").first()["s"] == 10
 
 
-def test_uncommitted_write_is_invisible(spark, tmp_dir):
+def test_uncommitted_write_is_invisible(spark, tmp_dir, monkeypatch):
     path = f"{tmp_dir}/crash"
     tables.write_table(spark.range(0, 10), path)
-    # a write whose job finished but whose commit record never landed
-    spark.range(100, 105).withColumn("bucket", F.lit("00000of00001")) \
-        .withColumn("version", F.lit("000000002-full")) \
-        .write.mode("append").partitionBy("bucket", "version").parquet(path)
+    with monkeypatch.context() as m:    # the rows land, the manifest does not
+        m.setattr(tables, "_commit", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            tables.write_table(spark.range(100, 105), path)
     assert tables.read_table(spark, path).count() == 10
-    assert tables.write_table(spark.range(0, 3), path, "append") == 3   # skips version 2
+    assert tables.write_table(spark.range(0, 3), path, "append") == 2
+    assert tables.read_table(spark, path).count() == 13
+    dup = spark.createDataFrame([(5,), (5,)], "id long")
+    with pytest.raises(tables.DuplicateSourceKeyError):
+        tables.upsert(spark, path, dup, ["id"])
     assert tables.read_table(spark, path).count() == 13
-    assert tables.table_versions(spark, path) == [1, 3]
 
 
 def test_append_then_upsert_keeps_appended_rows(spark, tmp_dir):
@@ -165,37 +203,29 @@ def test_partitioned_segments_prune_by_value(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(order_year" in plan and q.count() == 10
 
 
-def test_vacuum_frees_stale_segments_and_keeps_retained_versions(spark, tmp_dir):
-    path = f"{tmp_dir}/vac"
-    base = spark.range(0, 200).select(F.col("id").alias("k"), F.lit("a").alias("v"))
-    tables.write_table(base, path, keys=["k"], buckets=4)                          # v1
-    tables.upsert(spark, path, spark.createDataFrame([(1, "b")], "k long, v string"), ["k"])
-    tables.upsert(spark, path, spark.createDataFrame([(2, "c")], "k long, v string"), ["k"])
-    before = dict(map(tuple, tables.read_table(spark, path).collect()))
-    v2_view = dict(map(tuple, tables.read_table(spark, path, version=2).collect()))
-    erased = tables.vacuum(spark, path, retain_versions=2)
-    assert erased >= 1
-    assert dict(map(tuple, tables.read_table(spark, path).collect())) == before
-    assert dict(map(tuple, tables.read_table(spark, path, version=2).collect())) == v2_view
-    assert tables.table_versions(spark, path) == [2, 3]
-    with pytest.raises(ValueError):
-        tables.read_table(spark, path, version=1)
-    # later writes keep working on top of the vacuumed table
-    tables.upsert(spark, path, spark.createDataFrame([(3, "d")], "k long, v string"), ["k"])
-    assert tables.read_table(spark, path).count() == 200
-    assert tables.vacuum(spark, path, retain_versions=1) >= 1
-    assert dict(map(tuple, tables.read_table(spark, path).where("k < 4").collect())) == \
-        {0: "a", 1: "b", 2: "c", 3: "d"}
-
-
-def test_bucket_count_follows_size(spark, tmp_dir):
+def test_bucket_count_follows_current_size(spark, tmp_dir):
     assert tables.buckets_for(0) == 1
     assert tables.buckets_for(5 << 30) == 5
-    assert tables.buckets_for(100 << 40) == 65536
+    assert tables.buckets_for(100 << 40) == 100 << 10
     path = f"{tmp_dir}/sized"
-    assert tables.stored_bytes(spark, path) == 0
+    assert tables.current_bytes(spark, path) == 0
     tables.write_table(spark.range(0, 1000), path)
-    assert tables.stored_bytes(spark, path) > 0
+    size = tables.current_bytes(spark, path)
+    for _ in range(2):
+        tables.write_table(spark.range(0, 1000), path)
+    assert tables.current_bytes(spark, path) == size > 0             # history doesn't count
+
+
+def test_tied_products_are_numbered_by_all_columns(spark):
+    """A category id that occurs several times gives rows that differ only in the category."""
+    prd = spark.createDataFrame([(1, "A_B", "P1", "n", 5, "Road", D(2020, 1, 1), None)],
+                                "prd_id int, cat_id string, prd_key string, prd_nm string, prd_cost int, "
+                                "prd_line string, prd_start_dt date, prd_end_dt date")
+    cats = [("A_B", f"c{i:02d}", f"s{i % 3}", "Yes") for i in range(40)]
+    schema = "id string, cat string, subcat string, maintenance string"
+    for n, rows in ((1, cats), (5, cats[::-1])):
+        out = gold.dim_products(prd, spark.createDataFrame(rows, schema).repartition(n)).collect()
+        assert [r["category"] for r in sorted(out, key=lambda r: r["product_sk"])] == [c[1] for c in cats]
 
 
 def test_dim_customers_with_repeated_erp_ids_matches_all_pairs_join(spark):

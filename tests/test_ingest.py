@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from stratum.streaming import ingest
 
 
@@ -17,9 +19,9 @@ def test_incremental_ingest_with_rescue(spark, tmp_dir):
     raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
     write(raw, "a.csv", "CID,CNTRY\nAW-1,DE\nAW-2,\"\"\nAW-3,\n")
     write(raw, "b.csv", "CID,CNTRY\nAW-4,US,EXTRA\nAW-5\nAW-6, us \n")
-    res = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
+    res = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101")
     assert res.rows == 6
-    rows = {r["CID"]: r for r in ingest.read_bronze(spark, bronze).collect()}
+    rows = {r["CID"]: r for r in ingest.read_bronze(spark, bronze, "loc_a101").collect()}
     assert rows["AW-1"]["CNTRY"] == "DE" and rows["AW-1"]["_rescued_data"] is None
     assert rows["AW-2"]["CNTRY"] == "" and rows["AW-3"]["CNTRY"] is None
     assert rows["AW-4"]["_rescued_data"] == "AW-4,US,EXTRA"
@@ -27,15 +29,15 @@ def test_incremental_ingest_with_rescue(spark, tmp_dir):
     assert rows["AW-6"]["CNTRY"] == " us "
 
     # rerun without new files adds nothing
-    again = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
+    again = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101")
     assert again.rows == 0
-    assert ingest.read_bronze(spark, bronze).count() == 6
+    assert ingest.read_bronze(spark, bronze, "loc_a101").count() == 6
 
     # a second batch: only its rows are added
     write(raw, "c.csv", "CID,CNTRY\nAW-7,USA\n")
-    third = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
+    third = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101")
     assert third.rows == 1
-    assert ingest.read_bronze(spark, bronze).count() == 7
+    assert ingest.read_bronze(spark, bronze, "loc_a101").count() == 7
 
 
 def test_by_name_ingest_maps_columns_and_rescues(spark, tmp_dir):
@@ -44,8 +46,8 @@ def test_by_name_ingest_maps_columns_and_rescues(spark, tmp_dir):
     raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
     write(raw, "a.csv", "CID,CNTRY\nAW-1,DE\nAW-2,\"\"\nAW-3,\n")
     write(raw, "b.csv", "cntry,CID,EXTRA\nUS,AW-4,x\n\"a,b\",AW-5,\nFR,AW-6,y,z\nAW-7\n")
-    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
-    rows = {r["CID"]: r for r in by_name.read_bronze_by_name(spark, bronze).collect()}
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101")
+    rows = {r["CID"]: r for r in ingest.read_bronze(spark, bronze, "loc_a101").collect()}
     assert set(rows) == {"AW-1", "AW-2", "AW-3", "AW-4", "AW-5", "AW-6", None}
     assert rows["AW-1"]["CNTRY"] == "DE" and rows["AW-1"]["_rescued_data"] is None
     assert rows["AW-2"]["CNTRY"] == "" and rows["AW-3"]["CNTRY"] is None
@@ -54,11 +56,11 @@ def test_by_name_ingest_maps_columns_and_rescues(spark, tmp_dir):
     assert rows["AW-6"]["_rescued_data"] == "FR,AW-6,y,z"      # too many tokens
     assert rows[None]["_rescued_data"] == "AW-7"               # too few tokens
 
-    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
-    assert by_name.read_bronze_by_name(spark, bronze).count() == 7
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101")
+    assert ingest.read_bronze(spark, bronze, "loc_a101").count() == 7
     write(raw, "c.csv", "CNTRY,CID\nUSA,AW-8\n")
-    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
-    out = by_name.read_bronze_by_name(spark, bronze)
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101")
+    out = ingest.read_bronze(spark, bronze, "loc_a101")
     assert out.count() == 8 and out.where("CID = 'AW-8' AND CNTRY = 'USA'").count() == 1
 
 
@@ -68,8 +70,8 @@ def test_by_name_header_with_byte_order_mark(spark, tmp_dir):
     assert by_name.header_names("﻿CID, CNTRY") == ["CID", "CNTRY"]
     raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
     write(raw, "bom.csv", "﻿CNTRY,CID\nDE,AW-1\n")
-    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300)
-    row = by_name.read_bronze_by_name(spark, bronze).first()
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101")
+    row = ingest.read_bronze(spark, bronze, "loc_a101").first()
     assert (row["CID"], row["CNTRY"], row["_rescued_data"]) == ("AW-1", "DE", None)
 
 
@@ -78,21 +80,58 @@ def test_processed_raw_files_are_archived(spark, tmp_dir):
     archive = f"{tmp_dir}/archive"
     for i in range(3):
         write(raw, f"f{i}.csv", f"CID,CNTRY\nAW-{i},DE\n")
-    first = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300,
+    first = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101",
                                max_files_per_trigger=1, archive_dir=archive)
     assert first.rows == 3
     write(raw, "f3.csv", "CID,CNTRY\nAW-3,DE\n")
-    second = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=300,
+    second = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101",
                                 max_files_per_trigger=1, archive_dir=archive)
     assert second.rows == 1
     assert os.listdir(raw) == ["f3.csv"]          # everything before the last batch moved
-    assert ingest.read_bronze(spark, bronze).count() == 4
+    assert ingest.read_bronze(spark, bronze, "loc_a101").count() == 4
+
+
+def test_by_name_blank_lines_and_counts(spark, tmp_dir):
+    from stratum.streaming import by_name
 
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    write(raw, "a.csv", "\n  \nCNTRY,CID\n\nFR,AW-1\n\t\n\nDE,AW-2\n\n")
+    write(raw, "b.csv", "CID,CNTRY\nAW-3,US\n")
+    write(raw, "c.csv", "\n\n")
+    write(raw, "d.csv", "")
+    res = by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", max_files_per_trigger=1)
+    rows = {(r["CID"], r["CNTRY"], r["_rescued_data"]) for r in ingest.read_bronze(spark, bronze, "loc_a101").collect()}
+    assert rows == {("AW-1", "FR", None), ("AW-2", "DE", None), ("AW-3", "US", None)}
+    assert (res.rows, res.batches) == (3, 2)
+    assert by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101").rows == 0
+
+
+def test_counts_of_many_batches(spark, tmp_dir):
+    """More micro-batches than Spark keeps progress reports of."""
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    for i in range(6):
+        write(raw, f"f{i}.csv", f"CID,CNTRY\nAW-{i},DE\nBW-{i},DE\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        res = ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (res.rows, res.batches) == (12, 6) and ingest.read_bronze(spark, bronze, "loc_a101").count() == 12
 
-def test_batch_read_of_raw_extracts_matches_stream_parsing(spark, tmp_dir):
-    from stratum.sources.feeds import read_feed_csv
 
-    write(f"{tmp_dir}/raw", "a.csv", "CID,CNTRY\nAW-1,\"\"\nAW-2,\nAW-3,US,EXTRA\n")
-    rows = {r["CID"]: r for r in read_feed_csv(spark, f"{tmp_dir}/raw", "loc_a101").collect()}
-    assert rows["AW-1"]["CNTRY"] == "" and rows["AW-2"]["CNTRY"] is None
-    assert rows["AW-3"]["_rescued_data"] == "AW-3,US,EXTRA"
+def test_by_position_refuses_other_headers(spark, tmp_dir):
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    write(raw, "a.csv", "CNTRY,CID\nFR,AW-1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101")
+    assert ingest.read_bronze(spark, bronze, "loc_a101").count() == 0
+
+
+def test_time_limit_only_if_asked(spark, tmp_dir):
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    for i in range(4):
+        write(raw, f"f{i}.csv", f"CID,CNTRY\nAW-{i},DE\n")
+    with pytest.raises(TimeoutError):
+        ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=0.01, max_files_per_trigger=1)
+    ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", max_files_per_trigger=1)  # goes on where it stopped
+    assert ingest.read_bronze(spark, bronze, "loc_a101").count() == 4
