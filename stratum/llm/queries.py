@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import decontaminate, hamming_topk, html_text, huffman, near_dedup, packing, repeats, secret_scan, sharding, toxicity
+from stratum.llm.oracle import ORACLE_SQL
 from stratum.llm.ship import ship
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -75,36 +78,3 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_jump_shards, op2_nnls_packing, op3_minhash_containment, op4_multi_index_hashing, op5_toxicity, op6_bucket_refinement, op7_blob_ledger, op8_super_minhash, op9_tree_scoring, op10_huffman_ids)}
-# Words, shingles and distinct shingles of (id, text) rows of a table.
-_SHINGLES = """
-{name}_words AS (
-    SELECT {key} AS id, string_split_regex(regexp_replace(lower_ascii, '^[ \\t-\\r]+|[ \\t-\\r]+$', '', 'g'), '[ \\t-\\r]+') AS w
-    FROM (SELECT {key}, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM {table})
-    WHERE regexp_matches(lower_ascii, '[^ \\t-\\r]')),
-{name}_sets AS (
-    SELECT DISTINCT id, array_to_string(list_slice(w, i, i + {size} - 1), ' ') AS s
-    FROM {name}_words, unnest(range(1, greatest(2, len(w) - {size} + 2))) AS u(i))"""
-
-
-def shingle_sql(name: str, table: str, key: str, size: int) -> str:
-    return _SHINGLES.format(name=name, table=table, key=key, size=size)
-
-
-ORACLE_SQL: dict[str, str] = {
-    "op3_minhash_containment": f"""
-WITH {shingle_sql("d", "documents", "doc_id", 5)}, {shingle_sql("b", "benchmark", "item_id", 5)},
-sizes AS (SELECT id, count(*) AS n FROM b_sets GROUP BY id)
-SELECT d_sets.id AS doc_id, b_sets.id AS item_id, n AS item_shingles, count(*) AS shared_shingles
-FROM d_sets JOIN b_sets USING (s) JOIN sizes ON sizes.id = b_sets.id
-GROUP BY d_sets.id, b_sets.id, n HAVING 100 * count(*) >= 80 * n""",
-    "op4_multi_index_hashing": """
-WITH codes AS (
-    SELECT vec_id AS id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS code
-    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
-pairs AS (
-    SELECT q.id AS query_id, c.id AS neighbor_id, CAST(hamming(q.code, c.code) AS INTEGER) AS distance
-    FROM codes q JOIN codes c ON q.id % 50 = 0 AND q.id <> c.id)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, distance FROM (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM pairs)
-WHERE rank <= 10""",
-}
