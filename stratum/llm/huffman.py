@@ -149,10 +149,11 @@ def _count(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind))
-            if len(found) > len(total):
-                total = np.pad(total, (0, len(found) - len(total)))
-            total[:len(found)] += found
+            for i in range(0, batch.num_rows, 500):
+                found = np.bincount(np.frombuffer(b"".join(batch.column("ids").slice(i, 500).to_pylist()), kind))
+                if len(found) > len(total):
+                    total = np.pad(total, (0, len(found) - len(total)))
+                total[:len(found)] += found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["symbol", "n"])
 

@@ -19,7 +19,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs o
 _TAILS = ".,;:!?"
 # Bounds of what a worker remembers: places of the word table (20 bytes each),
 # ids of words, and letters-only words (about 200 bytes each).
-_PLACES, _POOL, _STEMS = 1 << 21, 1 << 23, 300_000
+_PLACES, _POOL, _STEMS = 1 << 20, 1 << 22, 200_000
 _MASK = np.uint64(_PLACES - 1)
 # Tokenizers whose letters-only words go straight to the merge table: lower
 # case, then bytes as printable characters.
@@ -168,7 +168,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def batches(texts: list[str | None], chars: int = 1 << 20):
+def batches(texts: list[str | None], chars: int = 1 << 19):
     """(first index, texts) in runs of about ``chars`` characters; null is empty."""
     at, run, size = 0, [], 0
     for i, t in enumerate(texts):
