@@ -34,7 +34,7 @@ def sign_words(vector: Column, bits: int) -> Column:
     """array<long>: bit i of the code is set if component i is positive."""
     def word(w: int) -> Column:
         part = F.transform(F.slice(vector, 64 * w + 1, 64),
-                           lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+                           lambda x, i: F.when((x > 0) & ~F.isnan(x), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
         return F.aggregate(part, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
     return F.array(*[word(w) for w in range(max(1, -(-bits // 64)))])

@@ -81,7 +81,7 @@ FROM d_sets JOIN b_sets USING (s) JOIN sizes ON sizes.id = b_sets.id
 GROUP BY d_sets.id, b_sets.id, n HAVING 100 * count(*) >= 80 * n""",
     "op4_multi_index_hashing": """
 WITH codes AS (
-    SELECT vec_id AS id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS code
+    SELECT vec_id AS id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 AND NOT isnan(x) THEN '1' ELSE '0' END), '') AS code
     FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
 pairs AS (
     SELECT q.id AS query_id, c.id AS neighbor_id, CAST(hamming(q.code, c.code) AS INTEGER) AS distance
