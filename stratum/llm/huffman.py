@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.llm import tokens
-from stratum.session import scratch_path
+from stratum.session import free, scratch_path
 
 END_ID, LIMIT, BLOCK_TOKENS, EVERY = 1, 16, 1 << 18, 256
 IDS_SCHEMA = "doc_id long, ids binary"
@@ -212,6 +212,7 @@ def write_coded(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_
               .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "__tie")
               .sortWithinPartitions("doc_id", "__tie").select("doc_id", "ids"))
     ranged.mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
+    free(spark, path)
 
 
 def read_coded(spark: SparkSession, folder: str) -> DataFrame:

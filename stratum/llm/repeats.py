@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import words
-from stratum.session import scratch_path
+from stratum.session import scratch_path, scratch_scope
 
 LENGTH, GRAM, BLOCK = 200, 64, 8
 ROW_SCHEMA = "weak long, strong long, key long, loc long"
@@ -221,8 +221,8 @@ def _removed(length: int):
     return run
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
+def _stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -233,14 +233,14 @@ def _identified(docs: DataFrame) -> DataFrame:
                        F.crc32(text.cast("binary")).bitwiseAND(F.lit(0xFFFFFF)).alias("extra"), text.alias("text"))
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    """Distinct texts with their number of copies, bucketed by their identity."""
+def _texts(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Distinct texts with their number of copies, as a table bucketed by their identity; its name."""
     spark = docs.sparkSession
     name = f"repeats_{uuid.uuid4().hex[:12]}"
     distinct = docs.groupBy("key", "extra").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     (distinct.write.bucketBy(min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions"))), "key", "extra")
      .option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name))
-    return spark.read.table(name)
+    return spark.read.table(name), name
 
 
 def _level(rows: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame]:
@@ -264,8 +264,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     of every row of ``docs`` (doc_id, text)."""
     if not 0 < gram <= length or length - gram > 254:
         raise ValueError("need 0 < gram <= length <= gram + 254")
+    spark = docs.sparkSession
     named = _identified(docs)
-    texts = _texts(named)
+    path = scratch_path(spark, "repeats")
+    with scratch_scope(spark):  # what is made on the way goes once the results are stored
+        texts, name = _texts(named)
+        try:
+            _find(texts, length, gram).write.parquet(path)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    result = spark.read.parquet(path)
+    return named.select("doc_id", "key", "extra").join(result, ["key", "extra"]).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+
+
+def _find(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Removed spans and what is left of each distinct text."""
     long_ = texts.filter(F.octet_length("text") >= length)
     runs = long_.select("key", "extra", "text").mapInArrow(_runs(length, gram), ROW_SCHEMA)
     found, left = _level(runs, "level0")
@@ -278,7 +291,5 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     spans = found[0]
     for more_ in found[1:]:
         spans = spans.union(more_)
-    result = _stored(_with_locs(texts, spans, "left").select("key", "extra", "text", "copies", "locs")
-                     .mapInArrow(_removed(length), "key long, extra long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"),
-                     "repeats")
-    return named.select("doc_id", "key", "extra").join(result, ["key", "extra"]).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+    return (_with_locs(texts, spans, "left").select("key", "extra", "text", "copies", "locs")
+            .mapInArrow(_removed(length), "key long, extra long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"))
