@@ -39,10 +39,15 @@ PARAGRAPHS = frozenset("p pre blockquote li dd dt h1 h2 h3 h4 h5 h6".split())
 # Words in class, id and role that tell an element's part in the page.
 GOOD = frozenset("article content main body entry post story text page".split())
 COMMENTS = frozenset("comment comments commentlist disqus replies respond discussion".split())
-BAD = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner cookie cookies "
-                "consent gdpr notice notices alert popup modal overlay sidebar aside menu nav navigation navbar breadcrumb breadcrumbs header "
-                "masthead footer colophon share sharing social related recommended newsletter subscribe subscription signup login search "
-                "pagination pager widget widgets toolbar skip copyright".split())
+BAD = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion cookie cookies "
+                "consent gdpr notice notices alert popup modal overlay sidebar aside menu nav navigation navbar breadcrumb breadcrumbs "
+                "masthead footer colophon share sharing social related recommended newsletter subscribe subscription signup login "
+                "pagination pager skip copyright".split())
+# These tell nothing beside an article word ("entry-header").
+WEAK = frozenset("header banner widget widgets search toolbar".split())
+ARTICLE = frozenset("article content entry post story text".split())
+# Layout switches of a wrapper ("has-sidebar") are no part of the page.
+SWITCHES = frozenset("has no with without".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
 _WORD = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
@@ -74,7 +79,9 @@ def part_of_page(tag: str, attrs: dict[str, str | None]) -> tuple[bool, bool]:
     if tag in DROPPED or names & COMMENTS or (attrs.get("role") or "").lower() in ROLES or "hidden" in attrs \
             or attrs.get("aria-hidden") == "true" or "display:none" in style:
         return True, False
-    return bool(names & BAD) and not good, good
+    if names & BAD and not names & SWITCHES or names & WEAK and not names & ARTICLE:
+        return True, False
+    return False, good
 
 
 class Page(HTMLParser):
@@ -178,7 +185,8 @@ def main_blocks(html: str) -> list[str]:
             e.links += links
 
     def score(e: Element) -> float:
-        return (e.points + 25 * e.good) * (1 - min(1.0, e.links / max(1, e.chars)))
+        points = e.points * (1.5 if e.good else 1) + 25 * (e.tag in ("article", "main"))
+        return points * (1 - min(1.0, e.links / max(1, e.chars)))
 
     if not seen:
         return []

@@ -37,6 +37,15 @@ def test_small_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(("names", "kept"), [
+    ("main-nav", False), ("page-header", False), ("content-sidebar", False), ("related-posts", False), ("post-ad", False), ("content-footer", False),
+    ("entry-header", True), ("has-sidebar", True), ("article-body", True), ("chapter", True), ("site-banner", False), ("shadow advanced", True),
+    ("userComments", False), ("post comment", False), ("widget", False), ("notice", False)])
+def test_parts_by_name(names, kept):
+    page = f'<body><div class="x"><p>One, two, three, four, five, six.</p><div class="{names}"><p>Inner, text.</p></div><p>Last, one.</p></div></body>'
+    assert html_text.main_text(page) == "One, two, three, four, five, six.\n" + "Inner, text.\n" * kept + "Last, one."
+
+
 def test_long_page_is_whole():
     paragraphs = [f"Paragraph {i}, with text, and commas." for i in range(20_000)]
     page = PAGE % ("<article>" + "".join(f"<p>{p}" for p in paragraphs) + "</article>")
