@@ -228,12 +228,6 @@ def _check_unique(rows: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateSourceKeyError(f"several source rows share key {dup[0].asDict()}")
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows without a source match, plus every source row."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
-
-
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
            check_unique: bool = True, buckets: int = 1, partition_by: Sequence[str] = (),
            tag: str | None = None) -> int:

@@ -407,14 +407,15 @@ def gold_upsert_second_load(spark, sf):
     stay, new rows are numbered after the largest key."""
     root = scratch_path(spark, "second_load")
     roots = layers.Roots(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
-    feeds = {f: raw_feed(spark, sf, f) for f in FEED_COLUMNS}
-    for segment in (F.col("cst_lastname").startswith("B"), F.col("cst_lastname").startswith("A")):
-        # each load delivers the whole state as it is then, without one segment
-        present = {**feeds, "cust_info": feeds["cust_info"].where(~segment)}
-        for feed, df in present.items():
-            builder = silver.SILVER_BUILDERS[feed]
+    for feed in FEED_COLUMNS:
+        if feed != "cust_info":
             extra = {"as_of": AS_OF} if feed in ("prd_info", "cust_az12") else {}
-            tables.write_table(builder(df, audit=None, **extra), roots.silver_table(feed))
+            df = silver.SILVER_BUILDERS[feed](raw_feed(spark, sf, feed), audit=None, **extra)
+            tables.write_table(df, roots.silver_table(feed))
+    for letter in ("B", "A"):
+        # each load delivers all customers as they are then, without one segment
+        present = raw_feed(spark, sf, "cust_info").where(~F.col("cst_lastname").startswith(letter))
+        tables.write_table(silver.clean_cust_info(present, audit=None), roots.silver_table("cust_info"))
         layers.build_gold(spark, roots, mode="upsert", audit=False, buckets=4)
     return tables.read_table(spark, roots.gold_table("dim_customers")).select(
         "customer_sk", "customer_id", "customer_number", "last_name")
