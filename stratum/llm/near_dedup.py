@@ -11,8 +11,12 @@
 3. Bands of the signature are bucket keys. Links are looked for in rounds, each
    leaving out pairs that are connected already: every node with its smallest
    bucket leader; then every node with all its bucket leaders; then all pairs of
-   a bucket that are still in different groups. After the last round each pair
-   of each bucket has either been verified or is connected.
+   a bucket that are still in different groups. From the second round on, nodes
+   are held against a bound: shingles that no other node of an unsettled bucket
+   has are counted, and with ``s`` others left, a pair shares at most the smaller
+   ``s``. Edited copies that are similar to none drop out by that alone, so a
+   group of them is not compared pair by pair. After the last round each pair of
+   each bucket has been verified, is connected, or cannot be similar enough.
 4. Pairs are verified on full sets: both texts are shingled again and compared
    (100 * intersection >= percent * union).
 5. Groups are the components of the verified links, found by contracting the
@@ -38,10 +42,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import tokens, words
-from stratum.session import scratch_path
+from stratum.session import scratch_path, scratch_scope
 
 BANDS, ROWS = 32, 4
 WORDS, PERCENT = 5, 80
+CELLS = 2048  # of the parity sketch; a power of two
 _GOLD = 0x9E3779B97F4A7C15
 _UNSET = np.uint64((1 << 64) - 1)
 _ELEMENTS = 1 << 17  # elements handled at once
@@ -147,9 +152,39 @@ def _linked(size: int, percent: int):
     return run
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def _exploded(size: int):
+    """id, text -> id, shingle for every distinct shingle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            for at, texts in _chunks(batch.column("text").to_pylist()):
+                values, bounds = words.shingles(texts, size)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at:at + len(texts)], np.diff(bounds))), pa.array(values.view(np.int64))],
+                                                 names=["id", "shingle"])
+
+    return run
+
+
+def _parities(size: int):
+    """id, text -> id, parity: whether an odd number of shingles falls into each cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in _chunks(batch.column("text").to_pylist()):
+                values, bounds = words.shingles(texts, size)
+                cell = (values >> np.uint64(17) & np.uint64(CELLS - 1)).astype(np.int64)
+                odd = np.bincount(np.repeat(np.arange(len(texts)), np.diff(bounds)) * CELLS + cell, minlength=len(texts) * CELLS) & 1
+                bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                width = CELLS // 64
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(at, len(texts)), pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, width), pa.int32()), pa.array(bits))],
+                    names=["id", "parity"])
+
+    return run
+
+
+def _stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Cut lineage with a table in the shared scratch folder."""
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -184,13 +219,8 @@ def components(links: DataFrame) -> DataFrame:
                          .select("node", F.coalesce("__up", "root").alias("root")), "cc-hook")
 
 
-def near_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
-
-    ``text_key`` is ``xxhash64(text)``; with doc_id it tells rows that share an id apart.
-    """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text"))
-    signed = _stored(base.mapInArrow(_signed(size, bands, rows), "doc_id long, text_key long, n_shingles long, node binary, buckets array<long>"), "signed")
+def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, percent: int) -> None:
+    """Write (__node, component_id) of all nodes of ``signed``; ``base`` has the texts."""
     nodes = _stored(signed.filter("n_shingles > 0").groupBy("node")
                     .agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("least_id"),
                          F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets")), "nodes")
@@ -222,18 +252,53 @@ def near_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, band
             pairs = pairs.join(own, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
         return pairs.filter("root_a != root_b").select("a", "b")
 
+    def unsettled(members: DataFrame) -> DataFrame:
+        """(bucket, node, n, root, ...) rows of buckets with several groups, and the bucket's least n."""
+        mixed = (members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least"))
+                 .filter("lo != hi").select("bucket", "least"))
+        return members.join(mixed, "bucket")
+
+    def can_be_similar(n_a: Column, s_a: Column, n_b: Column, s_b: Column) -> Column:
+        most = F.least(s_a, s_b)
+        return most * 100 >= (n_a + n_b - most) * percent
+
+    def grouped(groups: DataFrame) -> DataFrame:
+        return entries.select("bucket", "node", "n").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = _stored(verified(first), "links-1")
     groups = components(links)
+
+    opened = _stored(unsettled(grouped(groups)).select("node", "n").distinct().withColumn("id", F.monotonically_increasing_id()), "opened")
+    shingles = texts.join(opened, "node").select("id", "text").mapInArrow(_exploded(size), "id long, shingle long")
+    alone = (shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("id")).filter("holders = 1")
+             .groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
+    parities = texts.join(opened, "node").select("id", "text").mapInArrow(_parities(size), "id long, parity array<long>")
+    shares = _stored(opened.join(alone, "id", "left").join(parities, "id")
+                     .select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"), "parity"), "shares")
+
+    def differ_little(n_a: Column, parity_a: Column, n_b: Column, parity_b: Column) -> Column:
+        cells = F.aggregate(F.zip_with(parity_a, parity_b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
+        return cells * (100 + percent) <= (n_a + n_b) * (100 - percent)
+
     second = apart(stars.join(first, ["a", "b"], "left_anti"), groups)
+    for side in "ab":
+        second = second.join(shares.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "s", "parity")]), side)
+    second = second.filter(can_be_similar(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b")))
+    second = second.filter(differ_little(F.col("n_a"), F.col("parity_a"), F.col("n_b"), F.col("parity_b"))).select("a", "b")
     links = links.union(_stored(verified(second), "links-2"))
     groups = components(links)
-    labelled = _stored(entries.select("bucket", "node", "n").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
-    mixed = (labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket"))
-    open_ = _stored(labelled.join(mixed, "bucket"), "open-buckets")
-    x = open_.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    y = open_.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    rest = x.join(y, (x["bucket"] == y["bucket"]) & (x["a"] < y["b"]) & (F.col("root_a") != F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")))
+
+    open_ = unsettled(grouped(groups)).join(shares.select("node", "s", "parity"), "node")
+    # The smallest partner a node could have in its bucket decides if it has any.
+    partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    open_ = open_.filter(can_be_similar(F.col("n"), F.col("s"), partner, F.col("s"))).drop("least")
+    open_ = _stored(unsettled(_stored(open_, "open-members")), "open-buckets")
+    x, y = (open_.select(F.col("bucket").alias(f"bucket_{side}"), F.col("node").alias(side),
+                         *[F.col(c).alias(f"{c}_{side}") for c in ("n", "s", "root", "parity")]) for side in "ab")
+    rest = x.join(y, (x["bucket_a"] == y["bucket_b"]) & (x["a"] < y["b"]) & (F.col("root_a") != F.col("root_b"))
+                  & can_be_similar(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"))
+                  & differ_little(F.col("n_a"), F.col("parity_a"), F.col("n_b"), F.col("parity_b")))
     rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     third = _stored(verified(rest), "links-3")
     if not third.isEmpty():
@@ -241,7 +306,21 @@ def near_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, band
 
     named = nodes.select("node", "least_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = _stored(named.join(ids, "root").select(F.col("node").alias("__node"), "component_id"), "named")
+    named.join(ids, "root").select(F.col("node").alias("__node"), "component_id").write.parquet(path)
+
+
+def near_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
+
+    ``text_key`` is ``xxhash64(text)``; with doc_id it tells rows that share an id apart.
+    """
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text"))
+    signed = _stored(base.mapInArrow(_signed(size, bands, rows), "doc_id long, text_key long, n_shingles long, node binary, buckets array<long>"), "signed")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "named")
+    with scratch_scope(spark):  # what is made on the way goes once the groups are stored
+        _name_groups(base, signed, path, size, percent)
+    named = spark.read.parquet(path)
     out = signed.select("doc_id", "text_key", "n_shingles", "node")
     out = out.join(named, (out["node"] == named["__node"]) & (out["n_shingles"] > 0), "left")
     out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
