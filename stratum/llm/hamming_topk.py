@@ -2,9 +2,9 @@
 
 A code of b bits is cut into m segments (about log2 of the number of codes each)
 and entered once per segment under the segment's value. A query looks up values
-at segment distance 0, then 1, 2 ... After radius ``s`` every code at Hamming
-distance up to ``m * (s + 1) - 1`` has been met, by the pigeonhole principle, so
-a query is finished once its k-th verified distance is within that; the rounds
+at segment distance 0, then 1, 2 ... Once segments 0 to ``j`` have been searched at radius
+``s`` and the others at ``s - 1``, every code at Hamming distance up to
+``m * s + j`` has been met, by the pigeonhole principle, so a query is finished once its k-th verified distance is within that; the rounds
 end when all are. Each round is one equi-join of the unfinished queries' probes
 with the index, verified on whole codes, with the k best kept per query.
 
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from stratum.session import scratch_path
 
+ROUND_PROBES = 1000  # probes a segment up to which all segments share a round
+
 
 def sign_words(vector: Column, bits: int) -> Column:
     """array<long>: bit i of the code is set if component i is positive."""
@@ -73,9 +75,21 @@ def _masks(width: int, weight: int) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
 
 
+def _steps(parts: list[tuple[int, int]]) -> list[tuple[int, list[int]]]:
+    """(radius, segments) in the order of the search. A radius with few probes is
+    one round; one with many goes segment by segment, as queries end in between."""
+    out = []
+    for radius in range(max(hi - lo for lo, hi in parts) + 1):
+        everyone = list(range(len(parts)))
+        many = max(math.comb(hi - lo, radius) for lo, hi in parts) > ROUND_PROBES
+        out += [(radius, [j]) for j in everyone] if many else [(radius, everyone)]
+    return out
+
+
 def top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), neighbor_id, distance; both inputs are (id, code),
     code an array of 64-bit words."""
+    spark = codes.sparkSession
     known = codes.filter(F.col("id").isNotNull() & F.col("code").isNotNull()).select("id", "code").distinct()
     first = Window.partitionBy("code").orderBy("id")
     entries = _stored(known.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= k + 1)
@@ -92,22 +106,28 @@ def top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10) -> DataF
     # The distance of each segment; the earliest segment among the nearest meets the code.
     apart = F.zip_with("values", "found_values", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     best = None
-    for radius in range(max(hi - lo for lo, hi in parts) + 1):
+    for radius, chosen in _steps(parts):
+        # A query makes many probes: spread them before, and shuffle them - Spark
+        # would judge their number by the few queries and broadcast them.
+        spread = active.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "code")
         probes = None
-        for j, (lo, hi) in enumerate(parts):
+        for j in chosen:
+            lo, hi = parts[j]
             if radius <= hi - lo:
-                own = active.select("code", "values", F.lit(j).alias("segment"), F.explode(_masks(hi - lo, radius)).alias("mask"))
+                own = spread.select("code", "values", F.lit(j).alias("segment"), F.explode(_masks(hi - lo, radius)).alias("mask"))
                 probes = own if probes is None else probes.union(own)
+        if probes is None:
+            continue
         probes = probes.withColumn("value", F.col("values")[F.col("segment")].bitwiseXOR(F.col("mask"))).drop("mask")
-        met = probes.join(index, ["segment", "value"]).withColumn("apart", apart)
+        met = probes.hint("merge").join(index, ["segment", "value"]).withColumn("apart", apart)
         met = met.filter((F.array_min("apart") == radius) & (F.array_position("apart", radius) == F.col("segment") + 1))
         met = met.select("code", F.aggregate("apart", F.lit(0), lambda a, b: a + b).alias("distance"), F.explode("ids").alias("neighbor_id"))
         met = met if best is None else met.union(best.select("code", "distance", "neighbor_id"))
         order = Window.partitionBy("code").orderBy("distance", "neighbor_id")
-        best = _stored(met.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k + 1), f"best-{radius}")
-        covered = len(parts) * (radius + 1) - 1
+        best = _stored(met.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k + 1), "best")
+        covered = len(parts) * radius + chosen[-1]
         done = (best.filter((F.col("at") == k + 1) & (F.col("distance") <= covered)).select("code"))
-        active = _stored(active.join(done, "code", "left_anti"), f"active-{radius}")
+        active = _stored(active.join(done, "code", "left_anti"), "active")
         if active.isEmpty():
             break
     named = asked.withColumnRenamed("id", "query_id").join(best, "code").filter("neighbor_id != query_id")

@@ -45,3 +45,11 @@ def test_few_and_none(spark):
     assert len(got) == 2
     run(spark, [(0, [1.0], 0)], 1, 10)
     run(spark, [], 1, 10)
+
+
+def test_segment_by_segment(spark, monkeypatch):
+    """Rounds of one segment each give the same neighbours."""
+    monkeypatch.setattr(hamming_topk, "ROUND_PROBES", 1)
+    assert hamming_topk._steps([(0, 2), (2, 3)]) == [(0, [0, 1]), (1, [0]), (1, [1]), (2, [0, 1])]
+    rng = np.random.default_rng(3)
+    run(spark, [(int(i), rng.normal(size=20).round(3).tolist(), 0) for i in range(120)], 20, 5)
