@@ -3,9 +3,10 @@
 Paragraphs (runs of text between block-level tags) earn points for their length
 and commas and pass them to the element that holds them, half to the next and
 shrinking shares further up. An element's points are discounted by the share of
-its text that is links. The best element, raised to the ``article`` or ``main``
-around it, and siblings that score well are kept; of these, all blocks come out
-in page order. Elements that are never article text - menus, headers, footers,
+its text that is links. The best element is raised to the ``article`` or ``main``
+around it; without one, its siblings - containers, headings, paragraphs and bare
+text of any length - are kept with it unless half of their text is links. All
+blocks of what is kept come out in page order. Elements that are never article text - menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, comments, told by tag, role, class
 or id - are left out before scoring.
 
@@ -35,6 +36,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl body article section div td th".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CELLS = frozenset("td th tr thead tbody tfoot".split())
 PARAGRAPHS = frozenset("p pre blockquote li dd dt h1 h2 h3 h4 h5 h6".split())
 # Words in class, id and role that tell an element's part in the page.
 GOOD = frozenset("article content main body entry post story text page".split())
@@ -191,13 +193,50 @@ def main_blocks(html: str) -> list[str]:
     if not seen:
         return []
     best = max(seen.values(), key=score)  # the first of equals, in page order
-    best = next((e for e in best.above() if e.tag in ("article", "main")), best)
-    least = max(10.0, 0.2 * score(best))
-    kept = {id(best)} | {id(e) for e in seen.values() if e.up is best.up and e.up is not None and best.tag not in ("article", "main", "body", "html")
-                         and score(e) >= least}
-    if best.tag in ("td", "th"):  # layout tables: rows belong together
-        kept |= {id(e) for e in best.above() if e.tag == "table"}
-    return [text for text, _, holder in blocks if any(id(e) in kept for e in holder.above())]
+    whole = next((e for e in best.above() if e.tag in ("article", "main")), None)
+    if whole is not None:
+        return [text for text, _, holder in blocks if any(e is whole for e in holder.above())]
+    if best.tag in CELLS:  # layout tables: rows belong together
+        best = [best, *(e for e in best.above() if e.tag == "table")][-1]
+    while best.up is not None and best.up.tag not in ("body", "html") and best.up.chars == best.chars:
+        best = best.up  # a wrapper: what stands beside it stands beside the text
+    return _with_siblings(best, blocks)
+
+
+def _with_siblings(best: Element, blocks: list[tuple[str, int, Element]]) -> list[str]:
+    """The text of ``best`` and of what stands beside it, in page order.
+
+    Siblings are elements and bare text under the same parent. They stay unless
+    half of their text is links. A single heading before ``best`` is its title
+    and stays also as a link; one after ``best`` goes with the text it heads.
+    """
+    if best.up is None:
+        return [text for text, _, holder in blocks if any(e is best for e in holder.above())]
+    sides: list[tuple[Element | None, list[tuple[str, int, Element]]]] = []  # (child of the parent or None, its blocks)
+    for block in blocks:
+        if block[2] is best.up:
+            sides.append((None, [block]))
+            continue
+        side = next((e for e in block[2].above() if e.up is best.up), None)
+        if side is not None and sides and sides[-1][0] is side:
+            sides[-1][1].append(block)
+        elif side is not None:
+            sides.append((side, [block]))
+    at = next((i for i, (side, _) in enumerate(sides) if side is best), len(sides))
+    out, heads_kept, heads_any = [], True, False
+    for i in range(len(sides) - 1, -1, -1):
+        side, own = sides[i]
+        heading = len(own) == 1 and own[0][2].tag in HEADINGS
+        keep = side is best or 2 * sum(links for _, links, _ in own) < sum(len(text) for text, _, _ in own)
+        if heading and i < at:
+            keep = True
+        elif heading:
+            keep, heads_any = keep and heads_kept, False
+        else:
+            heads_kept, heads_any = keep or heads_any and heads_kept, True
+        if keep:
+            out += [text for text, _, _ in reversed(own)]
+    return out[::-1]
 
 
 def main_text(html: str | None) -> str:

@@ -46,6 +46,22 @@ def test_parts_by_name(names, kept):
     assert html_text.main_text(page) == "One, two, three, four, five, six.\n" + "Inner, text.\n" * kept + "Last, one."
 
 
+LONG = "".join(f"<p>Paragraph {i}, with some text, and commas, that goes on for a while.</p>" for i in range(10))
+LONG_TEXT = "\n".join(re.findall("<p>(.*?)</p>", LONG))
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<div class=post><h1>Title</h1><p>Lead, short.</p><div class=entry-content>%s</div></div>', "Title\nLead, short.\n%s"),
+    ('<div class=post><h1><a href=x>Title</a></h1>Bare lead<div><div class=entry-content>%s</div></div></div>', "Title\nBare lead\n%s"),
+    ('<div><div><h2><a href=x>Title</a></h2></div><p><a href=x>By A</a></p><div>%s</div></div>', "Title\n%s"),
+    ('<div><section>%s</section><section><h2>More</h2><p>Short.</p></section><div>End</div></div>', "%s\nMore\nShort.\nEnd"),
+    ('<div><h1>T</h1><table><tr><td>%s</td></tr></table><p>End.</p></div>', "T\n%s\nEnd."),
+    ('<div><div>%s</div><h2>Notes</h2><p>A note.</p><h3>Elsewhere</h3><ul><li><a href=x>One</a><li><a href=y>Two</a></ul></div>', "%s\nNotes\nA note."),
+    ('<div><div>%s</div><h2>Notes</h2><p>A note.</p><p><a href=x>More</a></p></div>', "%s\nNotes\nA note.")])
+def test_siblings_of_the_best_container(page, text):
+    assert html_text.main_text(PAGE % (page % LONG + COMMENTS)) == text % LONG_TEXT
+
+
 def test_long_page_is_whole():
     paragraphs = [f"Paragraph {i}, with text, and commas." for i in range(20_000)]
     page = PAGE % ("<article>" + "".join(f"<p>{p}" for p in paragraphs) + "</article>")
