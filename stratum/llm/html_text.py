@@ -8,7 +8,8 @@ around it; without one, its siblings - containers, headings, paragraphs and bare
 text of any length - are kept with it unless half of their text is links. All
 blocks of what is kept come out in page order. Elements that are never article text - menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, comments, told by tag, role, class
-or id - are left out before scoring.
+or id - are left out before scoring. Class and id leave out neither an
+``article`` nor, as a rule, what holds most of the page's text (``_without_parts``).
 
 One pass over the pages, each on its own, without a shuffle.
 
@@ -48,8 +49,12 @@ BAD = frozenset("ad ads adv advert adverts advertisement advertising adsense spo
 # These tell nothing beside an article word ("entry-header").
 WEAK = frozenset("header banner widget widgets search toolbar".split())
 ARTICLE = frozenset("article content entry post story text".split())
-# Layout switches of a wrapper ("has-sidebar") are no part of the page.
+ARTICLE_PART = ARTICLE | {"hentry"}
+# What follows a layout switch ("has-sidebar") is no part of the page.
 SWITCHES = frozenset("has no with without".split())
+# Topics ("tag-social") tell what an article is about; "category-menu" alone is a menu.
+TOPICS = frozenset("tag category cat topic taxonomy tax keyword".split())
+MENUS = frozenset("menu nav navigation navbar breadcrumb breadcrumbs pagination pager sidebar widget widgets header".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
 _WORD = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
@@ -58,11 +63,15 @@ _SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
 
 
 class Element:
-    __slots__ = ("tag", "up", "points", "chars", "links", "good")
+    __slots__ = ("tag", "up", "points", "chars", "links", "good", "depth", "lead", "named", "marked", "free", "sign")
 
-    def __init__(self, tag: str, up: Element | None, good: bool):
-        self.tag, self.up, self.good = tag, up, good
+    def __init__(self, tag: str, up: Element | None, good: bool, named: str = ""):
+        self.tag, self.up, self.good, self.named = tag, up, good, named
         self.points, self.chars, self.links = 0.0, 0, 0
+        self.depth = up.depth + 1 if up else 0
+        self.lead = self if good else up and up.lead  # the nearest likely article element
+        self.marked = self if named else up and up.marked  # the nearest element told by name not to be article text
+        self.free, self.sign = 0, good  # of marked ones: characters that are no links; is a likely article element there
 
     def above(self) -> Iterator[Element]:
         at = self
@@ -71,19 +80,34 @@ class Element:
             at = at.up
 
 
-def part_of_page(tag: str, attrs: dict[str, str | None]) -> tuple[bool, bool]:
-    """(never article text, likely article text)."""
-    names = {w.lower() for key in ("class", "id") for w in _WORD.findall(attrs.get(key) or "")}
+def _names(tag: str, attrs: dict[str, str | None]) -> list[set[str]]:
+    """The words of each class and id, without what follows a switch or names a topic."""
+    names = [[w.lower() for w in _WORD.findall(name)] for key in ("class", "id") for name in (attrs.get(key) or "").split()]
+    article = tag == "article" or any(ARTICLE_PART & set(n) for n in names if n and n[0] not in TOPICS)
+    out = []
+    for n in names:
+        if n and n[0] in TOPICS and (article or not MENUS & set(n)):
+            continue
+        out.append(set(n[:next((i for i, w in enumerate(n) if w in SWITCHES), len(n))]))
+    return out
+
+
+def part_of_page(tag: str, attrs: dict[str, str | None]) -> tuple[bool, str, bool]:
+    """(never article text, "part" or "comments" if its names say so too, likely article text)."""
+    each = _names(tag, attrs)
+    names = set().union(*each)
     good = tag in ("article", "main") or bool(names & GOOD)
     if tag in ("html", "body", "main"):
-        return False, good
+        return False, "", good
     style = (attrs.get("style") or "").replace(" ", "").lower()
-    if tag in DROPPED or names & COMMENTS or (attrs.get("role") or "").lower() in ROLES or "hidden" in attrs \
-            or attrs.get("aria-hidden") == "true" or "display:none" in style:
-        return True, False
-    if names & BAD and not names & SWITCHES or names & WEAK and not names & ARTICLE:
-        return True, False
-    return False, good
+    if tag in DROPPED or (attrs.get("role") or "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style:
+        return True, "", False
+    if names & COMMENTS:
+        beside = any(n & ARTICLE_PART and not n & COMMENTS for n in each)  # "post discussion", not "post-comments"
+        return False, "part" if beside else "comments", good
+    if names & BAD or names & WEAK and not names & ARTICLE:
+        return False, "part", good
+    return False, "", good
 
 
 class Page(HTMLParser):
@@ -128,12 +152,16 @@ class Page(HTMLParser):
         if tag in VOID:
             return
         up, out = self.open[-1]
-        bad, good = part_of_page(tag, dict(attrs))
+        bad, named, good = part_of_page(tag, dict(attrs))
         if tag == "header" and any(e.tag == "article" for e in up.above()) and not out:
-            bad = False  # an article's own heading; only its h1 to h6 count
+            bad, named = False, ""  # an article's own heading; only its h1 to h6 count
+        if named and tag in INLINE:
+            bad, named = True, ""
+        if named == "part" and tag == "article" and not any(e.tag == "article" for e in up.above()):
+            named = ""  # the tag says more than a name
         if tag == "a":
             self.in_link += 1
-        self.open.append((Element(tag, up, good), out or bad))
+        self.open.append((Element(tag, up, good, named), out or bad))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -169,11 +197,58 @@ def _in_own_header(holder: Element) -> bool:
     return holder.tag not in HEADINGS and any(e.tag == "header" for e in holder.above())
 
 
+def _without_parts(blocks: list[tuple[str, int, Element]]) -> list[tuple[str, int, Element]]:
+    """``blocks`` without those of elements that are no article text by name.
+
+    A name is not believed of an element that holds most of the page's text that
+    is no links - nine tenths where nothing in it is a likely article element -
+    unless other text stands in an ``article`` or ``main``; of comments, only if
+    no other text is left, or if it is the ``article``.
+    """
+    if all(holder.marked is None for _, _, holder in blocks):
+        return blocks
+    total, plain, articles = 0, False, {}
+    for text, links, holder in blocks:
+        free = max(0, len(text) - links)
+        total += free
+        at = holder.marked
+        if at is None:
+            plain = True
+            own = next((e for e in holder.above() if e.tag in ("article", "main")), None)
+            if own is not None:
+                articles[id(own)] = own
+        while at is not None:
+            at.free += free
+            at.sign = at.sign or holder.lead is not None and holder.lead.depth >= at.depth
+            at = at.up.marked
+
+    def believed(e: Element) -> bool:
+        around = {id(a) for a in e.above()}
+        if any(a not in around for a in articles) or not (2 * e.free > total if e.sign else 10 * e.free > 9 * total):
+            return True
+        return e.named == "comments" and (e.up.marked is not None or any(a.tag == "article" for a in e.up.above())
+                                          or plain and e.tag != "article")
+
+    out: dict[int, bool] = {}
+
+    def left_out(e: Element | None) -> bool:
+        chain = []
+        while e is not None and id(e) not in out:
+            chain.append(e)
+            e = e.up.marked
+        gone = e is not None and out[id(e)]
+        for c in reversed(chain):
+            gone = out[id(c)] = gone or believed(c)
+        return gone
+
+    return [b for b in blocks if not left_out(b[2].marked)]
+
+
 def main_blocks(html: str) -> list[str]:
     page = Page()
     page.feed(html)
     page.done()
-    blocks = [b for b in page.blocks if not _in_own_header(b[2])]
+    blocks = [b for b in _without_parts(page.blocks) if not _in_own_header(b[2])]
     seen: dict[int, Element] = {}
     for text, links, holder in blocks:
         points = 1 + text.count(",") + min(len(text) / 100, 10)

@@ -62,6 +62,34 @@ def test_siblings_of_the_best_container(page, text):
     assert html_text.main_text(PAGE % (page % LONG + COMMENTS)) == text % LONG_TEXT
 
 
+@pytest.mark.parametrize("holder", [
+    '<article class="post has-comments">%s</article>', '<article class="post tag-social category-notices">%s</article>',
+    '<article class="hentry category-advertising">%s</article>', '<article class="social">%s</article>', '<article class="post discussion">%s</article>',
+    '<div class="hentry category-advertising">%s</div>', '<div class="tag-comments">%s</div>', '<div class="post no-comments">%s</div>',
+    '<div class="social"><article>%s</article></div>', '<div class="menu-open promo"><div class="post">%s</div></div>',
+    '<div class="post discussion">%s</div>', '<div class="modal">%s</div>', '<article class="discussion">%s</article>'])
+def test_names_do_not_drop_the_article(holder):
+    page = '<body><nav><a href=x>Home</a></nav>%s<div id="cookie-notice"><p>We use cookies.</p></div></body>'
+    assert html_text.main_text(page % (holder % (LONG + '<div class="share"><p>Share it.</p></div>'))) == LONG_TEXT
+    short = holder % LONG + '<div class="comments"><article class="comment"><p>Hi, all.</p></article></div>'
+    assert html_text.main_text(page % short) == LONG_TEXT
+
+
+@pytest.mark.parametrize("part", [
+    '<div id="post-comments"><article class="comment post">%s</article></div>', '<div class="comments no-avatars"><p>A, b.</p>%s</div>',
+    '<ol class="commentlist"><li><div class="comment-content">%s</div></ol>', '<div class="category-menu">%s</div>', '<div class="sidebar has-shadow">%s</div>'])
+def test_names_still_drop_long_parts(part):
+    page = "<body><article class='post has-comments'><h1>T</h1><p>Short, one.</p></article>%s</body>"
+    assert html_text.main_text(page % (part % LONG)) == "T\nShort, one."
+    page = "<body><div class='post'><h1>T</h1>%s%s</div></body>"
+    assert html_text.main_text(page % (LONG, part % "<p>One, two, three.</p>")) == "T\n" + LONG_TEXT
+
+
+def test_long_comments_of_a_short_post():
+    page = f"<body><div class=post><p>Short, one.</p></div><div id=comments>{LONG}</div></body>"
+    assert html_text.main_text(page) == "Short, one."
+
+
 def test_long_page_is_whole():
     paragraphs = [f"Paragraph {i}, with text, and commas." for i in range(20_000)]
     page = PAGE % ("<article>" + "".join(f"<p>{p}" for p in paragraphs) + "</article>")
