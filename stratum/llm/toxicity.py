@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import tokens
+from stratum.session import scratch_path, scratch_scope
 
 MAX_ROWS = 20_000     # labelled rows used at most
 LEXICON = 2_000       # lexicon entries at most
@@ -295,12 +296,22 @@ def _lexicons(rows: DataFrame) -> list[dict[str, float]]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(doc_id, text, toxic, fold) of at most ``max_rows`` labelled rows that aren't held out."""
+    """(doc_id, text, toxic, fold) of at most ``max_rows`` labelled documents that aren't held out.
+
+    A doc_id has one label and counts once, so of rows that repeat it one text is
+    taken: that with the smallest hash.
+    """
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     own = own.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id")).limit(max_rows)
     # Bounded by max_rows rows of two numbers.
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(own), "doc_id").withColumn("fold", fold(F.col("doc_id")))
+    path = scratch_path(docs.sparkSession, "labelled-rows")
+    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(own), "doc_id")
+     .withColumn("row", F.monotonically_increasing_id()).write.parquet(path))
+    rows = docs.sparkSession.read.parquet(path)
+    # Only numbers are shuffled; the row number tells equal texts apart.
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "row")).alias("least")).select("least.row")
+    return rows.join(F.broadcast(one), "row", "left_semi").drop("row").withColumn("fold", fold(F.col("doc_id")))
 
 
 def _features(lexicons: list[dict[str, float]]):
@@ -321,10 +332,11 @@ def _features(lexicons: list[dict[str, float]]):
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    rows = training_rows(docs, labels, max_rows).withColumn("half", (F.col("fold") > 2).cast("int"))
-    lexicons = _lexicons(rows)
-    got = (rows.select("text", "toxic", F.col("fold").cast("int").alias("fold"), "half")
-           .mapInArrow(_features(lexicons), "toxic int, fold int, x array<double>").collect())  # at most max_rows rows
+    with scratch_scope(docs.sparkSession):
+        rows = training_rows(docs, labels, max_rows).withColumn("half", (F.col("fold") > 2).cast("int"))
+        lexicons = _lexicons(rows)
+        got = (rows.select("text", "toxic", F.col("fold").cast("int").alias("fold"), "half")
+               .mapInArrow(_features(lexicons), "toxic int, fold int, x array<double>").collect())  # at most max_rows rows, one a doc_id
     y = np.array([r["toxic"] for r in got], np.float64)
     x = np.array([r["x"] for r in got], np.float64).reshape(-1, len(FEATURES))
     kind = np.array([r["fold"] for r in got], np.int64)

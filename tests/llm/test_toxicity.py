@@ -43,6 +43,19 @@ def test_held_out_labels_are_not_used(tables, model):
     assert np.allclose(again.score(x), model.score(x))
 
 
+def test_repeated_doc_ids_count_once(shipped, tables):
+    _, labels = tables
+    ids = [r["doc_id"] for r in labels.filter("toxic in (0, 1)").filter(~toxicity.held_out(labels.doc_id)).orderBy("doc_id").limit(40).collect()]
+    labels = labels.filter(labels.doc_id.isin(ids))
+    once = [(i, f"text {i}") for i in ids]
+    hot = [(ids[0], f"text {ids[0]}")] * 500 + [(ids[1], f"other {k}") for k in range(500)]
+    docs = shipped.createDataFrame(once + hot + [(None, "x")], "doc_id long, text string").repartition(5)
+    got = toxicity.training_rows(docs, labels, 30).collect()
+    assert len(got) == 30 and len({r["doc_id"] for r in got}) == 30
+    assert sorted(toxicity.training_rows(docs.repartition(3), labels, 30).collect()) == sorted(got)
+    assert len(toxicity.training_rows(docs, labels).collect()) == 40
+
+
 def test_edge_rows(corpus, corpus_rows, model, nothing):
     scored = toxicity.score(corpus, model, "__s", "__p")
     assert scored.columns == [*corpus.columns, "__s", "__p"]
