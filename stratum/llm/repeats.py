@@ -1,11 +1,11 @@
-"""Removal of long repeated byte strings, by bucket-pointer refinement.
+"""Removal of long repeated byte strings, by content-anchored fingerprinting.
 
 A byte goes if some string of ``length`` bytes around it also starts anywhere
-else. Two starts belong together if their strings are equal, that is, if their
-suffixes share a bucket of the suffix array sorted to that depth. The buckets
-are found by refinement from coarse to fine; a bucket's pointer (identifier) is
-a fingerprint of the bytes its suffixes share, so pointers of later offsets are
-at hand everywhere and need no global ranking pass:
+else. Two starts belong together if their strings are equal. This stands in for
+bucket-pointer refinement: buckets go from coarse to fine, but in three fixed
+levels and by fingerprints of the bytes themselves, not by the bucket
+identifiers of later offsets, which would need a row for every start at every
+step (README). A bucket's pointer below is such a fingerprint.
 
 * Level 0. Suffixes start in buckets of their q-gram. A string's bucket is that
   of its *anchor*, the q-gram with the smallest pointer in it, so the starts of
