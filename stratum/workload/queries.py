@@ -353,6 +353,15 @@ def stream_rescue(spark, sf):
     return ingest.read_bronze(spark, bronze, "loc_a101").select("CID", "CNTRY", "_rescued_data")
 
 
+def write_spaced(df, raw) -> None:
+    """One file a task: a blank line, the header, then every row with a blank line after it."""
+    header, line = ",".join(df.columns), F.concat(F.to_csv(F.struct(*df.columns), CSV_WRITE), F.lit("\n"))
+    # The lower 33 bits are the row's number in its task.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    (df.select(F.concat(F.when(first, F.lit(f"\n{header}\n")).otherwise(F.lit("")), line).alias("value"))
+       .write.mode("append").option("lineSep", "\n").option("maxRecordsPerFile", 0).text(raw))
+
+
 def stream_by_name(spark, sf):
     """Three extract layouts of the same feed: the later one lists the
     columns in reverse order and adds an unknown column, a third one has blank
@@ -364,12 +373,7 @@ def stream_by_name(spark, sf):
     raw, bronze, ckpt = f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint"
     spaced = F.col("cst_key").startswith("BAD")
     r1.where(~later & ~spaced).write.mode("append").options(**CSV_WRITE).csv(raw)
-    header, line = ",".join(r1.columns), F.concat(F.to_csv(F.struct(*r1.columns), CSV_WRITE), F.lit("\n"))
-    (r1.where(~later & spaced).select(line.alias("value")).coalesce(1).write.mode("append")
-       .option("lineSep", "\n").text(f"{root}/spaced"))
-    # one file: blank line, header, then every row with a blank line after it
-    body = spark.read.text(f"{root}/spaced", wholetext=True).select(F.concat(F.lit(f"\n{header}\n"), "value").alias("value"))
-    body.coalesce(1).write.mode("append").option("lineSep", "\n").text(raw)
+    write_spaced(r1.where(~later & spaced), raw)
     reordered = list(reversed(r1.columns)) + ["cst_source"]
     (r1.where(later).withColumn("cst_source", F.lit("crm")).select(*reordered)
        .write.mode("append").options(**CSV_WRITE).csv(raw))

@@ -106,6 +106,22 @@ def test_by_name_blank_lines_and_counts(spark, tmp_dir):
     assert by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101").rows == 0
 
 
+def test_spaced_extract_is_written_by_many_tasks(spark, tmp_dir):
+    from stratum.streaming import by_name
+    from stratum.workload import queries
+
+    raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
+    want = {(f"AW-{i}", None if i % 5 == 0 else f"C,{i}") for i in range(40)}
+    df = spark.createDataFrame(sorted(want, key=str), "CID string, CNTRY string").repartition(4)
+    queries.write_spaced(df.where("CID != 'none'"), raw)
+    files = [open(os.path.join(raw, f)).read() for f in os.listdir(raw) if f.endswith(".txt")]
+    assert len(files) == 4
+    assert all(f.startswith("\nCID,CNTRY\n") and f.count("CID,CNTRY") == 1 and f.count("\n\n") == f.count("AW-") for f in files)
+    by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101")
+    rows = ingest.read_bronze(spark, bronze, "loc_a101").collect()
+    assert len(rows) == 40 and {(r["CID"], r["CNTRY"]) for r in rows} == want
+
+
 def test_counts_of_many_batches(spark, tmp_dir):
     """More micro-batches than Spark keeps progress reports of."""
     raw, bronze, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/_ckpt"
