@@ -16,7 +16,9 @@ Instead:
 
 The benchmark is cut into blocks of at most ``block_shingles`` shingles (a size
 bound for what is sent to executors); documents are scanned once per block,
-without any shuffle of texts. A usual benchmark is one block.
+without any shuffle of texts. A usual benchmark is one block. A benchmark of
+more than ``sent_shingles`` does not pass through the driver: sketches are
+joined with the documents' shingles as tables, and candidates with the full sets.
 
 Defined results: null or wordless items and texts match nothing; a text with
 fewer words than a shingle has its whole sequence as one; repeated items and
@@ -39,6 +41,7 @@ from stratum.session import scratch_path
 
 WORDS, PERCENT = 5, 80
 BLOCK_SHINGLES = 2_000_000  # 8 bytes each, twice: at most about 40 MB a block
+SENT_SHINGLES = 8_000_000  # of all blocks: at most about 64 MB held on the driver
 PAIR_SCHEMA = "doc_id long, item_id long, item_shingles long, shared_shingles long"
 
 
@@ -100,38 +103,97 @@ def _item_sets(size: int):
     return run
 
 
-def _blocks(items: DataFrame, size: int, block_shingles: int) -> tuple[DataFrame, list[int]]:
-    """Item sets with a block number; a block holds at most ``block_shingles``
-    shingles, or one item."""
+def _stored_sets(items: DataFrame, size: int) -> DataFrame:
+    """Item sets (item_id, n, shingles) with the written partition and a row number."""
     spark = items.sparkSession
     path = scratch_path(spark, "benchmark-sets")
     (items.select(F.col("item_id").cast("long").alias("item_id"), "text")
      .mapInArrow(_item_sets(size), "item_id long, n long, shingles binary").filter("n > 0")
      .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).write.parquet(path))
     sets = spark.read.parquet(path)
+    return sets
+
+
+def _numbered(sets: DataFrame, block_shingles: int) -> tuple[DataFrame, int]:
+    """``sets`` with a block number, counted on over all written partitions, and how many blocks there are."""
+    spark = sets.sparkSession
+    totals = sets.groupBy("part").agg(F.sum("n").alias("total")).orderBy("part").collect()
+    starts, total = [], 0
+    for r in totals:
+        starts.append((r["part"], total))
+        total += r["total"]
+    starts = F.broadcast(spark.createDataFrame(starts, "part int, start long"))
     # A running sum within each written partition, so no task sees more than one of them.
     before = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    sets = sets.withColumn("block", F.floor((F.sum("n").over(before) - 1) / block_shingles))
-    parts = [(r["part"], r["block"]) for r in sets.select("part", "block").distinct().orderBy("part", "block").collect()]
-    return sets, parts
+    sets = sets.join(starts, "part").withColumn("block", F.floor((F.col("start") + F.sum("n").over(before) - 1) / block_shingles))
+    return sets, -(-total // block_shingles)
 
 
 def contained_items(docs: DataFrame, items: DataFrame, size: int = WORDS, percent: int = PERCENT,
-                    block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                    block_shingles: int = BLOCK_SHINGLES, sent_shingles: int = SENT_SHINGLES) -> DataFrame:
     """doc_id, item_id, item_shingles, shared_shingles of every document (doc_id, text)
     and every item (item_id, text) that it contains."""
     spark = docs.sparkSession
-    sets, parts = _blocks(items, size, block_shingles)
+    sets = _stored_sets(items, size)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = spark.createDataFrame([], T.StructType.fromDDL(PAIR_SCHEMA)) if not parts else None
-    for part, block in parts:
-        rows = sets.filter((F.col("part") == part) & (F.col("block") == block)).select("item_id", "shingles").collect()
+    total = sets.agg(F.sum("n")).first()[0]
+    if total is None:
+        return spark.createDataFrame([], T.StructType.fromDDL(PAIR_SCHEMA))
+    if total > sent_shingles:
+        return _joined(texts, sets, size, percent)
+    sets, blocks = _numbered(sets, block_shingles)
+    out = None
+    for block in range(blocks):
+        rows = sets.filter(F.col("block") == block).select("item_id", "shingles").collect()
+        if not rows:  # within an item of more than a block
+            continue
         shared = spark.sparkContext.broadcast([(r["item_id"], bytes(r["shingles"])) for r in rows])
         found = texts.mapInArrow(_search(shared, size, percent), PAIR_SCHEMA)
         out = found if out is None else out.union(found)
     return out
 
 
+def _joined(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """The same pairs by joins: sketches with the documents' shingles, then the candidates' full sets."""
+    path = scratch_path(texts.sparkSession, "document-sets")
+    (texts.select(F.col("doc_id").alias("item_id"), "text").mapInArrow(_item_sets(size), "item_id long, n long, shingles binary").filter("n > 0")
+     .withColumn("doc", F.monotonically_increasing_id()).withColumnRenamed("item_id", "doc_id").write.parquet(path))
+    own = texts.sparkSession.read.parquet(path)
+    need = F.ceil(F.col("n") * percent / 100)
+    sketch = (sets.select(F.col("at").alias("id"), "n", "shingles", (F.col("n") - need + 1).alias("take")).mapInArrow(_keys, "id long, key long, n long")
+              .select(F.col("id").alias("at"), "key", need.alias("need")))
+    keys = own.select(F.col("doc").alias("id"), "n", "shingles", F.col("n").alias("take")).mapInArrow(_keys, "id long, key long, n long")
+    pairs = keys.join(sketch, "key").filter("n >= need").select(F.col("id").alias("doc"), "at").distinct()
+    pairs = pairs.join(own.select("doc", "doc_id", F.col("shingles").alias("own")), "doc").join(sets.select("at", "item_id", "n", "shingles"), "at")
+    return pairs.select("doc_id", "item_id", "own", "shingles").mapInArrow(_verified(percent), PAIR_SCHEMA)
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, n, shingles, take -> id, key, n of the ``take`` smallest shingles."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            ids, sizes, raw, take = (c.to_pylist() for c in batch.slice(i, 64).columns)
+            keys = [np.frombuffer(r, np.int64)[:k] for r, k in zip(raw, take)]
+            count = [len(k) for k in keys]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), count)), pa.array(np.concatenate(keys)),
+                                              pa.array(np.repeat(np.array(sizes, np.int64), count))], names=["id", "key", "n"])
+
+
+def _verified(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, item_id, own, item in zip(*(c.to_pylist() for c in batch.columns)):
+                own, item = np.frombuffer(own, np.uint64), np.frombuffer(item, np.uint64)
+                common = int((own[np.minimum(np.searchsorted(own, item), len(own) - 1)] == item).sum())
+                if common >= needed(np.array([len(item)]), percent)[0]:
+                    rows.append((doc_id, item_id, len(item), common))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*rows)) or [()] * 4],
+                                             names=["doc_id", "item_id", "item_shingles", "shared_shingles"])
+
+    return run
+
+
 def _search(shared, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block([i for i, _ in shared.value], [np.frombuffer(s, np.uint64) for _, s in shared.value], percent)

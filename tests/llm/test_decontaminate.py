@@ -38,6 +38,20 @@ def test_pairs(corpus, corpus_rows, items, size, percent, block):
     assert Counter(tuple(r) for r in got) == brute(corpus_rows, [tuple(r) for r in items.collect()], size, percent)
 
 
+@pytest.mark.parametrize(("size", "percent"), [(5, 80), (3, 50)])
+def test_pairs_of_a_large_benchmark(corpus, corpus_rows, items, size, percent):
+    got = decontaminate.contained_items(corpus, items, size, percent, sent_shingles=100).collect()
+    assert Counter(tuple(r) for r in got) == brute(corpus_rows, [tuple(r) for r in items.collect()], size, percent)
+
+
+def test_blocks_do_not_follow_partitions(items):
+    sets = decontaminate._stored_sets(items.repartition(7), 5)
+    assert sets.select("part").distinct().count() > 1
+    numbered, blocks = decontaminate._numbered(sets, 2_000_000)
+    assert blocks == 1 and numbered.select("block").distinct().count() == 1
+    assert numbered.count() == sets.count()
+
+
 def test_drop(corpus, corpus_rows, items):
     kept = decontaminate.drop_contaminated(corpus, items)
     assert kept.columns == corpus.columns
