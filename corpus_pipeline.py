@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain 80 % of a benchmark item's five-word shingles go."""
-    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), short_inside=True)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

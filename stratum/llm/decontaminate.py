@@ -21,7 +21,9 @@ more than ``sent_shingles`` does not pass through the driver: sketches are
 joined with the documents' shingles as tables, and candidates with the full sets.
 
 Defined results: null or wordless items and texts match nothing; a text with
-fewer words than a shingle has its whole sequence as one; repeated items and
+fewer words than a shingle has its whole sequence as one, so a short item is
+found only in a text that equals it - unless ``short_inside`` is set, as the
+query and the pipeline do; then it is found wherever its words stand; repeated items and
 rows give repeated pairs; null ids are kept; an empty benchmark or an empty
 table gives no pairs. Further columns are ignored.
 """
@@ -29,6 +31,7 @@ table gives no pairs. Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -130,10 +133,20 @@ def _numbered(sets: DataFrame, block_shingles: int) -> tuple[DataFrame, int]:
 
 
 def contained_items(docs: DataFrame, items: DataFrame, size: int = WORDS, percent: int = PERCENT,
-                    block_shingles: int = BLOCK_SHINGLES, sent_shingles: int = SENT_SHINGLES) -> DataFrame:
+                    block_shingles: int = BLOCK_SHINGLES, sent_shingles: int = SENT_SHINGLES, short_inside: bool = False) -> DataFrame:
     """doc_id, item_id, item_shingles, shared_shingles of every document (doc_id, text)
-    and every item (item_id, text) that it contains."""
+    and every item (item_id, text) that it contains.
+
+    ``short_inside``: an item of fewer than ``size`` words is looked for among the
+    documents' word sequences of its own length, not among whole texts only.
+    """
     spark = docs.sparkSession
+    if short_inside:
+        length = F.size(F.filter(F.split("text", "[\\x09-\\x0D\\x20]+"), lambda w: w != ""))
+        items = items.withColumn("__width", F.least(length, F.lit(size)))
+        widths = sorted(r[0] for r in items.filter(F.col("text").isNotNull()).select("__width").distinct().collect() if r[0] > 0)
+        found = [contained_items(docs, items.filter(F.col("__width") == w), w, percent, block_shingles, sent_shingles) for w in widths]
+        return reduce(DataFrame.union, found or [spark.createDataFrame([], T.StructType.fromDDL(PAIR_SCHEMA))])
     sets = _stored_sets(items, size)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = sets.agg(F.sum("n")).first()[0]
@@ -208,14 +221,14 @@ def _search(shared, size: int, percent: int):
     return run
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WORDS, percent: int = PERCENT, short_inside: bool = False) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item; all columns stay.
 
     Documents with a null id can't be named by a pair, so they are told apart by
     their text.
     """
     keyed = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    gone = contained_items(keyed, items, size, percent).select(F.col("doc_id").alias("__key")).distinct()
+    gone = contained_items(keyed, items, size, percent, short_inside=short_inside).select(F.col("doc_id").alias("__key")).distinct()
     path = scratch_path(docs.sparkSession, "contaminated")
     gone.write.parquet(path)
     gone = docs.sparkSession.read.parquet(path)

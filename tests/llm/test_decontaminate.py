@@ -52,6 +52,17 @@ def test_blocks_do_not_follow_partitions(items):
     assert numbered.count() == sets.count()
 
 
+def test_short_items_inside_longer_texts(shipped):
+    docs = [(1, "x One  two three y z q"), (2, "one two"), (3, "one\ttwo three"), (4, "one two x three a b c"), (5, None), (6, "a b c d e f g"), (7, "")]
+    items = [(10, "one two three"), (11, "two"), (12, "a b c d e"), (13, None), (14, " "), (15, " one two\n")]
+    d, i = shipped.createDataFrame(docs, "doc_id long, text string"), shipped.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contained_items(d, i, short_inside=True).collect()
+    want = {(1, 10), (3, 10), (1, 11), (2, 11), (3, 11), (4, 11), (6, 12), (1, 15), (2, 15), (3, 15), (4, 15)}
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted(want)
+    assert {r["doc_id"] for r in decontaminate.drop_contaminated(d, i, short_inside=True).collect()} == {5, 7}
+    assert decontaminate.contained_items(d, i.filter("false"), short_inside=True).collect() == []
+
+
 def test_drop(corpus, corpus_rows, items):
     kept = decontaminate.drop_contaminated(corpus, items)
     assert kept.columns == corpus.columns
