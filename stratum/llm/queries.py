@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import decontaminate, hamming_topk, html_text, huffman, license_scan, merkle, near_dedup, packing, repeats, secret_scan, sharding, toxicity
+from stratum.llm import decontaminate, hamming_topk, html_text, huffman, license_scan, merkle, near_dedup, packing, prefix_trie, repeats, secret_scan, sharding, toxicity
 from stratum.llm.oracle import ORACLE_SQL
 from stratum.llm.ship import ship
 
@@ -76,6 +76,10 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_block_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 def op12_time_forward_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(read(spark, sf_dir, "documents"))
 
@@ -86,4 +90,4 @@ def op13_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_jump_shards, op2_nnls_packing, op3_minhash_containment, op4_multi_index_hashing, op5_toxicity, op6_bucket_refinement, op7_blob_ledger, op8_super_minhash, op9_tree_scoring, op10_huffman_ids,
-    op12_time_forward_manifest, op13_diagonal_voting)}
+    op11_block_trie, op12_time_forward_manifest, op13_diagonal_voting)}
