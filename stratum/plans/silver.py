@@ -9,6 +9,8 @@ dropped when present.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,16 +25,20 @@ CRM_CUSTOMER_KEY_PATTERN = r"^AW\d+$"
 ERP_ID_NOISE = "NAS"
 
 
-def clean_cust_info(bronze: DataFrame, audit: str | None = "DWH_create_date") -> DataFrame:
-    """Latest row per raw ``cst_id`` by create date (then every other column
-    as tie-breaker), typed id, accepted keys only, trimmed names, labelled
-    marital status and gender, parsed create date.
+def latest_customers(bronze: DataFrame) -> DataFrame:
+    """Newest raw row per raw ``cst_id`` by create date (then every other column
+    as tie-breaker). Applied to rows it has picked before together with new ones,
+    it picks as from all rows at once."""
+    return dedup.keep_latest(bronze.drop(RESCUE_COLUMN), "cst_id", "cst_create_date")
+
+
+def shape_customers(latest: DataFrame, audit: str | None = "DWH_create_date", keep: Sequence[str] = ()) -> DataFrame:
+    """Typed id, accepted keys only, trimmed names, labelled marital status and
+    gender, parsed create date; ``keep`` names further columns to pass on.
 
-    The key filter runs after the de-duplication on purpose: a customer
+    The key filter comes after the de-duplication on purpose: a customer
     whose newest row carries a bad key is dropped, as in the source.
     """
-    df = bronze.drop(RESCUE_COLUMN)
-    latest = dedup.keep_latest(df, "cst_id", "cst_create_date", rank_col="newDateUpdate")
     out = (latest
            .withColumn("cst_id", numbers.tolerant_cast("cst_id", "int"))
            .filter(F.col("cst_key").rlike(CRM_CUSTOMER_KEY_PATTERN))
@@ -42,17 +48,21 @@ def clean_cust_info(bronze: DataFrame, audit: str | None = "DWH_create_date") ->
                "cst_marital_status": codes.map_codes("cst_marital_status", codes.MARITAL_STATUS_MAP),
                "cst_gndr": codes.map_codes("cst_gndr", codes.CRM_GENDER_MAP),
                "cst_create_date": dates.parse_date("cst_create_date", dates.ISO_DATE),
+               "newDateUpdate": F.lit(1),  # the rank of the row that was kept
            }))
     out = out.select("cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status",
-                     "cst_gndr", "cst_create_date", "newDateUpdate")
+                     "cst_gndr", "cst_create_date", "newDateUpdate", *keep)
     return with_audit(out, audit)
 
 
-def clean_prd_info(bronze: DataFrame, as_of=None,
-                   audit: str | None = "DWH_update_date") -> DataFrame:
+def clean_cust_info(bronze: DataFrame, audit: str | None = "DWH_create_date") -> DataFrame:
+    """The latest row of each customer, cleansed."""
+    return shape_customers(latest_customers(bronze), audit)
+
+
+def product_versions(bronze: DataFrame) -> DataFrame:
     """Category id from the first two key parts, product key from the rest,
-    cost with 0 for missing, labelled product line, start date, and an end
-    date at the next version's start (open versions end at ``as_of``)."""
+    cost with 0 for missing, labelled product line, start date: one row at a time."""
     df = bronze.drop(RESCUE_COLUMN)
     out = df.withColumns({
         "prd_id": numbers.tolerant_cast("prd_id", "int"),
@@ -62,13 +72,24 @@ def clean_prd_info(bronze: DataFrame, as_of=None,
         "prd_line": codes.map_codes("prd_line", codes.PRODUCT_LINE_MAP),
         "prd_start_dt": dates.parse_date("prd_start_dt", dates.ISO_DATE),
     })
-    out = versions.version_end(out, "prd_key", "prd_start_dt", "prd_end_dt",
-                               open_value=dates.as_of_date(as_of))
+    return out.select("prd_id", "cat_id", "prd_key", "prd_nm", "prd_cost", "prd_line", "prd_start_dt")
+
+
+def end_versions(found: DataFrame, as_of=None, audit: str | None = "DWH_update_date", keep: Sequence[str] = ()) -> DataFrame:
+    """Versions with an end date at the next version's start (open versions end at
+    ``as_of``). ``found`` holds all versions of each key that it holds."""
+    out = versions.version_end(found, "prd_key", "prd_start_dt", "prd_end_dt", open_value=dates.as_of_date(as_of))
     out = out.select("prd_id", "cat_id", "prd_key", "prd_nm", "prd_cost", "prd_line",
-                     "prd_start_dt", "prd_end_dt")
+                     "prd_start_dt", "prd_end_dt", *keep)
     return move_column(with_audit(out, audit), "cat_id", "prd_id")
 
 
+def clean_prd_info(bronze: DataFrame, as_of=None,
+                   audit: str | None = "DWH_update_date") -> DataFrame:
+    """Product versions, each ended by the next one of its key."""
+    return end_versions(product_versions(bronze), as_of, audit)
+
+
 SALES_DATE_COLUMNS = ("sls_order_dt", "sls_ship_dt", "sls_due_dt")
 
 

@@ -79,8 +79,10 @@ def test_empty_tables(spark, tmp_dir):
     assert tables.read_table(spark, path).collect() == one.collect()
 
 
-def test_two_writers_of_one_version(spark, tmp_dir, monkeypatch):
+@pytest.mark.parametrize("how", ["_link", "_rename"])
+def test_two_writers_of_one_version(spark, tmp_dir, monkeypatch, how):
     """Both start from version 1; the first manifest wins and only its rows count."""
+    monkeypatch.setattr(tables, "_link", getattr(tables, how))
     path = f"{tmp_dir}/race"
     tables.write_table(spark.range(0, 3), path)
     base = tables.state(spark, path)
@@ -96,6 +98,84 @@ def test_two_writers_of_one_version(spark, tmp_dir, monkeypatch):
     assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [10, 11, 40]
 
 
+def test_a_reported_version_is_never_replaced(spark, tmp_dir, monkeypatch):
+    """Writer B has finished its older manifest before writer A commits, and
+    publishes it after: B must lose, whatever the files' times say."""
+    import os
+
+    path = f"{tmp_dir}/late"
+    tables.write_table(spark.range(0, 3), path)
+    publish, held = tables._publish, []
+
+    def late(spark_, text, name, write):
+        held.append((text, name, write))
+        return True
+
+    with monkeypatch.context() as m:    # B's manifest is complete, its name is not taken yet
+        m.setattr(tables, "_publish", late)
+        tables.write_table(spark.range(20, 25), path)
+    assert tables.write_table(spark.range(10, 12), path) == 2       # A is told that version 2 is its own
+    assert publish(spark, *held[0]) is False
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [10, 11]
+    assert not [n for n in os.listdir(f"{path}/_manifest") if n.endswith(held[0][2])]  # no draft stays
+
+
+def test_many_writers_commit_every_version_once(spark, tmp_dir):
+    """Eight threads append at the same time and try again when they lose: no row is lost or doubled."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"{tmp_dir}/threads"
+    tables.write_table(spark.range(0, 1), path)
+
+    def append(k):
+        for _ in range(50):
+            try:
+                return tables.write_table(spark.range(k, k + 1), path, "append")
+            except tables.ConcurrentWriteError:
+                continue
+
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(append, range(1, 9)))
+    assert sorted(versions) == list(range(2, 10))
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == list(range(9))
+
+
+def test_null_keys_match_when_asked(spark, tmp_dir):
+    path = f"{tmp_dir}/nulls"
+    tables.write_table(spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string"), path, keys=["k"], buckets=4)
+    for _ in range(2):
+        tables.upsert(spark, path, spark.createDataFrame([(None, "N"), (2, "b")], "k int, v string"), ["k"], match_nulls=True)
+    assert sorted(map(tuple, tables.read_table(spark, path).collect()), key=str) == [(1, "a"), (2, "b"), (None, "N")]
+
+
+def test_changes_cancel_rewritten_rows(spark, tmp_dir):
+    path = f"{tmp_dir}/diff"
+    tables.write_table(spark.createDataFrame([(1, "a"), (2, "b"), (None, None)], "k int, v string"), path)
+    first = tables.state(spark, path)
+    assert tables.changes(spark, path, first) is None
+    tables.write_table(spark.createDataFrame([(2, "b"), (1, "A"), (None, None), (3, "c"), (3, "c")], "k int, v string"), path)
+    net = sorted(map(tuple, tables.changes(spark, path, first).collect()))
+    assert net == [(1, "A"), (1, "a"), (3, "c")]
+    assert [r[0] for r in tables.changes(spark, path, first, ["k"]).collect()] == [3]
+    assert tables.state(spark, path, 1).version == 1 and tables.state(spark, path, 9) is None
+
+
+def test_combine_rewrites_touched_buckets_by_rule(spark, tmp_dir):
+    path = f"{tmp_dir}/combined"
+
+    def largest(df):
+        return df.groupBy("k").agg(F.max("v").alias("v"))
+
+    tables.combine(spark, path, spark.createDataFrame([(i, i) for i in range(50)], "k int, v int"), ["k"], largest, buckets=8)
+    before = set(tables.state(spark, path).folders)
+    tables.combine(spark, path, spark.createDataFrame([(3, 9), (7, 1), (None, 4)], "k int, v int"), ["k"], largest)
+    got = dict(map(tuple, tables.read_table(spark, path).collect()))
+    assert got[3] == 9 and got[7] == 7 and got[None] == 4 and len(got) == 51
+    assert len(before & set(tables.state(spark, path).folders)) >= 5
+    version = tables.combine(spark, path, spark.createDataFrame([], "k int, v int"), ["k"], largest)
+    assert version == 3 and tables.read_table(spark, path).count() == 51
+
+
 def test_upsert_semantics_and_idempotence(spark, tmp_dir):
     path = f"{tmp_dir}/dim"
     target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
