@@ -286,7 +286,7 @@ LEFT JOIN dim_products pr ON sd.sls_prd_key = pr.product_number
 LEFT JOIN dim_customers cr ON sd.sls_cust_id = cr.customer_id""",
 
     "upsert_dim": """
-WITH target AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
+WITH target AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_acctbal <= 0),
 source AS (SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal + 1 AS c_acctbal,
                   c_mktsegment
            FROM customer WHERE c_acctbal > 0)
@@ -338,7 +338,7 @@ FROM cust_info"""
 ORACLE_SQL["replace_with_empty_then_append"] = "SELECT * FROM part WHERE p_size > 25"
 ORACLE_SQL["upsert_creates_missing"] = """
 SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN upper(c_name) ELSE c_name END AS c_name, c_nationkey, c_acctbal, c_mktsegment
-FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_acctbal > 0"""
+FROM customer"""
 ORACLE_SQL["read_by_name"] = "SELECT * FROM supplier"
 ORACLE_SQL["audit_stamp"] = _with(("loc_a101",), SILVER_LOC_A101) + """
 SELECT cid, cntry, true AS stamped FROM silver_loc_a101"""
@@ -366,3 +366,13 @@ added AS (SELECT row_number() OVER (ORDER BY customer_id) + (SELECT max(sk) FROM
 SELECT CAST(sk AS BIGINT) AS customer_sk, customer_id, customer_number, last_name
 FROM (SELECT * FROM first_load UNION ALL SELECT * FROM added) s"""
 ORACLE_SQL["star_build_stored"] = ORACLE_SQL["fact_sales"]
+ORACLE_SQL["gold_changed_orders"] = ORACLE_SQL["fact_sales"]
+ORACLE_SQL["silver_replayed_batch"] = ORACLE_SQL["clean_sales_details"]
+ORACLE_SQL["silver_latest_two_batches"] = ORACLE_SQL["clean_cust_info"]
+ORACLE_SQL["silver_versions_two_batches"] = ORACLE_SQL["clean_prd_info"]
+ORACLE_SQL["stream_schema_log"] = feed_cte("cust_info") + """
+SELECT CASE WHEN later THEN 1 ELSE 0 END AS first_batch,
+       CASE WHEN later THEN 'cst_create_date,cst_marital_status,cst_lastname,cst_firstname,cst_key,cst_id,cst_source'
+            ELSE 'cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date' END AS columns,
+       CASE WHEN later THEN 'cst_source' ELSE '' END AS unknown, CASE WHEN later THEN 'cst_gndr' ELSE '' END AS missing, n_rows
+FROM (SELECT cst_create_date >= '1995-01-01' AS later, count(*) AS n_rows FROM cust_info GROUP BY ALL) t"""

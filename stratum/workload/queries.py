@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stratum.functions import codes, dates, keys, numbers
 from stratum.operators import dedup, shape, surrogate, versions
 from stratum.plans import gold, layers, silver
-from stratum.session import scratch_path
+from stratum.session import free, scratch_path
 from stratum.sinks import tables
 from stratum.sources.feeds import FEED_COLUMNS, driver_table
 from stratum.streaming import by_name, ingest
@@ -244,8 +244,8 @@ def fact_sales(spark, sf):
 
 def _customer_versions(spark, sf):
     customer = driver_table(spark, sf, "customer")
-    # old snapshot: every segment but one; changes: customers in credit
-    target = customer.where(F.col("c_mktsegment") != "BUILDING")
+    # changes: customers in credit; the old snapshot lacks those of one segment
+    target = customer.where((F.col("c_mktsegment") != "BUILDING") | (F.col("c_acctbal") <= 0))
     source = customer.where(F.col("c_acctbal") > 0).select(
         "c_custkey", F.upper("c_name").alias("c_name"), "c_nationkey",
         (F.col("c_acctbal") + 1).alias("c_acctbal"), "c_mktsegment")
@@ -299,7 +299,8 @@ def upsert_creates_missing(spark, sf):
     one updates and inserts."""
     customer = driver_table(spark, sf, "customer")
     path = scratch_path(spark, "created")
-    tables.upsert(spark, path, customer.where(F.col("c_mktsegment") != "BUILDING"), ["c_custkey"], buckets=4)
+    target, _ = _customer_versions(spark, sf)
+    tables.upsert(spark, path, target, ["c_custkey"], buckets=4)
     tables.upsert(spark, path, customer.where(F.col("c_acctbal") > 0).withColumn("c_name", F.upper("c_name")), ["c_custkey"])
     return tables.read_table(spark, path)
 
@@ -381,6 +382,69 @@ def stream_by_name(spark, sf):
     return ingest.read_bronze(spark, bronze, "cust_info")
 
 
+def stream_schema_log(spark, sf):
+    """Header layouts of a feed by the batch that first brought them, with the rows
+    they brought: the second extract lists the columns in reverse order, has one
+    the feed does not know and lacks one."""
+    r1 = raw_feed(spark, sf, "cust_info")
+    later = F.col("cst_create_date") >= F.lit(BATCH_SPLIT)
+    root = scratch_path(spark, "schema_log")
+    raw, bronze, ckpt, log = (f"{root}/{n}" for n in ("raw", "bronze", "_checkpoint", "layouts"))
+    reordered = [c for c in reversed(r1.columns) if c != "cst_gndr"] + ["cst_source"]
+    for extract in (r1.where(~later), r1.where(later).withColumn("cst_source", F.lit("crm")).select(*reordered)):
+        extract.write.mode("append").options(**CSV_WRITE).csv(raw)
+        by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "cust_info", schema_location=log)
+    layouts = by_name.read_layouts(spark, log)
+    rows = spark.read.schema("cst_id string, batch_id int").parquet(bronze).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    # A batch brings the layout that was new last (two rows here).
+    own = rows.join(layouts, F.col("first_batch") <= F.col("batch_id")).groupBy("batch_id").agg(F.max("first_batch").alias("first_batch"), F.first("n").alias("n"))
+    counts = own.groupBy("first_batch").agg(F.sum("n").alias("n_rows"))
+    joined = lambda c: F.array_join(c, ",").alias(c)
+    return layouts.join(counts, "first_batch").select("first_batch", joined("columns"), joined("unknown"), joined("missing"), "n_rows")
+
+
+# --- incremental silver -------------------------------------------------------
+
+def _take_loads(spark, feed, loads, replay=False):
+    """Extracts of a feed, each taken through bronze into incremental silver.
+    ``replay``: every batch is written a second time, as after a crash between
+    writing it and recording it."""
+    root = scratch_path(spark, f"loads_{feed}")
+    roots = layers.Roots(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    places = roots.raw_feed(feed), roots.bronze_data(feed), roots.bronze_checkpoint(feed)
+    for load in loads:
+        load.write.mode("append").options(**CSV_WRITE).csv(roots.raw_feed(feed))
+        by_name.ingest_feed_by_name(spark, *places, feed)
+        layers.build_silver(spark, roots, as_of=AS_OF, audit=False, incremental=True, feeds=[feed])
+        if replay:
+            commits = f"{roots.bronze_checkpoint(feed)}/commits"
+            free(spark, f"{commits}/{max(int(n) for n in tables.list_names(spark, commits) if n.isdigit())}")
+            by_name.ingest_feed_by_name(spark, *places, feed)
+            layers.build_silver(spark, roots, as_of=AS_OF, audit=False, incremental=True, feeds=[feed])
+    return layers.read_silver(spark, roots, feed)
+
+
+def silver_replayed_batch(spark, sf):
+    """Sales in two loads, each of whose batches is written twice: silver has every line once."""
+    sales = raw_feed(spark, sf, "sales_details")
+    early = F.col("sls_ship_dt") < F.lit("19950101")
+    return _take_loads(spark, "sales_details", [sales.where(early), sales.where(~early)], replay=True)
+
+
+def silver_latest_two_batches(spark, sf):
+    """Customers in two loads, the older rows last: the newest row of each key stays."""
+    customers = raw_feed(spark, sf, "cust_info")
+    later = F.col("cst_create_date") >= F.lit(BATCH_SPLIT)
+    return _take_loads(spark, "cust_info", [customers.where(later), customers.where(~later)])
+
+
+def silver_versions_two_batches(spark, sf):
+    """Products in two loads: versions of the second one end versions of the first one."""
+    products = raw_feed(spark, sf, "prd_info")
+    odd_cost = F.length(F.coalesce("prd_cost", F.lit(""))) != 3
+    return _take_loads(spark, "prd_info", [products.where(odd_cost), products.where(~odd_cost)])
+
+
 # --- the whole layered build over stored tables -------------------------------
 
 def write_raw_feeds(spark, sf, roots) -> None:
@@ -425,6 +489,24 @@ def gold_upsert_second_load(spark, sf):
         "customer_sk", "customer_id", "customer_number", "last_name")
 
 
+def gold_changed_orders(spark, sf):
+    """Two loads in upsert mode: the first lacks late deliveries; the second brings
+    them, and the merge touches only the orders they belong to."""
+    root = scratch_path(spark, "changed_orders")
+    roots = layers.Roots(f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    for feed in sorted(FEED_COLUMNS, key=lambda f: f == "sales_details"):  # sales last
+        extra = {"as_of": AS_OF} if feed in ("prd_info", "cust_az12") else {}
+        loads = [raw_feed(spark, sf, feed)]
+        if feed == "sales_details":
+            loads = [loads[0].where(F.col("sls_ship_dt") < "19980101"), loads[0].where(F.col("sls_ship_dt") >= "19980101")]
+        for mode, load in zip(("overwrite", "append"), loads):
+            if mode == "append":
+                layers.build_gold(spark, roots, mode="upsert", audit=False, buckets=8)
+            tables.write_table(silver.SILVER_BUILDERS[feed](load, audit=None, **extra), roots.silver_table(feed), mode)
+    layers.build_gold(spark, roots, mode="upsert", audit=False, buckets=8)
+    return tables.read_table(spark, roots.gold_table("fact_sales")).drop(layers.FACT_PARTITION)
+
+
 QUERIES: dict[str, Query] = {
     "keep_latest": keep_latest,
     "keep_latest_hot_groups": keep_latest_hot_groups,
@@ -469,4 +551,9 @@ QUERIES: dict[str, Query] = {
     "stream_by_name": stream_by_name,
     "star_build_stored": star_build_stored,
     "gold_upsert_second_load": gold_upsert_second_load,
+    "gold_changed_orders": gold_changed_orders,
+    "silver_replayed_batch": silver_replayed_batch,
+    "silver_latest_two_batches": silver_latest_two_batches,
+    "silver_versions_two_batches": silver_versions_two_batches,
+    "stream_schema_log": stream_schema_log,
 }

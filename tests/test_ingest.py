@@ -151,3 +151,31 @@ def test_time_limit_only_if_asked(spark, tmp_dir):
         ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", timeout_s=0.01, max_files_per_trigger=1)
     ingest.ingest_feed(spark, raw, bronze, ckpt, "loc_a101", max_files_per_trigger=1)  # goes on where it stopped
     assert ingest.read_bronze(spark, bronze, "loc_a101").count() == 4
+
+
+def test_header_layouts_are_logged_once_and_reported(spark, tmp_dir):
+    from stratum.streaming import by_name
+
+    raw, bronze, ckpt, log = (f"{tmp_dir}/{n}" for n in ("raw", "bronze", "ckpt", "layouts"))
+
+    def put(name, text):
+        import os
+        os.makedirs(raw, exist_ok=True)
+        with open(f"{raw}/{name}.csv", "w") as fh:
+            fh.write(text)
+
+    def run():
+        return by_name.ingest_feed_by_name(spark, raw, bronze, ckpt, "loc_a101", schema_location=log).new_layouts
+
+    assert by_name.read_layouts(spark, log).count() == 0
+    put("a", "CID,CNTRY\n1,DE\n")
+    assert run() == [["CID", "CNTRY"]]
+    put("b", "CID,CNTRY\n2,FR\n")
+    assert run() == []                                               # known, also by a new run
+    put("c", "cntry,CID,Region\nUS,3,west\n")
+    put("d", "CID\n4\n")
+    assert run() == [["CID"], ["cntry", "CID", "Region"]]
+    logged = sorted(map(tuple, by_name.read_layouts(spark, log).collect()))
+    assert logged == [(0, ["CID", "CNTRY"], [], []), (2, ["CID"], [], ["CNTRY"]), (2, ["cntry", "CID", "Region"], ["Region"], [])]
+    rows = {r["CID"]: (r["CNTRY"], r["_rescued_data"]) for r in ingest.read_bronze(spark, bronze, "loc_a101").collect()}
+    assert rows == {"1": ("DE", None), "2": ("FR", None), "3": ("US", '{"Region":"west"}'), "4": (None, None)}

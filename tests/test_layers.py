@@ -213,3 +213,196 @@ def test_build_leaves_no_scratch(spark, tmp_dir):
     before = set(os.listdir(base)) if os.path.isdir(base) else set()
     layers.run_all(spark, roots, as_of=AS_OF)
     assert set(os.listdir(base)) - before == set()
+
+
+def _forget_commit(roots, feed, batch):
+    """As after a crash between writing a batch and recording it: the next run writes the batch again."""
+    import os
+    base = roots.bronze_checkpoint(feed)
+    for name in (f"{batch}", f".{batch}.crc"):
+        if os.path.exists(f"{base}/commits/{name}"):
+            os.remove(f"{base}/commits/{name}")
+
+
+def _rows(spark, path, *cols):
+    return sorted(map(tuple, tables.read_table(spark, path).select(*cols).collect()), key=str)
+
+
+def test_replayed_bronze_batch_leaves_silver_unchanged(spark, tmp_dir):
+    roots = _roots(tmp_dir)
+    line = "SO{0},P1,1,20200101,20200102,20200103,10,2,5"
+    _small_feeds(roots, sales_details=[line.format(1)], loc_a101=["AW-1,DE"], cust_az12=["NASAW1,1980-01-01,F"],
+                 px_cat_g1v2=["AC_HE,a,b,Yes"], cust_info=["1,AW1,a,b,M,F,2020-01-01"], prd_info=["1,AC-HE-P1,n,5,R,2020-01-01,"])
+    layers.ingest_all(spark, roots)
+    layers.build_silver(spark, roots, as_of=AS_OF, incremental=True)
+    counts = {f: tables.read_table(spark, roots.silver_table(f)).count() for f in layers.SILVER_AUDIT}
+    assert set(counts.values()) == {1}
+    for _ in range(2):
+        for feed in layers.SILVER_AUDIT:
+            _forget_commit(roots, feed, 0)
+        assert set(layers.ingest_all(spark, roots).ingested_rows.values()) == {1}      # every batch is written again
+        layers.build_silver(spark, roots, as_of=AS_OF, incremental=True)
+        assert {f: tables.read_table(spark, roots.silver_table(f)).count() for f in layers.SILVER_AUDIT} == counts
+    # the next batch settles the first one
+    _small_feeds(roots, "2", sales_details=[line.format(2)])
+    layers.ingest_all(spark, roots)
+    layers.build_silver(spark, roots, as_of=AS_OF, incremental=True)
+    state = tables.state(spark, roots.silver_table("sales_details"))
+    assert state.notes["batches"]["through"] == 0 and list(state.notes["batches"]["open"]) == ["1"]
+    assert [r[0] for r in _rows(spark, roots.silver_table("sales_details"), "sls_ord_num")] == ["SO1", "SO2"]
+    version = state.version
+    layers.build_silver(spark, roots, as_of=AS_OF, incremental=True)
+    assert tables.state(spark, roots.silver_table("sales_details")).version == version   # nothing new, nothing written
+
+
+def test_a_rewritten_batch_replaces_its_own_rows(spark, tmp_dir):
+    from stratum.sinks import batches
+
+    source, path = f"{tmp_dir}/bronze", f"{tmp_dir}/silver"
+
+    def put(batch, *values):
+        spark.createDataFrame([(v,) for v in values], "v int").write.mode("overwrite").parquet(batches.batch_folder(source, batch))
+
+    def take():
+        def read(numbers):
+            if not numbers:
+                return spark.createDataFrame([], "v int")
+            return spark.read.schema("v int").parquet(*[batches.batch_folder(source, b) for b in numbers])
+        batches.take_batches(spark, path, source, read, lambda df: df, most_folders=3)
+        return sorted(r["v"] for r in tables.read_table(spark, path).collect())
+
+    assert take() == []                                   # no batch yet: an empty table
+    put(0, 1, 2)
+    assert take() == [1, 2]
+    put(0, 1, 2, 3)                                       # written again, with a row more
+    assert take() == [1, 2, 3]
+    put(1, 4)
+    put(3, 5)                                             # batch 2 had no rows
+    assert take() == [1, 2, 3, 4, 5] == take()
+    put(3, 6)
+    assert take() == [1, 2, 3, 4, 6]
+    spark.createDataFrame([(9,)], "v int").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(batches.batch_folder(source, 4))
+    assert take() == [1, 2, 3, 4, 6]                      # not complete yet
+    put(4, 7)
+    for k in range(5, 15):
+        put(k, k + 10)
+        assert take()[-1] == k + 10
+    now = tables.state(spark, path)
+    assert len(now.folders) <= 4 + 1                      # settled folders were merged on the way
+    assert sorted(r["v"] for r in tables.read_table(spark, path).collect()) == [1, 2, 3, 4, 6, 7, *range(15, 25)]
+
+
+def _batches_of_feed(spark, roots, feed, *loads, incremental=True):
+    for k, rows in enumerate(loads):
+        _write(roots.raw_feed(feed), f"{k}.csv", HEADERS[feed] + "\n" + "".join(f"{r}\n" for r in rows))
+        layers.ingest_all(spark, roots)
+        if incremental:
+            layers.build_silver(spark, roots, as_of=AS_OF, audit=False, incremental=True, feeds=[feed])
+
+
+def test_incremental_latest_customer_equals_full_load(spark, tmp_dir):
+    loads = [["1,AW1,old,b,M,F,2020-01-01", "2,AW2,two,b,S,M,2021-01-01", ",AW9,null id,b,M,F,2020-01-01", "x,AW8,odd,b,M,F,2020-01-01"],
+             ["1,AW1,new,b,M,F,2022-01-01", "2,AW2,late,b,S,M,2019-01-01", "3,BAD,c,d,M,F,2020-01-01"],
+             ["1,BAD,gone,b,M,F,2023-01-01", ",AW9,null again,b,M,F,2021-01-01", "3,AW3,good,d,M,F,2021-01-01", "y,AW7,odd,b,M,F,2020-01-01"],
+             ["2,AW2,two,b,S,M,2021-01-01", "4,AW4,tie b,b,M,F,2020-01-01", "4,AW4,tie a,b,M,F,2020-01-01"]]
+    inc, full = _roots(f"{tmp_dir}/i"), _roots(f"{tmp_dir}/f")
+    for roots in (inc, full):
+        for feed, header in HEADERS.items():
+            _write(roots.raw_feed(feed), "none.csv", header + "\n")
+    _batches_of_feed(spark, inc, "cust_info", *loads)
+    _batches_of_feed(spark, full, "cust_info", *loads, incremental=False)
+    layers.build_silver(spark, full, as_of=AS_OF, audit=False, feeds=["cust_info"])
+    got = _rows(spark, inc.silver_table("cust_info"), "*")
+    assert got == _rows(spark, full.silver_table("cust_info"), "*") and [r[2] for r in got if r[0] in (1, 2, 3, 4)] == ["two", "good", "tie a"]
+    # a batch that changes one key leaves most buckets as they are
+    before = set(tables.state(spark, inc.silver_table("cust_info")).folders)
+    _batches_of_feed(spark, inc, "cust_info", *loads, ["2,AW2,newest,b,S,M,2024-01-01"])
+    after = set(tables.state(spark, inc.silver_table("cust_info")).folders)
+    assert len(before - after) == 1
+    assert "newest" in [r[2] for r in _rows(spark, inc.silver_table("cust_info"), "*")]
+
+
+def test_incremental_version_ends_equal_full_recompute(spark, tmp_dir):
+    line = "{0},AC-HE-{1},n{0},5,R,{2},"
+    loads = [[line.format(1, "P1", "2020-01-01"), line.format(2, "P1", "2022-01-01"), line.format(3, "P2", "2020-05-01"), "9,,n,5,R,2020-01-01,"],
+             [line.format(4, "P1", "2021-01-01")],                                                  # in the middle
+             [line.format(5, "P1", "2023-01-01"), line.format(6, "P2", "2019-01-01"),               # a late last one, an early first one
+              line.format(7, "P3", "2020-01-01"), line.format(8, "P1", "2021-01-01"), line.format(10, "P2", "")]]
+    inc, full = _roots(f"{tmp_dir}/i"), _roots(f"{tmp_dir}/f")
+    for roots in (inc, full):
+        for feed, header in HEADERS.items():
+            _write(roots.raw_feed(feed), "none.csv", header + "\n")
+    _batches_of_feed(spark, inc, "prd_info", *loads)
+    _batches_of_feed(spark, full, "prd_info", *loads, incremental=False)
+    layers.build_silver(spark, full, as_of=AS_OF, audit=False, feeds=["prd_info"])
+    got = _rows(spark, inc.silver_table("prd_info"), "*")
+    assert got == _rows(spark, full.silver_table("prd_info"), "*") and len(got) == 10
+    # another as-of day ends open versions anew
+    layers.build_silver(spark, inc, as_of="2030-01-01", audit=False, incremental=True, feeds=["prd_info"])
+    layers.build_silver(spark, full, as_of="2030-01-01", audit=False, feeds=["prd_info"])
+    assert _rows(spark, inc.silver_table("prd_info"), "*") == _rows(spark, full.silver_table("prd_info"), "*") != got
+
+
+def test_a_new_order_rewrites_only_its_buckets(spark, tmp_dir):
+    roots = _roots(tmp_dir)
+    line = "SO{0},P{1},{2},20200101,20200102,20200103,10,2,5"
+    _small_feeds(roots, cust_info=[f"{i},AW{i},a,b,M,F,2020-01-01" for i in range(1, 30)], loc_a101=[f"AW-{i},DE" for i in range(1, 30)],
+                 prd_info=[f"{i},AC-HE-P{i},n,5,R,2020-01-01," for i in range(1, 10)], px_cat_g1v2=["AC_HE,a,b,Yes"],
+                 sales_details=[line.format(i, i % 12, i % 40) for i in range(200)])
+    layers.ingest_all(spark, roots)
+    layers.build_silver(spark, roots, as_of=AS_OF, audit=True, incremental=True)
+    layers.build_gold(spark, roots, mode="upsert", buckets=8)
+    gold_tables = {n: roots.gold_table(n) for n in layers.GOLD_KEYS}
+    first = {n: tables.state(spark, p) for n, p in gold_tables.items()}
+
+    _small_feeds(roots, "2", sales_details=[line.format(777, 3, 5)])
+    layers.run_all(spark, roots, as_of=AS_OF, mode="upsert", incremental=True)
+    second = {n: tables.state(spark, p) for n, p in gold_tables.items()}
+    assert second["dim_customers"].folders == first["dim_customers"].folders
+    assert second["dim_products"].folders == first["dim_products"].folders
+    old, new = (set(at["fact_sales"].folders) for at in (first, second))
+    assert len({f.bucket for f in old ^ new}) == 1 and len({f.bucket for f in old}) == 8
+    assert tables.read_table(spark, gold_tables["fact_sales"]).count() == 201
+
+    # a customer that orders already named, a product that gets a second version, a moved customer
+    _small_feeds(roots, "3", cust_info=["35,AW35,late,b,M,F,2020-01-01"], prd_info=["50,AC-HE-P3,again,5,R,2021-01-01,"], loc_a101=["AW-7,CA"])
+    layers.run_all(spark, roots, as_of=AS_OF, mode="upsert", incremental=True)
+    merged = {n: tables.read_table(spark, p) for n, p in gold_tables.items()}
+    fresh = layers.Roots(roots.raw, roots.bronze, roots.silver, f"{tmp_dir}/gold2")
+    layers.build_gold(spark, fresh, buckets=8)                       # all of it, from the same silver
+    natural = {"dim_customers": ["customer_id", "customer_number", "first_name", "country"],
+               "dim_products": ["product_id", "product_number", "product_name", "category", "start_date"]}
+    for n, cols in natural.items():
+        assert sorted(map(str, merged[n].select(*cols).collect())) == sorted(map(str, tables.read_table(spark, fresh.gold_table(n)).select(*cols).collect()))
+
+    def lines(r):
+        c, p = (tables.read_table(spark, r.gold_table(n)) for n in ("dim_customers", "dim_products"))
+        f = tables.read_table(spark, r.gold_table("fact_sales"))
+        return sorted(map(str, f.join(c, "customer_sk", "left").join(p, "product_sk", "left").select("order_number", "customer_id", "product_id", "sales").collect()))
+
+    assert lines(roots) == lines(fresh) and len(lines(roots)) > 201
+    # nothing new: no table gets a version
+    versions = {n: tables.state(spark, p).version for n, p in gold_tables.items()}
+    layers.run_all(spark, roots, as_of=AS_OF, mode="upsert", incremental=True)
+    assert {n: tables.state(spark, p).version for n, p in gold_tables.items()} == versions
+
+
+def test_null_natural_keys_in_upsert_mode(spark, tmp_dir):
+    """A null id is inserted by a merge that brings it, unless null equals null."""
+    for match in (False, True):
+        roots = _roots(f"{tmp_dir}/{match}")
+        rows = {"cust_info": ["x,AW1,a,b,M,F,2020-01-01", "2,AW2,a,b,M,F,2020-01-01"], "prd_info": ["x,AC-HE-P1,n,5,R,2020-01-01,"],
+                "sales_details": [",P1,1,20200101,20200102,20200103,10,2,5"]}
+        _small_feeds(roots, **rows)
+        layers.ingest_all(spark, roots)
+        for name in ("a", "b", "c"):
+            layers.build_silver(spark, roots, as_of=AS_OF)
+            layers.build_gold(spark, roots, mode="upsert", match_null_keys=match)
+            counts = {n: tables.read_table(spark, roots.gold_table(n)).count() for n in layers.GOLD_KEYS}
+            assert counts == {"dim_customers": 2, "dim_products": 1, "fact_sales": 1}   # unchanged rows bring nothing
+        _write(roots.raw_feed("cust_info"), "4.csv", HEADERS["cust_info"] + "\nx,AW1,changed,b,M,F,2021-01-01\n")
+        layers.run_all(spark, roots, as_of=AS_OF, mode="upsert")
+        n = len([r for r in tables.read_table(spark, roots.gold_table("dim_customers")).collect() if r["customer_id"] is None])
+        assert n == 2   # the run's default: null matches nothing
+        layers.build_gold(spark, roots, mode="upsert", match_null_keys=True)
+        assert tables.read_table(spark, roots.gold_table("dim_customers")).count() == 3
