@@ -119,3 +119,161 @@ def test_clashing_columns_and_empty(shipped):
     assert [tuple(r) for r in html_text.extract(df).collect()] == [("x", "a, b", 4)]
     assert html_text.extract(df.filter("false")).collect() == []
     assert html_text.extract(df.select("html")).collect()[0]["text"] == "a, b"
+
+
+def test_forms_are_judged_by_their_share_of_the_text():
+    article = "<div><h1>Title</h1><p>Main article, long and good.</p><p>More of it here.</p></div>"
+    assert html_text.main_text(f"<body><form id=aspnetForm action=x>{article}</form></body>") == "Title\nMain article, long and good.\nMore of it here."
+    page = f"<body><form id=aspnetForm><div class=nav>Home | News</div>{article}<label>Your name</label><input value=x><button>Send</button></form></body>"
+    assert html_text.main_text(page) == "Title\nMain article, long and good.\nMore of it here."
+    assert html_text.main_text(f"<body>{article}<form><p>Subscribe, now, to our letter, please do</p><input></form></body>") == \
+        "Title\nMain article, long and good.\nMore of it here."
+    assert html_text.main_text("<body><article><p>Text, of it.</p><form><p>Reply here, please do</p></form></article></body>") == "Text, of it."
+
+
+@pytest.mark.parametrize("tail", ["<!-- ad text", "<!--", "<!DOCTYPE x", "<!x", "<?php echo 1", "<div class=", "</di", "<!-- a > b -- c"])
+def test_unfinished_markup_at_the_end_is_no_text(tail):
+    assert html_text.main_text("<p>Hello</p>" + tail) == "Hello"
+    assert html_text.main_text("<p>Hello" + tail) == "Hello"
+
+
+@pytest.mark.parametrize("unit", ["<div>x", "<ul><li>x", "<!--", "<b>x", "<section class=sidebar>x", "<article>x", "<form>x", "<a>x", "<table><tr><td>x",
+                                  "<span><div>x", "<div ", "&#x", "</x><div>", "<article><header><h1>x"])
+def test_time_is_linear_in_depth(unit):
+    import time
+
+    start = time.process_time()
+    html_text.main_text(unit * 60_000)
+    assert time.process_time() - start < 10  # a quadratic walk takes minutes
+
+
+# -- an independent scorer -------------------------------------------------------
+# A tree is (tag, children); a child is a tree or a text. Tags: div, p, h2, a.
+
+def _render(node):
+    if isinstance(node, str):
+        return node
+    tag, children = node
+    return f"<{tag}>{''.join(map(_render, children))}</{tag}>"
+
+
+def _texts(node, path=(), link=False):
+    """(text, linked characters, path of block elements) of every block, in page order."""
+    tag, children = node
+    path = (*path, id(node))
+    run, out = [], []
+
+    def flush():
+        text = "".join(t for t, _ in run).strip()
+        if text:
+            out.append((text, sum(len(t) for t, on in run if on), path))
+        run.clear()
+
+    for c in children:
+        if isinstance(c, str):
+            run.append((c, False))
+        elif c[0] == "a":
+            run.append((c[1][0], True))
+        else:
+            flush()
+            out.extend(_texts(c, path))
+    flush()
+    return out
+
+
+def _naive(body):
+    """The best container by points and link density, with its siblings, from the definition."""
+    byid, up = {}, {}
+
+    def walk(node, parent):
+        byid[id(node)] = node
+        up[id(node)] = parent
+        for c in node[1]:
+            if not isinstance(c, str) and c[0] != "a":
+                walk(c, id(node))
+
+    html = ("html", [body])
+    walk(html, None)
+    blocks = _texts(html)
+    points = {}
+    for text, _, path in blocks:
+        chain = list(reversed(path))
+        if byid[chain[0]][0] in ("p", "h2"):
+            chain = chain[1:]
+        for share, e in zip((1, 1 / 2, 1 / 6, 1 / 9, 1 / 12), chain):
+            points.setdefault(e, []).append((1 + text.count(",") + min(len(text) / 100, 10)) * share)
+    if not points:
+        return ""
+
+    def inside(e):
+        return [b for b in blocks if e in b[2]]
+
+    def score(e):
+        own = inside(e)
+        return sum(points[e]) * (1 - min(1.0, sum(b[1] for b in own) / max(1, sum(len(b[0]) for b in own))))
+
+    scores = {e: score(e) for e in points}
+    top = max(scores.values())
+    first = [e for e in points if scores[e] == top]
+    best = first[0]
+    while up[best] is not None and byid[up[best]][0] not in ("body", "html") and sum(len(b[0]) for b in inside(up[best])) == sum(len(b[0]) for b in inside(best)):
+        best = up[best]
+    if up[best] is None:
+        return "\n".join(b[0] for b in blocks)
+    parent = byid[up[best]]
+    sides, run = [], []
+    for c in parent[1]:
+        if isinstance(c, str) or c[0] == "a":
+            run.append(c)
+            continue
+        if run:
+            sides.append((None, _texts(("div", run))))
+            run = []
+        sides.append((c, [b for b in blocks if id(c) in b[2]]))
+    if run:
+        sides.append((None, _texts(("div", run))))
+    sides = [(c, own) for c, own in sides if own]
+    at = [i for i, (c, _) in enumerate(sides) if c is not None and id(c) == best][0]
+    keep = []
+    for i, (c, own) in enumerate(sides):
+        heading = c is not None and len(own) == 1 and byid[own[0][2][-1]][0] == "h2"
+        plain = 2 * sum(b[1] for b in own) < sum(len(b[0]) for b in own)
+        keep.append((c is not None and id(c) == best) or plain or (heading and i < at))
+        if heading and i > at:  # goes with what it heads
+            follow = []
+            for c2, own2 in sides[i + 1:]:
+                if c2 is not None and len(own2) == 1 and byid[own2[0][2][-1]][0] == "h2":
+                    break
+                follow.append(2 * sum(b[1] for b in own2) < sum(len(b[0]) for b in own2))
+            keep[-1] = plain and (not follow or any(follow))
+    return "\n".join(b[0] for k, (_, own) in zip(keep, sides) if k for b in own)
+
+
+def test_small_trees_equal_an_independent_scorer():
+    import random
+
+    rng = random.Random(11)
+    vocabulary = ["plain", "text", "with,", "commas,", "and", "some", "more"]
+
+    def text():
+        return " ".join(rng.choice(vocabulary) for _ in range(rng.choice([2, 5, 40])))
+
+    def tree(depth):
+        children = []
+        for _ in range(rng.randrange(1, 5)):
+            kind = rng.random()
+            if kind < 0.35 and depth:
+                children.append(tree(depth - 1))
+            elif kind < 0.7:
+                children.append(("p", [text()]))
+            elif kind < 0.8:
+                children.append(("h2", [text()]))
+            elif kind < 0.9:
+                children.append(("p", [("a", [text()])]))
+            else:
+                children.append(("div", [text()]))
+        return ("div", children)
+
+    for _ in range(400):
+        body = ("body", [tree(3) for _ in range(rng.randrange(1, 4))])
+        assert html_text.main_text(f"<html>{_render(body)}</html>") == _naive(body), _render(body)
