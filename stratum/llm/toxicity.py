@@ -9,12 +9,15 @@
 
 The training rows are halved: the features that the trees learn from use the
 lexicon of the other half, and the calibration uses margins of trees that did
-not see the row. The final lexicon and trees use all training rows. Labels, language, source and ids are no features. At most ``max_rows`` labelled
-rows (by a hash of the id) are used; the model's size is bounded by that and by
-``LEXICON``, so it is the same for any number of documents. Scoring is one pass
-over whole texts without a shuffle.
-
-Defined results: null text scores as the empty text, which has features of 0;
+not see the row. The map never falls: a higher margin never gets a lower score.
+The final lexicon and trees use all training rows. Labels, language, source and
+ids are no features. At most ``max_rows`` labelled rows (by a hash of the id) are
+used; a term needs support (one in 200 toxic rows), so the model's size is
+bounded by them, whatever the number of documents. Scoring is one pass over whole
+texts without a shuffle.
+
+Defined results: null text scores as the empty text, which has features of 0; a
+text of any length is read whole, in the memory of one task;
 repeated rows are scored each; a null doc_id is never trained on; of repeated
 labels of one id the highest counts, null labels don't; without labels of both
 classes every score is the positive rate of the labels (0 without any).
@@ -37,7 +40,6 @@ from stratum.llm import tokens
 from stratum.session import scratch_path, scratch_scope
 
 MAX_ROWS = 20_000     # labelled rows used at most
-LEXICON = 2_000       # lexicon entries at most
 NEAR = 4              # words between a lexicon word and a second-person pronoun
 _KEPT = 300_000       # words remembered by a worker
 
@@ -211,20 +213,28 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate:
     return model
 
 
+def pooled(value: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, length) of the blocks of the best non-decreasing fit to weighted values (pool adjacent violators)."""
+    blocks: list[list[float]] = []  # weighted sum, weight, values
+    for v, w in zip(value.tolist(), weight.tolist()):
+        blocks.append([v * w, w, 1])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            total, w2, n = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + total, blocks[-1][1] + w2, blocks[-1][2] + n]
+    return np.array([b[0] / b[1] for b in blocks]), np.array([b[2] for b in blocks], np.int64)
+
+
 def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots (margin, probability) of the best non-decreasing fit (pool adjacent
-    violators); one success and one failure are added, spread over all rows, so
-    that no score claims certainty."""
+    """Knots (margin, probability) of a non-decreasing fit. Each block of the
+    best fit is drawn to the positive rate, as by one row more, so that no score
+    claims certainty; blocks that this puts out of order are pooled again."""
     order = np.argsort(margin, kind="stable")
-    blocks: list[list[float]] = []  # sum of labels, rows, sum of margins
-    for m, t in zip(margin[order].tolist(), y[order].tolist()):
-        blocks.append([t, 1.0, m])
-        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
-            t2, n2, m2 = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + t2, blocks[-1][1] + n2, blocks[-1][2] + m2]
-    at = np.array([b[2] / b[1] for b in blocks])
-    prior = y.mean()
-    return at, np.array([(b[0] + prior) / (b[1] + 1) for b in blocks])
+    margin, y = margin[order], y[order]
+    p, n = pooled(y, np.ones(len(y)))
+    p, merged = pooled((p * n + y.mean()) / (n + 1), n + 1.0)
+    n = np.add.reduceat(n, np.concatenate([[0], np.cumsum(merged)[:-1]]))
+    at = np.add.reduceat(margin, np.concatenate([[0], np.cumsum(n)[:-1]])) / n
+    return at, np.maximum.accumulate(p)  # against rounding
 
 
 @dataclass
@@ -281,7 +291,7 @@ def _lexicons(rows: DataFrame) -> list[dict[str, float]]:
     ratio = (F.col("toxic_0") + F.col("toxic_1") + 0.5) / (F.col("clean_0") + F.col("clean_1") + 0.5)
     ratio = ratio * F.lit((sizes["clean_0"] + sizes["clean_1"] + 1) / (toxic + 1))
     top = (counts.filter(F.col("toxic_0") + F.col("toxic_1") >= max(3, round(0.005 * toxic))).filter(ratio > 4)
-           .orderBy((F.log(ratio) * F.sqrt(F.col("toxic_0") + F.col("toxic_1"))).desc(), "term").limit(LEXICON).collect())
+           .collect())  # each in one of 200 toxic rows: at most 200 times the terms of a mean one
     out = []
     for halves in ((0,), (1,), (0, 1)):
         n = [sum(sizes[f"{k}_{h}"] for h in halves) for k in ("toxic", "clean")]

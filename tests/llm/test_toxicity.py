@@ -101,4 +101,29 @@ def test_trees_and_isotonic():
     m = toxicity.boost(x, y).margin(x)
     assert ((m > 0) == y).mean() > 0.97
     at, p = toxicity.isotonic(m + rng.normal(size=600), y)
-    assert (np.diff(at) >= 0).all() and (np.diff(p) >= -1e-2).all() and p[0] < 0.2 and p[-1] > 0.8
+    assert (np.diff(at) >= 0).all() and (np.diff(p) >= 0).all() and p[0] < 0.2 and p[-1] > 0.8
+
+
+def test_pooling_is_the_best_non_decreasing_fit():
+    """Against the minimax formula: the largest, over starts, of the smallest, over ends, weighted mean."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 30):
+        for _ in range(20):
+            v, w = rng.integers(0, 3, n).astype(float), rng.integers(1, 4, n).astype(float)
+            mean = lambda a, b: (v[a:b + 1] * w[a:b + 1]).sum() / w[a:b + 1].sum()
+            want = [max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+            p, length = toxicity.pooled(v, w)
+            assert np.allclose(np.repeat(p, length), want) and length.sum() == n
+
+
+def test_a_higher_margin_never_gets_a_lower_score():
+    rng = np.random.default_rng(5)
+    for k in range(200):
+        n = int(rng.integers(2, 60))
+        margin, y = rng.normal(size=n).round(1), rng.integers(0, 2, n).astype(float)
+        at, p = toxicity.isotonic(margin, y)
+        assert (np.diff(at) >= 0).all() and (np.diff(p) >= 0).all() and ((0 < p) & (p < 1) | (y.mean() == p)).all()
+        trees = toxicity.Trees(0.0, 1, [(np.array([0]), np.array([0.0]), np.array([-1.0, 1.0]))])
+        trees.margin = lambda x: x[:, 0]
+        scores = toxicity.Model({}, trees, (at, p), float(y.mean())).score(np.linspace(-4, 4, 400)[:, None])
+        assert (np.diff(scores) >= 0).all()
