@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.llm import tokens, words
+from stratum.llm import tokens, words, worker
 from stratum.session import scratch_path
 
 WORDS, PERCENT = 5, 80
@@ -111,7 +111,7 @@ def _stored_sets(items: DataFrame, size: int) -> DataFrame:
     spark = items.sparkSession
     path = scratch_path(spark, "benchmark-sets")
     (items.select(F.col("item_id").cast("long").alias("item_id"), "text")
-     .mapInArrow(_item_sets(size), "item_id long, n long, shingles binary").filter("n > 0")
+     .mapInArrow(worker.task("decontaminate", _item_sets(size)), "item_id long, n long, shingles binary").filter("n > 0")
      .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).write.parquet(path))
     sets = spark.read.parquet(path)
     return sets
@@ -161,7 +161,7 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = WORDS, percen
         if not rows:  # within an item of more than a block
             continue
         shared = spark.sparkContext.broadcast([(r["item_id"], bytes(r["shingles"])) for r in rows])
-        found = texts.mapInArrow(_search(shared, size, percent), PAIR_SCHEMA)
+        found = texts.mapInArrow(worker.task("decontaminate", _search(shared, size, percent)), PAIR_SCHEMA)
         out = found if out is None else out.union(found)
     return out
 
@@ -169,16 +169,16 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = WORDS, percen
 def _joined(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """The same pairs by joins: sketches with the documents' shingles, then the candidates' full sets."""
     path = scratch_path(texts.sparkSession, "document-sets")
-    (texts.select(F.col("doc_id").alias("item_id"), "text").mapInArrow(_item_sets(size), "item_id long, n long, shingles binary").filter("n > 0")
+    (texts.select(F.col("doc_id").alias("item_id"), "text").mapInArrow(worker.task("decontaminate", _item_sets(size)), "item_id long, n long, shingles binary").filter("n > 0")
      .withColumn("doc", F.monotonically_increasing_id()).withColumnRenamed("item_id", "doc_id").write.parquet(path))
     own = texts.sparkSession.read.parquet(path)
     need = F.ceil(F.col("n") * percent / 100)
-    sketch = (sets.select(F.col("at").alias("id"), "n", "shingles", (F.col("n") - need + 1).alias("take")).mapInArrow(_keys, "id long, key long, n long")
+    sketch = (sets.select(F.col("at").alias("id"), "n", "shingles", (F.col("n") - need + 1).alias("take")).mapInArrow(worker.task("decontaminate", _keys), "id long, key long, n long")
               .select(F.col("id").alias("at"), "key", need.alias("need")))
-    keys = own.select(F.col("doc").alias("id"), "n", "shingles", F.col("n").alias("take")).mapInArrow(_keys, "id long, key long, n long")
+    keys = own.select(F.col("doc").alias("id"), "n", "shingles", F.col("n").alias("take")).mapInArrow(worker.task("decontaminate", _keys), "id long, key long, n long")
     pairs = keys.join(sketch, "key").filter("n >= need").select(F.col("id").alias("doc"), "at").distinct()
     pairs = pairs.join(own.select("doc", "doc_id", F.col("shingles").alias("own")), "doc").join(sets.select("at", "item_id", "n", "shingles"), "at")
-    return pairs.select("doc_id", "item_id", "own", "shingles").mapInArrow(_verified(percent), PAIR_SCHEMA)
+    return pairs.select("doc_id", "item_id", "own", "shingles").mapInArrow(worker.task("decontaminate", _verified(percent)), PAIR_SCHEMA)
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

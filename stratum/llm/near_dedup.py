@@ -25,8 +25,9 @@
 With 32 bands of 4 slots a pair at similarity 0.8 misses all buckets with
 probability 5e-8.
 
-Defined results: null text is empty; a text without words has no shingles, is
-linked with nothing and is its own group; a text with fewer words than a
+Defined results: null text is empty; a very long text is shingled in pieces and
+signed in slices, so that a task holds its text and 8 bytes a shingle; a text
+without words has no shingles, is linked with nothing and is its own group; a text with fewer words than a
 shingle has its whole sequence as one; rows that repeat a doc_id are separate
 texts with that id; null ids are never a group's id unless it has no other;
 an empty table gives an empty result; other columns are ignored.
@@ -38,10 +39,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm import tokens, words
+from stratum.llm import tokens, words, worker
 from stratum.session import scratch_path, scratch_scope
 
 BANDS, ROWS = 32, 4
@@ -49,7 +51,9 @@ WORDS, PERCENT = 5, 80
 CELLS = 2048  # of the parity sketch; a power of two
 _GOLD = 0x9E3779B97F4A7C15
 _UNSET = np.uint64((1 << 64) - 1)
-_ELEMENTS = 1 << 17  # elements handled at once
+_ELEMENTS = 1 << 17  # elements handled at once, 128 bytes each
+_TEXTS = 2048        # texts handled at once; a parity sketch is counted in 16 kB each
+_PAIR_CHARS = 1 << 19  # characters of both texts of the pairs verified at once
 
 
 def super_minhash(values: np.ndarray, bounds: np.ndarray, slots: int) -> np.ndarray:
@@ -77,6 +81,23 @@ def super_minhash(values: np.ndarray, bounds: np.ndarray, slots: int) -> np.ndar
     return sig.reshape(texts, slots)
 
 
+def signatures(values: np.ndarray, bounds: np.ndarray, slots: int) -> np.ndarray:
+    """``super_minhash`` of many sets, at most ``_ELEMENTS`` elements at a time. A
+    larger set is signed slice by slice: each slot's least rank of the whole is
+    the least of the slices'."""
+    out = np.empty((len(bounds) - 1, slots), np.uint64)
+    i = 0
+    while i < len(out):
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + _ELEMENTS, "right")) - 1)
+        if bounds[j] - bounds[i] <= _ELEMENTS:
+            out[i:j] = super_minhash(values[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], slots)
+        else:
+            parts = (values[at:min(at + _ELEMENTS, bounds[j])] for at in range(int(bounds[i]), int(bounds[j]), _ELEMENTS))
+            out[i] = np.minimum.reduce([super_minhash(p, np.array([0, len(p)]), slots)[0] for p in parts])
+        i = j
+    return out
+
+
 def fingerprints(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     """128 bits for each set; the same for the same set."""
     out = np.zeros((len(bounds) - 1, 2), np.uint64)
@@ -89,7 +110,8 @@ def fingerprints(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
 
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
     for at, run in tokens.batches(texts, 1 << 19):
-        yield at, [t.encode(errors="replace") for t in run]
+        for i in range(0, len(run), _TEXTS):
+            yield at + i, [t.encode(errors="replace") for t in run[i:i + _TEXTS]]
 
 
 def _signed(size: int, bands: int, rows: int):
@@ -99,12 +121,7 @@ def _signed(size: int, bands: int, rows: int):
             for at, texts in _chunks(batch.column("text").to_pylist()):
                 values, bounds = words.shingles(texts, size)
                 n = np.diff(bounds)
-                sig = np.empty((len(texts), bands * rows), np.uint64)
-                i = 0
-                while i < len(texts):
-                    j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + _ELEMENTS, "right")) - 1)
-                    sig[i:j] = super_minhash(values[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], bands * rows)
-                    i = j
+                sig = signatures(values, bounds, bands * rows)
                 keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(texts), bands)).copy()
                 for k in range(rows):
                     keys = words.mix(keys * np.uint64(_GOLD) + sig.reshape(len(texts), bands, rows)[:, :, k])
@@ -130,24 +147,32 @@ def _own_node(size: int):
 
 def _linked(size: int, percent: int):
     """a, b, text_a, text_b -> the pairs a, b that are similar enough."""
+    def similar(part: pa.RecordBatch) -> list[bool]:
+        both = {}
+        for side in "ab":
+            both.update(zip(part.column(side).to_pylist(), part.column(f"text_{side}").to_pylist()))
+        at = {node: k for k, node in enumerate(both)}
+        values, bounds = words.shingles([(t or "").encode(errors="replace") for t in both.values()], size)
+        good = []
+        for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist()):
+            x, y = (values[bounds[at[k]]:bounds[at[k] + 1]] for k in (a, b))
+            short, long = (x, y) if len(x) < len(y) else (y, x)
+            pos = np.minimum(np.searchsorted(long, short), len(long) - 1)
+            common = int((long[pos] == short).sum())
+            good.append(100 * common >= percent * (len(x) + len(y) - common))
+        return good
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = 128
-            for i in range(0, batch.num_rows, step):
-                part = batch.slice(i, step)
-                both = {}
-                for side in "ab":
-                    both.update(zip(part.column(side).to_pylist(), part.column(f"text_{side}").to_pylist()))
-                at = {node: k for k, node in enumerate(both)}
-                values, bounds = words.shingles([(t or "").encode(errors="replace") for t in both.values()], size)
-                good = []
-                for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist()):
-                    x, y = (values[bounds[at[k]]:bounds[at[k] + 1]] for k in (a, b))
-                    short, long = (x, y) if len(x) < len(y) else (y, x)
-                    pos = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                    common = int((long[pos] == short).sum())
-                    good.append(100 * common >= percent * (len(x) + len(y) - common))
-                yield part.select(["a", "b"]).filter(pa.array(good))
+            chars = sum(pc.utf8_length(batch.column(f"text_{side}")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for side in "ab")
+            ends = np.cumsum(chars)
+            i = 0
+            while i < batch.num_rows:
+                limit = _PAIR_CHARS + (ends[i - 1] if i else 0)
+                j = max(i + 1, min(i + 128, int(np.searchsorted(ends, limit, "right"))))
+                part = batch.slice(i, j - i)
+                yield part.select(["a", "b"]).filter(pa.array(similar(part)))
+                i = j
 
     return run
 
@@ -237,13 +262,13 @@ def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, perce
     candidates = entries.select("node").distinct()
     reps = nodes.join(candidates, "node").select("node", "rep.doc_id", "rep.text_key")
     same = base["doc_id"].eqNullSafe(reps["doc_id"]) & (base["text_key"] == reps["text_key"])
-    texts = _stored(base.join(reps, same).select("node", base["text"]).mapInArrow(_own_node(size), "node binary, text string")
+    texts = _stored(base.join(reps, same).select("node", base["text"]).mapInArrow(worker.task("near_dedup", _own_node(size)), "node binary, text string")
                     .dropDuplicates(["node"]), "node-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_linked(size, percent), "a binary, b binary")
+        return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(worker.task("near_dedup", _linked(size, percent)), "a binary, b binary")
 
     def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
         """Pairs whose nodes are in different groups."""
@@ -270,10 +295,10 @@ def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, perce
     groups = components(links)
 
     opened = _stored(unsettled(grouped(groups)).select("node", "n").distinct().withColumn("id", F.monotonically_increasing_id()), "opened")
-    shingles = texts.join(opened, "node").select("id", "text").mapInArrow(_exploded(size), "id long, shingle long")
+    shingles = texts.join(opened, "node").select("id", "text").mapInArrow(worker.task("near_dedup", _exploded(size)), "id long, shingle long")
     alone = (shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("id")).filter("holders = 1")
              .groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
-    parities = texts.join(opened, "node").select("id", "text").mapInArrow(_parities(size), "id long, parity array<long>")
+    parities = texts.join(opened, "node").select("id", "text").mapInArrow(worker.task("near_dedup", _parities(size)), "id long, parity array<long>")
     shares = _stored(opened.join(alone, "id", "left").join(parities, "id")
                      .select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"), "parity"), "shares")
 
@@ -315,7 +340,7 @@ def near_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, band
     ``text_key`` is ``xxhash64(text)``; with doc_id it tells rows that share an id apart.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text"))
-    signed = _stored(base.mapInArrow(_signed(size, bands, rows), "doc_id long, text_key long, n_shingles long, node binary, buckets array<long>"), "signed")
+    signed = _stored(base.mapInArrow(worker.task("near_dedup", _signed(size, bands, rows)), "doc_id long, text_key long, n_shingles long, node binary, buckets array<long>"), "signed")
     spark = docs.sparkSession
     path = scratch_path(spark, "named")
     with scratch_scope(spark):  # what is made on the way goes once the groups are stored

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm import tokens
+from stratum.llm import tokens, worker
 from stratum.llm.numbering import number_within
 from stratum.session import scratch_path
 
@@ -63,7 +63,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END
                     [pa.array(c, pa.int64()) for c in cols[:5]] + [pa.array(cols[5], pa.binary())],
                     names=["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(worker.task("tokens", pieces), PIECE_SCHEMA)
 
 
 def nnls(a: np.ndarray, b: np.ndarray, steps: int = 2000) -> np.ndarray:
@@ -224,7 +224,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, classes: int = 64, depth: int
                 [*(batch.column(c) for c in kept), pa.array(sequence[at] + number - first[at], pa.int64()),
                  pa.array(offset[at], pa.int64())], names=[*kept, "sequence_id", "offset"])
 
-    return numbered.mapInArrow(look_up, schema)
+    return numbered.mapInArrow(worker.task("tokens", look_up), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID,

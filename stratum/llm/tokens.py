@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from stratum.llm import words
+from stratum.llm import words, worker
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs one task a core
 
@@ -168,6 +168,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+worker.remembers(encoder.cache_clear)
+
+
 def batches(texts: list[str | None], chars: int = 1 << 19):
     """(first index, texts) in runs of about ``chars`` characters; null is empty."""
     at, run, size = 0, [], 0

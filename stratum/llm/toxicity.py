@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm import tokens
+from stratum.llm import tokens, worker
 from stratum.session import scratch_path, scratch_scope
 
 MAX_ROWS = 20_000     # labelled rows used at most
@@ -286,7 +286,7 @@ def _lexicons(rows: DataFrame) -> list[dict[str, float]]:
     for r in rows.groupBy("half", "toxic").count().collect():
         sizes[f"{'toxic' if r['toxic'] else 'clean'}_{r['half']}"] = r["count"]
     toxic = sizes["toxic_0"] + sizes["toxic_1"]
-    counts = (rows.select("text", "toxic", "half").mapInArrow(_term_counts, "term string, " + ", ".join(f"{c} long" for c in _COUNTS))
+    counts = (rows.select("text", "toxic", "half").mapInArrow(worker.task("toxicity", _term_counts), "term string, " + ", ".join(f"{c} long" for c in _COUNTS))
               .groupBy("term").agg(*(F.sum(c).alias(c) for c in _COUNTS)))
     ratio = (F.col("toxic_0") + F.col("toxic_1") + 0.5) / (F.col("clean_0") + F.col("clean_1") + 0.5)
     ratio = ratio * F.lit((sizes["clean_0"] + sizes["clean_1"] + 1) / (toxic + 1))
@@ -346,7 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         rows = training_rows(docs, labels, max_rows).withColumn("half", (F.col("fold") > 2).cast("int"))
         lexicons = _lexicons(rows)
         got = (rows.select("text", "toxic", F.col("fold").cast("int").alias("fold"), "half")
-               .mapInArrow(_features(lexicons), "toxic int, fold int, x array<double>").collect())  # at most max_rows rows, one a doc_id
+               .mapInArrow(worker.task("toxicity", _features(lexicons)), "toxic int, fold int, x array<double>").collect())  # at most max_rows rows, one a doc_id
     y = np.array([r["toxic"] for r in got], np.float64)
     x = np.array([r["x"] for r in got], np.float64).reshape(-1, len(FEATURES))
     kind = np.array([r["fold"] for r in got], np.int64)
@@ -378,7 +378,7 @@ def score(docs: DataFrame, model: Model, score_column: str = "score", predicted_
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                              names=[*batch.schema.names, score_column, predicted_column])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(worker.task("toxicity", run), schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:

@@ -9,8 +9,12 @@ for any 64-bit hash.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
+from stratum.llm import worker
+
 _RNG = np.random.default_rng(20240607)
 _VALUE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _EXACT = _VALUE.copy()
@@ -34,6 +38,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 _CACHE: dict[int, np.ndarray] = {}
+worker.remembers(_CACHE.clear)
 
 
 def _power_table(base: int, n: int) -> np.ndarray:
@@ -73,12 +78,66 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return split(texts)[3:]
 
 
+LONG = 1 << 18  # bytes of a text that is cut into pieces, so that arrays stay small
+_BREAK = re.compile(rb"[\t-\r ]")
+
+
 def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted, end to end, and their bounds.
 
     A text with fewer than ``size`` words has its whole word sequence as its
-    only shingle; one without words has none.
+    only shingle; one without words has none. A long text is read in pieces that
+    end between words; only its distinct hashes (8 bytes each) are held whole.
     """
+    if all(len(t) <= LONG for t in texts):
+        return _shingles(texts, size)
+    sets, run = [], []
+    for t in texts:
+        if len(t) <= LONG:
+            run.append(t)
+            continue
+        if run:
+            sets.append(_shingles(run, size))
+            run = []
+        own = _long_set(t, size)
+        sets.append((own, np.array([0, len(own)], np.int64)))
+    if run:
+        sets.append(_shingles(run, size))
+    counts = np.concatenate([np.diff(b) for _, b in sets])
+    return np.concatenate([v for v, _ in sets]), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+
+
+def _long_set(text: bytes, size: int) -> np.ndarray:
+    """Distinct shingle hashes of one text, sorted."""
+    more = re.compile(rb"(?:[\t-\r ]+[^\t-\r ]+){0,%d}" % (size - 1))
+    found, at = [], 0
+    while at < len(text):
+        gap = _BREAK.search(text, min(at + LONG // 2, len(text)))
+        cut = gap.start() if gap else len(text)
+        piece = text[at:more.match(text, cut).end()]  # with the words that its last shingles need
+        h = word_hashes([piece])[0]
+        if len(h) >= size:
+            found.append(_distinct(_hashed(h, size)))
+        at = max(cut, at + 1)
+    if not found:  # too few words: all of them are one
+        return _shingles([b" ".join(text.split())], size)[0]
+    return _distinct(np.concatenate(found))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _hashed(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words."""
+    value = np.zeros(len(h) - size + 1, np.uint64)
+    for k in range(size):
+        value = value * _STEP + h[k:len(h) - size + 1 + k]
+    return mix(value + np.uint64(size))
+
+
+def _shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     h, first = word_hashes(texts)
     n = np.diff(first)
     count = np.where(n >= size, n - size + 1, np.minimum(n, 1))

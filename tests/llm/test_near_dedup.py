@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -132,3 +133,71 @@ def test_components(spark):
 def test_empty(nothing):
     assert near_dedup.near_groups(nothing).collect() == []
     assert near_dedup.drop_near_duplicates(nothing).collect() == []
+
+
+def test_long_texts_are_shingled_in_pieces_as_whole(monkeypatch):
+    import random
+
+    import numpy as np
+
+    from stratum.llm import words
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["a", "bb", "Ccc", "dddd"]) + rng.choice(["", "", "  ", "\n"]) for _ in range(n)).encode() for n in (0, 1, 3, 4, 5, 50, 900)]
+    texts += [b" " * 500, b"x" * 700, b"one " + b" " * 600 + b"two", b"w" * 300 + b" v " + b"u" * 300, b"\n\n a b c d e f"]
+    whole = [words.shingles([t], size) for t in texts for size in (1, 4, 5)]
+    monkeypatch.setattr(words, "LONG", 64)
+    cut = [words.shingles([t], size) for t in texts for size in (1, 4, 5)]
+    for (v, b), (w, c) in zip(whole, cut):
+        assert np.array_equal(v, w) and np.array_equal(b, c)
+    v, b = words.shingles(texts, 4)
+    monkeypatch.setattr(words, "LONG", 1 << 18)
+    w, c = words.shingles(texts, 4)
+    assert np.array_equal(v, w) and np.array_equal(b, c)
+
+
+def test_signatures_of_slices_equal_those_of_the_whole(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sizes = [0, 1, 40, 3000, 7, 500]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    values = rng.integers(0, 1 << 63, bounds[-1], dtype=np.uint64)
+    want = near_dedup.super_minhash(values, bounds, 128)
+    for elements in (1, 64, 1000, 1 << 17):
+        monkeypatch.setattr(near_dedup, "_ELEMENTS", elements)
+        assert np.array_equal(near_dedup.signatures(values, bounds, 128), want)
+
+
+def test_memory_of_one_text_of_three_million_shingles():
+    """In a process of its own: what shingling and signing add to the text itself."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from stratum.llm import near_dedup, words
+rng = np.random.default_rng(1)
+text = b" ".join(b"w%d" % k for k in rng.integers(0, 1 << 20, 3_000_000))
+words.shingles([text[:100_000]], 5)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+values, bounds = words.shingles([text], 5)
+near_dedup.signatures(values, bounds, 128)
+print(len(values), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=str(Path(near_dedup.__file__).parents[2]))
+    shingles, mb = out.stdout.split()
+    assert int(shingles) > 2_900_000 and float(mb) < 150
+
+
+def test_a_worker_forgets_what_another_operator_remembered():
+    from stratum.llm import tokens, words, worker
+
+    words.word_hashes([b"some words"])
+    assert words._CACHE
+    list(worker.task("one", iter)([]))
+    words.word_hashes([b"some words"])
+    list(worker.task("one", iter)([]))
+    assert words._CACHE                                  # the same operator keeps its tables
+    list(worker.task("two", iter)([]))
+    assert not words._CACHE and tokens.encoder.cache_info().currsize == 0
