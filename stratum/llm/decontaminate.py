@@ -17,15 +17,18 @@ Instead:
 The benchmark is cut into blocks of at most ``block_shingles`` shingles (a size
 bound for what is sent to executors); documents are scanned once per block,
 without any shuffle of texts. A usual benchmark is one block. A benchmark of
-more than ``sent_shingles`` does not pass through the driver: sketches are
-joined with the documents' shingles as tables, and candidates with the full sets.
+more than ``sent_shingles`` does not pass through the driver: sketches, sized by
+the same partitions, are joined with the documents' shingles as tables (shingles
+that many texts share are split by Spark's skew join), and candidates with the
+full sets.
 
 Defined results: null or wordless items and texts match nothing; a text with
 fewer words than a shingle has its whole sequence as one, so a short item is
 found only in a text that equals it - unless ``short_inside`` is set, as the
 query and the pipeline do; then it is found wherever its words stand; repeated items and
 rows give repeated pairs; null ids are kept; an empty benchmark or an empty
-table gives no pairs. Further columns are ignored.
+table gives no pairs; a very long text is shingled in pieces, so that a task
+holds it and 8 bytes a shingle. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -173,7 +176,10 @@ def _joined(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataF
      .withColumn("doc", F.monotonically_increasing_id()).withColumnRenamed("item_id", "doc_id").write.parquet(path))
     own = texts.sparkSession.read.parquet(path)
     need = F.ceil(F.col("n") * percent / 100)
-    sketch = (sets.select(F.col("at").alias("id"), "n", "shingles", (F.col("n") - need + 1).alias("take")).mapInArrow(worker.task("decontaminate", _keys), "id long, key long, n long")
+    # The size partition fixes the sketch, as in ``Block``: what its largest item may miss, and one more.
+    top = F.pow(F.lit(2), F.ceil(F.log2("n")))
+    slack = F.greatest((top - F.ceil(top * percent / 100)).cast("long"), F.col("n") - need)
+    sketch = (sets.select(F.col("at").alias("id"), "n", "shingles", (slack + 1).alias("take")).mapInArrow(worker.task("decontaminate", _keys), "id long, key long, n long")
               .select(F.col("id").alias("at"), "key", need.alias("need")))
     keys = own.select(F.col("doc").alias("id"), "n", "shingles", F.col("n").alias("take")).mapInArrow(worker.task("decontaminate", _keys), "id long, key long, n long")
     pairs = keys.join(sketch, "key").filter("n >= need").select(F.col("id").alias("doc"), "at").distinct()
@@ -221,14 +227,24 @@ def _search(shared, size: int, percent: int):
     return run
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WORDS, percent: int = PERCENT, short_inside: bool = False) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WORDS, percent: int = PERCENT, short_inside: bool = False,
+                      least_words: int = 1) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item; all columns stay.
 
     Documents with a null id can't be named by a pair, so they are told apart by
-    their text.
+    their text. With ``short_inside``, items of fewer than ``least_words`` words are
+    nevertheless looked for among whole texts only: one or two common words inside
+    a text say nothing.
     """
     keyed = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    gone = contained_items(keyed, items, size, percent, short_inside=short_inside).select(F.col("doc_id").alias("__key")).distinct()
+    if short_inside:
+        tiny = F.size(F.filter(F.split("text", "[\\x09-\\x0D\\x20]+"), lambda w: w != "")) < least_words
+        found = contained_items(keyed, items.filter(~tiny), size, percent, short_inside=True)
+        if least_words > 1:
+            found = found.union(contained_items(keyed, items.filter(tiny), size, percent))
+    else:
+        found = contained_items(keyed, items, size, percent)
+    gone = found.select(F.col("doc_id").alias("__key")).distinct()
     path = scratch_path(docs.sparkSession, "contaminated")
     gone.write.parquet(path)
     gone = docs.sparkSession.read.parquet(path)

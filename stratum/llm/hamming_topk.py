@@ -16,7 +16,8 @@ Defined results: rows with a null id or vector are neither found nor asked; a
 missing or null component is a 0 bit, as is one that isn't positive; repeated
 (id, code) rows count once; a query is never its own neighbour; ties in
 distance go to the smaller id; with fewer than k others all are returned; an
-empty table gives an empty result.
+empty table gives an empty result; texts, however long, play no part, and further
+columns are not read.
 """
 
 from __future__ import annotations

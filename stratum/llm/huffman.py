@@ -17,7 +17,8 @@ side, and returns the documents with their global start.
 Defined results: null text is the empty text, which still has its end id;
 repeated doc_ids are separate documents (their order is arbitrary but fixed in
 the files), null ids come first; an empty table gives empty files and an empty
-result; a code of a single symbol has one bit.
+result; a code of a single symbol has one bit; a very long text is encoded whole,
+in the memory of one task, and its ids are spread over several blocks.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@
 
 Defined results: null text is the empty text, which still has its end id;
 repeated rows are separate documents; null ids are kept; an empty table gives
-an empty result. Ties (pieces of one length) are numbered by id and start.
+an empty result; a very long text is encoded whole, in the memory of one task
+(about 30 bytes for each of its own), and cut into pieces there. Ties (pieces of one length) are numbered by id and start.
 """
 
 from __future__ import annotations

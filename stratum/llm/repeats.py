@@ -28,7 +28,8 @@ levels' results are joined without moving texts again.
 Defined results: null text is the empty text; texts shorter than ``length``
 lose nothing; rows that repeat an id are separate texts; null ids are kept;
 strings never span two texts; repeated rows are copies of each other; an empty
-table gives an empty result; further columns are ignored.
+table gives an empty result; a very long text is one row, held whole with its
+fingerprints (about 20 bytes a byte) by one task; further columns are ignored.
 """
 
 from __future__ import annotations

@@ -18,8 +18,10 @@ span is a running sum of gap and match lengths, in code points.
 
 Defined results: null text is the empty text; empty texts, texts without a
 match and tables without rows give no spans (count 0, empty string); equal
-texts share one blob; repeated rows stay repeated; null path values are kept;
-the path columns may have any names but those of ``FINDINGS``.
+texts share one blob; repeated rows stay repeated; null path values are kept; a
+text of any length is matched whole, in the memory of one task. Path columns may
+have any names: one called as a column of ``FINDINGS`` stays, and the finding's
+column is then called ``found_`` and its name.
 """
 
 from __future__ import annotations
@@ -131,8 +133,11 @@ def scan_versions(versions: DataFrame, path_columns: list[str], text: str = "tex
                   rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION) -> DataFrame:
     """path columns, blob, rules_version and spans of every version (see ``update_ledger``)."""
     found = update_ledger(versions, text, ledger, rules, rules_version)
-    paths = versions.select(*path_columns, _address(text).alias("blob"))
-    return paths.join(found, "blob", "left").select(*path_columns, *FINDINGS)
+    paths = versions.select(*path_columns, _address(text).alias("__blob"))
+    found = found.select(*[F.col(c).alias(f"__found_{c}") for c in FINDINGS])
+    taken = {c.lower() for c in path_columns}
+    named = [F.col(f"__found_{c}").alias(f"found_{c}" if c in taken else c) for c in FINDINGS]
+    return paths.join(found, F.col("__blob") == F.col("__found_blob"), "left").select(*path_columns, *named)
 
 
 def base_digest(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -12,7 +12,8 @@ gapless ``slot`` in every shard, ordered by the order columns.
 Defined results: a null key is hashed as key 0; keys of any other type than an
 integer go through ``xxhash64`` first; rows that tie on all order columns are
 numbered in an arbitrary but gapless way (they are interchangeable); an empty
-table gives an empty result; further columns pass through untouched, and
+table gives an empty result; of a text, however long, only size and CRC leave
+the scan; further columns pass through untouched, and
 columns called ``shard``, ``grown_shard`` or ``slot`` are replaced.
 """
 

@@ -76,3 +76,22 @@ def test_empty(corpus, nothing, items):
     assert decontaminate.contained_items(nothing, items).collect() == []
     assert decontaminate.contained_items(corpus, none).collect() == []
     assert decontaminate.drop_contaminated(corpus, none).count() == corpus.count()
+
+
+def test_tiny_items_are_looked_for_among_whole_texts_only(spark):
+    docs = spark.createDataFrame([(1, "the cat sat"), (2, "the"), (3, "here is new york city for you"), (4, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the"), (2, "new york city")], "item_id long, text string")
+    kept = lambda least: sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items, short_inside=True, least_words=least).collect())
+    assert kept(1) == [4] and kept(3) == [1, 4] and kept(4) == [1, 3, 4]
+
+
+def test_a_large_benchmark_as_tables_gives_the_same_pairs(spark):
+    import random
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([3, 8, 20, 70]))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(rng.sample(texts, 3)) + f" tail {i}") for i in range(80)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(t.split()[:-1]) + rng.choice([" x", ""])) for i, t in enumerate(texts)], "item_id long, text string")
+    sent, joined = (sorted(map(tuple, decontaminate.contained_items(docs, items, sent_shingles=n).collect())) for n in (8_000_000, 0))
+    assert sent == joined and len(sent) > 100

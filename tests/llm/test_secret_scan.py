@@ -73,3 +73,10 @@ def test_mask(corpus, corpus_rows):
 def test_empty(nothing):
     assert secret_scan.base_digest(secret_scan.scan_versions(nothing.select("doc_id", "text"), ["doc_id"])).collect() == []
     assert secret_scan.mask_secrets(nothing).collect() == []
+
+
+def test_path_columns_may_be_called_as_findings(spark):
+    rows = spark.createDataFrame([("a", "x", 1, "password = 'abcdefghijklmnop'"), ("b", None, 2, None)], "path string, blob string, spans int, text string")
+    out = {r["path"]: r for r in secret_scan.scan_versions(rows, ["path", "blob", "spans"]).collect()}
+    assert out["a"]["blob"] == "x" and out["a"]["spans"] == 1 and len(out["a"]["found_spans"]) == 1 and len(out["a"]["found_blob"]) == 32
+    assert out["b"]["blob"] is None and out["b"]["found_spans"] == [] and out["a"]["rules_version"] == secret_scan.RULES_VERSION
