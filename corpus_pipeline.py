@@ -2,7 +2,8 @@
 
 Each stage takes what its predecessor kept, as a stored table; all but the last
 return the columns of ``documents``. Null texts pass every filter as empty texts
-and end as one-token documents; rows that repeat an id are filtered alike.
+and end as one-token documents; rows that repeat an id are filtered alike; very
+long texts go through each stage whole, as its module says.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from stratum.llm.queries import read, tokenizer
 from stratum.llm.ship import ship
 from stratum.session import scratch_path
 
+# One or two words inside a text are no sign of contamination.
+LEAST_ITEM_WORDS = 3
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the calibrated classifier scores 0.5 or more go."""
@@ -27,8 +31,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain 80 % of a benchmark item's five-word shingles go."""
-    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), short_inside=True)
+    """Documents that contain 80 % of a benchmark item's five-word shingles go; an
+    item of fewer words is looked for as it stands, one of fewer than
+    ``LEAST_ITEM_WORDS`` only among whole texts."""
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), short_inside=True, least_words=LEAST_ITEM_WORDS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
