@@ -2,11 +2,14 @@
 
 A code of b bits is cut into m segments (about log2 of the number of codes each)
 and entered once per segment under the segment's value. A query looks up values
-at segment distance 0, then 1, 2 ... Once segments 0 to ``j`` have been searched at radius
-``s`` and the others at ``s - 1``, every code at Hamming distance up to
-``m * s + j`` has been met, by the pigeonhole principle, so a query is finished once its k-th verified distance is within that; the rounds
-end when all are. Each round is one equi-join of the unfinished queries' probes
-with the index, verified on whole codes, with the k best kept per query.
+at segment distance 0, then 1, 2 ... Once segments 0 to ``j`` have been searched
+at radius ``s`` and the others at ``s - 1``, every code at Hamming distance up to
+``m * s + j`` has been met, by the pigeonhole principle, so a query is finished
+once its k-th verified distance is within that; the rounds end when all are. Each
+round is one equi-join of the unfinished queries' probes with the index, verified
+on whole codes, with the k best kept per query. A round that would make more
+probes a query than there are codes is not made: the queries that are left are
+held against all codes, in blocks, which is exact and less work.
 
 Equal codes are one entry with their k + 1 smallest ids, and equal queries are
 searched once, so copies never multiply. A code is only taken at the segment
@@ -23,14 +26,15 @@ columns are not read.
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.session import scratch_path
+from stratum.session import scratch_path, scratch_scope
 
 ROUND_PROBES = 1000  # probes a segment up to which all segments share a round
+SCAN_BLOCK = 2000    # queries that are held against all codes at once
 
 
 def sign_words(vector: Column, bits: int) -> Column:
@@ -70,10 +74,31 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _masks(width: int, weight: int) -> Column:
-    """All values of ``width`` bits with ``weight`` bits set, as one constant."""
-    values = (sum(1 << b for b in chosen) for chosen in combinations(range(width), weight))
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+def _probes(asked: DataFrame, segment: int, width: int, radius: int) -> DataFrame:
+    """(code, values, segment, value): the segment's value with every choice of
+    ``radius`` bits turned, chosen one after the other from low to high on the executors."""
+    out = asked.select("code", "values", F.lit(segment).alias("segment"), F.col("values")[segment].alias("value"), F.lit(-1).alias("last"))
+    for i in range(radius):
+        out = out.select("code", "values", "segment", "value", F.explode(F.sequence(F.col("last") + 1, F.lit(width - radius + i))).alias("last"))
+        out = out.withColumn("value", F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("last"))))
+    return out.select("code", "values", "segment", "value")
+
+
+def _scanned(active: DataFrame, entries: DataFrame, k: int) -> DataFrame:
+    """(code, distance, neighbor_id) of the k + 1 nearest of each query, held
+    against all codes, ``SCAN_BLOCK`` queries at a time."""
+    spark = active.sparkSession
+    blocks = max(1, -(-active.count() // SCAN_BLOCK))
+    order = Window.partitionBy("code").orderBy("distance", "neighbor_id")
+    numbered = _stored(active.select("code", F.pmod(F.xxhash64("code"), F.lit(blocks)).alias("block")), "scan-queries")
+    paths = []
+    for block in range(blocks):
+        own = F.broadcast(numbered.filter(F.col("block") == block).select("code"))  # about SCAN_BLOCK codes
+        apart = F.aggregate(F.zip_with("code", "found", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+        pairs = entries.select(F.col("code").alias("found"), "ids").join(own).select("code", apart.alias("distance"), F.explode("ids").alias("neighbor_id"))
+        paths.append(scratch_path(spark, "scanned"))
+        pairs.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k + 1).write.parquet(paths[-1])
+    return spark.read.parquet(*paths)
 
 
 def _steps(parts: list[tuple[int, int]]) -> list[tuple[int, list[int]]]:
@@ -90,12 +115,21 @@ def _steps(parts: list[tuple[int, int]]) -> list[tuple[int, list[int]]]:
 def top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), neighbor_id, distance; both inputs are (id, code),
     code an array of 64-bit words."""
+    spark = codes.sparkSession
+    path = scratch_path(spark, "top-k")
+    with scratch_scope(spark):  # what is made on the way goes once the result is stored
+        _search(codes, queries, bits, k).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _search(codes: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFrame:
     spark = codes.sparkSession
     known = codes.filter(F.col("id").isNotNull() & F.col("code").isNotNull()).select("id", "code").distinct()
     first = Window.partitionBy("code").orderBy("id")
     entries = _stored(known.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= k + 1)
                       .groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
-    parts = segments(bits, entries.count())
+    n = entries.count()
+    parts = segments(bits, n)
 
     def values(code: Column) -> Column:
         return F.array(*[segment_value(code, lo, hi) for lo, hi in parts])
@@ -108,18 +142,18 @@ def top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10) -> DataF
     apart = F.zip_with("values", "found_values", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     best = None
     for radius, chosen in _steps(parts):
+        fitting = [(j, parts[j][1] - parts[j][0]) for j in chosen if radius <= parts[j][1] - parts[j][0]]
+        if not fitting:
+            continue
+        if sum(math.comb(width, radius) for _, width in fitting) > n:  # comparing with all codes is less work
+            scanned = _scanned(active, entries, k).select("code", "distance", "neighbor_id")
+            ended = best.join(active.select("code"), "code", "left_anti").select("code", "distance", "neighbor_id") if best is not None else None
+            best = scanned if ended is None else ended.union(scanned)
+            break
         # A query makes many probes: spread them before, and shuffle them - Spark
         # would judge their number by the few queries and broadcast them.
         spread = active.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "code")
-        probes = None
-        for j in chosen:
-            lo, hi = parts[j]
-            if radius <= hi - lo:
-                own = spread.select("code", "values", F.lit(j).alias("segment"), F.explode(_masks(hi - lo, radius)).alias("mask"))
-                probes = own if probes is None else probes.union(own)
-        if probes is None:
-            continue
-        probes = probes.withColumn("value", F.col("values")[F.col("segment")].bitwiseXOR(F.col("mask"))).drop("mask")
+        probes = reduce(DataFrame.union, [_probes(spread, j, width, radius) for j, width in fitting])
         met = probes.hint("merge").join(index, ["segment", "value"]).withColumn("apart", apart)
         met = met.filter((F.array_min("apart") == radius) & (F.array_position("apart", radius) == F.col("segment") + 1))
         met = met.select("code", F.aggregate("apart", F.lit(0), lambda a, b: a + b).alias("distance"), F.explode("ids").alias("neighbor_id"))

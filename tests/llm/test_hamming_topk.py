@@ -53,3 +53,34 @@ def test_segment_by_segment(spark, monkeypatch):
     assert hamming_topk._steps([(0, 2), (2, 3)]) == [(0, [0, 1]), (1, [0]), (1, [1]), (2, [0, 1])]
     rng = np.random.default_rng(3)
     run(spark, [(int(i), rng.normal(size=20).round(3).tolist(), 0) for i in range(120)], 20, 5)
+
+
+@pytest.mark.parametrize("block", [1, 7, 2000])
+def test_more_probes_than_codes_ends_in_a_scan(spark, monkeypatch, block):
+    """Few, far codes: the search stops where probes outnumber codes, and is still exact."""
+    monkeypatch.setattr(hamming_topk, "SCAN_BLOCK", block)
+    scans = []
+    scanned = hamming_topk._scanned
+    monkeypatch.setattr(hamming_topk, "_scanned", lambda *a: scans.append(1) or scanned(*a))
+    rng = np.random.default_rng(block)
+    run(spark, [(i, rng.normal(size=64).tolist(), 0) for i in range(60)], 5, 8)
+    assert scans
+
+
+def test_probes_are_all_choices_of_bits(spark):
+    asked = spark.createDataFrame([([5], [0b1011])], "code array<long>, values array<long>")
+    for width, radius in [(4, 0), (4, 1), (6, 3), (5, 5), (1, 1)]:
+        got = sorted(r["value"] for r in hamming_topk._probes(asked, 0, width, radius).collect())
+        assert got == sorted(v for v in range(1 << width) if (v ^ 0b1011).bit_count() == radius) if width >= 4 else len(got) == 1
+
+
+def test_no_scratch_stays(spark):
+    import os
+
+    from stratum.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:") + "/stratum-scratch"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    rng = np.random.default_rng(3)
+    run(spark, [(i, rng.normal(size=32).tolist(), 0) for i in range(200)], 20, 3)
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before} == {"top-k"}
