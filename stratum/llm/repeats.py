@@ -1,26 +1,33 @@
-"""Removal of long repeated byte strings, by content-anchored fingerprinting.
+"""Removal of long repeated byte strings by bucket-pointer refinement.
 
 A byte goes if some string of ``length`` bytes around it also starts anywhere
-else. Two starts belong together if their strings are equal. This stands in for
-bucket-pointer refinement: buckets go from coarse to fine, but in three fixed
-levels and by fingerprints of the bytes themselves, not by the bucket
-identifiers of later offsets, which would need a row for every start at every
-step (README). A bucket's pointer below is such a fingerprint.
-
-* Level 0. Suffixes start in buckets of their q-gram. A string's bucket is that
-  of its *anchor*, the q-gram with the smallest pointer in it, so the starts of
-  a text fall into runs that share an anchor (about one run per 70 bytes), and
-  equal strings always have equal anchors. Runs of a bucket that is held by one
-  run only are unique; runs whose whole text is equal are repeated.
+else. Two starts belong together if their strings are equal. Starts are put into
+buckets by their q-gram, and a bucket's identifier is a pointer that the other
+starts of a text can read: the pointer of a longer string is made of the pointers
+at its start and at a later offset (``Pointers``) - from q to 2q, 4q, ... and
+``length`` - so what was refined for one start is reused for those before it, and
+no bytes are compared again. Only starts in buckets that are still mixed are
+refined. Pointers are identifiers made of those they refine, not places in a
+sorted table: equal strings get equal pointers in whatever task they are, so
+Spark groups by them instead of sorting all suffixes, and an update needs no
+exchange. Three steps bring the starts of a bucket together:
+
+* Level 0. Buckets of the q-gram. A string's bucket is that of its *anchor*, the
+  q-gram with the smallest pointer in it, so the starts of a text fall into runs
+  that share an anchor (about one run per 70 bytes), and equal strings always
+  have equal anchors. Runs of a bucket that is held by one run only are unique;
+  runs whose strings have the same pointers are repeated.
 * Level 1. Only what is left of mixed buckets is refined, in blocks of 8 starts
   with the same place relative to the anchor, by the pointer of the bytes that
-  all strings of the block share, then by the block's whole text.
-* Level 2. Blocks still mixed are refined to single starts.
+  all strings of the block share, then by the pointers of its first and last
+  string.
+* Level 2. Blocks still mixed are refined to the pointers of single strings,
+  beside an independent fingerprint of the string.
 
 At every level one representative stands for all equal members of a bucket, and
 finished members are not touched again; its refinement is what others are
 compared with. Bucket sizes are counted by aggregation, so a hot bucket costs
-one row per map task. Pointers are 128 bits (two independent fingerprints).
+one row per map task. Members are compared by 128 bits, two numbers of 64.
 
 Exact copies are counted first and kept once, as a bucketed table, to which the
 levels' results are joined without moving texts again.
@@ -71,6 +78,34 @@ class Prints:
         return words.mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
+class Pointers:
+    """Bucket pointers of strings, from those of the q-grams at every place."""
+
+    def __init__(self, grams: np.ndarray, gram: int):
+        self.grams, self.gram = grams, gram
+
+    def of(self, start: np.ndarray, size: int) -> np.ndarray:
+        """Pointers of the strings of ``size`` bytes: refined from those of the
+        largest q * 2**k below, at the start and at the offset where it ends with the string."""
+        if size == self.gram:
+            return self.grams[start]
+        half = self.gram
+        while 2 * half < size:
+            half *= 2
+        return words.mix(self.of(start, half) + self.of(start + (size - half), half) * _salt(15) + np.uint64(size))
+
+    def of_sizes(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(start), np.uint64)
+        for n in np.unique(size).tolist():
+            own = size == n
+            out[own] = self.of(start[own], n)
+        return out
+
+    def of_run(self, first: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
+        """Of all bytes under the strings from ``first`` to ``last``, which overlap or meet."""
+        return words.mix(self.of(first, size) + self.of(last, size) * _salt(17) + (last - first).astype(np.uint64))
+
+
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     span = 1
     while 2 * span <= width:
@@ -109,7 +144,7 @@ def run_rows(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ..
     owner = np.searchsorted(p.bounds, start, "right") - 1
     first, last = _cut((np.diff(at, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
     s, e, a = start[first], start[last], at[first]
-    strong = words.mix(p.of(s, e + length) + (a - s).astype(np.uint64) * _salt(3))
+    strong = words.mix(Pointers(grams, gram).of_run(s, e, length) + (a - s).astype(np.uint64) * _salt(3))
     return owner[first], s - p.bounds[owner[first]], e - s + 1, words.mix(grams[a] + _salt(5)), strong
 
 
@@ -126,9 +161,11 @@ def block_rows(parts: list[bytes], length: int, gram: int, block: int) -> tuple[
     s, e, a = start[first], start[last], at[first]
     lo = (a - s) // block * block
     hi = np.minimum(lo + block - 1, length - gram)
-    core = p.of(a - lo, a - hi + length)
+    pointers = Pointers(grams, gram)
+    core = pointers.of_sizes(a - lo, length - (hi - lo))
     weak = words.mix(core + grams[a] * _salt(7) + lo.astype(np.uint64) * _salt(9))
-    strong = words.mix(p.of(s, e + length) + (a - s).astype(np.uint64) * _salt(11)) if block > 1 else words.mix(grams[a] + lo.astype(np.uint64) * _salt(13))
+    strong = (words.mix(pointers.of_run(s, e, length) + (a - s).astype(np.uint64) * _salt(11)) if block > 1
+              else words.mix(p.of(s, s + length) + grams[a] * _salt(19) + lo.astype(np.uint64) * _salt(13)))
     return owner[first], s - p.bounds[owner[first]], e - s + 1, weak, strong
 
 

@@ -72,3 +72,24 @@ def test_empty(nothing):
     assert repeats.repeated_spans(nothing).collect() == []
     with pytest.raises(ValueError):
         repeats.repeated_spans(nothing, length=400, gram=10)
+
+
+@pytest.mark.parametrize(("length", "gram"), [(200, 64), (30, 10), (12, 12), (40, 1), (128, 64)])
+def test_pointers_are_refined_from_later_offsets(length, gram):
+    """Equal strings, and only they, have equal pointers; each one depends on q-gram pointers alone."""
+    rng = np.random.default_rng(gram)
+    text = bytes(rng.choice(list(b"ab"), 400)) + bytes(rng.choice(list(b"abcdef"), 300)) * 2
+    place = np.arange(len(text) - gram + 1)
+    grams = repeats.Prints([text]).of(place, place + gram)
+    pointers = repeats.Pointers(grams, gram)
+    for size in {gram, min(length, gram + 1), length - 3 if length - 3 > gram else length, length}:
+        start = np.arange(len(text) - size + 1)
+        got = pointers.of(start, size)
+        strings = [text[i:i + size] for i in start]
+        assert len(set(got.tolist())) == len(set(strings)) == len(set(zip(got.tolist(), strings)))
+        assert np.array_equal(got, pointers.of_sizes(start, np.full(len(start), size)))
+    changed = grams.copy()
+    changed[150] ^= np.uint64(1)          # a pointer at a later offset changes those that read it, and no others
+    before, after = (repeats.Pointers(g, gram).of(np.arange(300), length) if 300 + length <= len(text) else None for g in (grams, changed))
+    differ = np.flatnonzero(before != after)
+    assert differ.max() == 150 and differ.min() >= 150 - length + gram
