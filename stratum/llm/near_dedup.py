@@ -10,13 +10,15 @@
    long texts is one of the first.
 3. Bands of the signature are bucket keys. Links are looked for in rounds, each
    leaving out pairs that are connected already: every node with its smallest
-   bucket leader; then every node with all its bucket leaders; then all pairs of
-   a bucket that are still in different groups. From the second round on, nodes
+   bucket leader; then every node with all its bucket leaders; then what is still
+   in one bucket but in different groups. From the second round on, nodes
    are held against a bound: shingles that no other node of an unsettled bucket
    has are counted, and with ``s`` others left, a pair shares at most the smaller
-   ``s``. Edited copies that are similar to none drop out by that alone, so a
-   group of them is not compared pair by pair. After the last round each pair of
-   each bucket has been verified, is connected, or cannot be similar enough.
+   ``s``. Edited copies that are similar to none drop out by that alone. What is
+   left for the last round is not compared bucket by bucket: nodes meet where they
+   share one of their rarest shingles (``prefixes``) and are of like size, which
+   no similar pair fails to do. After it each pair of each bucket has been
+   verified, is connected, or cannot be similar enough.
 4. Pairs are verified on full sets: both texts are shingled again and compared
    (100 * intersection >= percent * union).
 5. Groups are the components of the verified links, found by contracting the
@@ -35,12 +37,13 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm import tokens, words, worker
@@ -290,6 +293,23 @@ def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, perce
     def grouped(groups: DataFrame) -> DataFrame:
         return entries.select("bucket", "node", "n").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
+    def prefixes(members: DataFrame) -> DataFrame:
+        """(id, shingle, n, root): the rarest shingles of each set, as many as a
+        similar one can't lack all of, without those that no other member has.
+
+        In any fixed order of shingles, two sets of which the larger has n and the
+        common part at least ``percent`` of n, share one of their first
+        n - ceil(n * percent / 100) + 1; rarest first makes that choose few.
+        """
+        held = texts.join(members.select("node", "id"), "node").select("id", "text").mapInArrow(worker.task("near_dedup", _exploded(size)), "id long, shingle long")
+        held = _stored(held, "open-shingles")
+        common = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+        own = Window.partitionBy("id")
+        ranked = held.join(common, "shingle").withColumn("shared", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("holders", "shingle")))
+        return (ranked.join(members.select("id", "n", "root"), "id")
+                .filter(F.col("n") - F.col("shared") + F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+                .select("id", "shingle", "n", "root"))
+
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = _stored(verified(first), "links-1")
     groups = components(links)
@@ -319,9 +339,16 @@ def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, perce
     partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
     open_ = open_.filter(can_be_similar(F.col("n"), F.col("s"), partner, F.col("s"))).drop("least")
     open_ = _stored(unsettled(_stored(open_, "open-members")), "open-buckets")
-    x, y = (open_.select(F.col("bucket").alias(f"bucket_{side}"), F.col("node").alias(side),
+    members = _stored(open_.select("node", "n", "s", "root", "parity").distinct().withColumn("id", F.monotonically_increasing_id()), "open-nodes")
+    keys = _stored(prefixes(members), "open-prefixes")
+    split = keys.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("shingle")
+    # Similar sets have sizes of one class or of neighbouring ones.
+    size_class = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n")
+    sided = keys.join(split, "shingle").join(members.drop("n", "root"), "id").withColumn("size", size_class)
+    x, y = (sided.select(F.col("shingle").alias(f"shingle_{side}"), F.col("node").alias(side), F.col("size").alias(f"size_{side}"),
                          *[F.col(c).alias(f"{c}_{side}") for c in ("n", "s", "root", "parity")]) for side in "ab")
-    rest = x.join(y, (x["bucket_a"] == y["bucket_b"]) & (x["a"] < y["b"]) & (F.col("root_a") != F.col("root_b"))
+    y = y.withColumn("size_b", F.explode(F.array(*[F.col("size_b") + d for d in ((-1, 0, 1) if percent < 100 else (0,))])))
+    rest = x.join(y, (x["shingle_a"] == y["shingle_b"]) & (x["size_a"] == y["size_b"]) & (x["a"] < y["b"]) & (F.col("root_a") != F.col("root_b"))
                   & can_be_similar(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"))
                   & differ_little(F.col("n_a"), F.col("parity_a"), F.col("n_b"), F.col("parity_b")))
     rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")

@@ -201,3 +201,27 @@ def test_a_worker_forgets_what_another_operator_remembered():
     assert words._CACHE                                  # the same operator keeps its tables
     list(worker.task("two", iter)([]))
     assert not words._CACHE and tokens.encoder.cache_info().currsize == 0
+
+
+def test_dense_groups_near_the_threshold(spark, monkeypatch):
+    """Edits of a few passages at similarities on both sides of 0.8, where the
+    first two rounds leave pairs of one bucket in different groups."""
+    import random
+
+    rng = random.Random(21)
+    rows = []
+    for base in range(4):
+        passage = [f"p{base}w{rng.randrange(400)}" for _ in range(120)]
+        for k in range(45):
+            words_ = list(passage)
+            for _ in range(rng.choice([1, 2, 3, 4, 5, 6])):
+                at = rng.randrange(len(words_))
+                words_[at:at + rng.choice([0, 1, 2])] = [rng.choice([f"e{rng.randrange(6)}", f"x{rng.randrange(9999)}"])]
+            rows.append((1000 * base + k, " ".join(words_[rng.choice([0, 0, 5]):])))
+    last = []
+    components = near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda links: last.append(links.count()) or components(links))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = near_dedup.near_groups(df, size=4).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == expected(rows, 4)
+    assert len(last) == 3 and last[2] > last[1]     # the last round found links
