@@ -20,7 +20,9 @@ second raises ``ConcurrentWriteError``, and its rows are named by no manifest.
 The store must offer one of the two atomically, as HDFS and POSIX folders do.
 
 * ``overwrite`` - the manifest names the new folders only.
-* ``append``    - the folders of the current version and the new ones.
+* ``append``    - the folders of the current version and the new ones; a bucket
+  with more than ``MOST_FOLDERS`` of them is rewritten as one in the same commit,
+  so many small appends leave neither ever more folders nor a growing manifest.
 * ``upsert``    - the source rows are written first; they show which buckets are
   touched. Rows of those buckets whose key is not in the source are written
   anew, folders of all other buckets stay as they are, so the cost follows the
@@ -50,6 +52,7 @@ from pyspark.sql.types import StructType
 
 BUCKET = "stratum_bucket"
 _WRITE, _MANIFEST = "stratum_write", "_manifest"
+MOST_FOLDERS = 16  # folders of a bucket that appends may leave
 _MANIFEST_FILE = re.compile(r"(\d+)\.json$")
 
 
@@ -255,6 +258,21 @@ def write_rows(df: DataFrame, path: str, write: str, keys: Sequence[str], bucket
     return sorted(Folder(int(p.getName().split("=")[1]), f"{name}/{p.getName()}", fs.getContentSummary(p).getLength(), batch) for p in found)
 
 
+def merge_folders(spark: SparkSession, path: str, schema: StructType, folders: list[Folder], buckets: int,
+                  partition_by: Sequence[str] = (), most: int = MOST_FOLDERS) -> list[Folder]:
+    """``folders`` with those of a bucket written as one, where it has more than
+    ``most`` (folders of an open batch stay apart)."""
+    per: dict[int, list[Folder]] = {}
+    for f in folders:
+        if f.batch is None:
+            per.setdefault(f.bucket, []).append(f)
+    old = {f for own in per.values() if len(own) > most for f in own}
+    if not old:
+        return folders
+    rows = read_folders(spark, path, schema, [f.path for f in old], with_bucket=True)
+    return [f for f in folders if f not in old] + write_rows(rows, path, f"{uuid.uuid4().hex}m", (), max(buckets, 2), partition_by)
+
+
 def _commit(spark: SparkSession, path: str, new: State, write: str) -> int:
     text = json.dumps({"buckets": new.buckets, "schema": new.schema.jsonValue(), "folders": new.folders, "notes": new.notes})
     if not _publish(spark, text, _manifest_path(path, new.version), write):
@@ -298,7 +316,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", keys: Sequenc
             raise ValueError("append to a bucketed table needs its key columns")
         schema = _widened(now.schema, df.schema)
         added = write_rows(df, path, write, keys, now.buckets, partition_by)
-        return _commit(spark, path, State(version, now.buckets, schema, (*now.folders, *added), now.notes if notes is None else notes), write)
+        folders = merge_folders(spark, path, schema, [*now.folders, *added], now.buckets, partition_by)
+        return _commit(spark, path, State(version, now.buckets, schema, tuple(folders), now.notes if notes is None else notes), write)
     n = buckets if keys else 1
     folders = write_rows(df, path, write, keys, n, partition_by)
     return _commit(spark, path, State(version, n, df.schema, tuple(folders), notes or {}), write)

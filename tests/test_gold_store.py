@@ -356,3 +356,18 @@ def test_dim_customers_with_repeated_erp_ids_matches_all_pairs_join(spark):
         "customer_sk", "customer_id", "customer_number", "first_name", "last_name", "country",
         "marital_status", "gender", "birth_date", "created_date").collect()}
     assert ours == expected
+
+
+def test_many_appends_leave_few_folders(spark, tmp_dir):
+    path = f"{tmp_dir}/appends"
+    df = spark.range(0, 40).withColumn("year", (F.col("id") % 2 + 2020).cast("int"))
+    tables.write_table(df, path, keys=["id"], buckets=2, partition_by=["year"])
+    for k in range(40):
+        one = spark.createDataFrame([(1000 + k, 2020)], "id long, year int")
+        tables.write_table(one, path, "append", keys=["id"], partition_by=["year"])
+    now = tables.state(spark, path)
+    assert len(now.folders) <= 2 * tables.MOST_FOLDERS and {f.bucket for f in now.folders} == {0, 1}
+    rows = tables.read_table(spark, path)
+    assert rows.count() == 80 and rows.where("year = 2021").count() == 20 and rows.select("id").distinct().count() == 80
+    tables.upsert(spark, path, spark.createDataFrame([(1003, 2021)], "id long, year int"), ["id"], partition_by=["year"])
+    assert tables.read_table(spark, path).where("id = 1003").first()["year"] == 2021 and tables.read_table(spark, path).count() == 80

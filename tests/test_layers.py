@@ -406,3 +406,26 @@ def test_null_natural_keys_in_upsert_mode(spark, tmp_dir):
         assert n == 2   # the run's default: null matches nothing
         layers.build_gold(spark, roots, mode="upsert", match_null_keys=True)
         assert tables.read_table(spark, roots.gold_table("dim_customers")).count() == 3
+
+
+def test_bronze_that_began_anew_is_told_and_rebuilt(spark, tmp_dir):
+    import pytest
+
+    from stratum.sinks import batches
+
+    roots = _roots(tmp_dir)
+    for feed, header in HEADERS.items():
+        _write(roots.raw_feed(feed), "none.csv", header + "\n")
+    _batches_of_feed(spark, roots, "cust_info", *[[f"{k},AW{k},a,b,M,F,2020-01-01"] for k in range(4)])
+    assert tables.state(spark, roots.silver_state("cust_info")).notes["batches"]["through"] == 2
+    again = layers.Roots(f"{tmp_dir}/raw2", f"{tmp_dir}/bronze2", roots.silver, roots.gold)
+    for feed, header in HEADERS.items():
+        _write(again.raw_feed(feed), "none.csv", header + "\n")
+    _write(again.raw_feed("cust_info"), "0.csv", HEADERS["cust_info"] + "\n9,AW9,a,b,M,F,2020-01-01\n")
+    layers.ingest_all(spark, again)
+    with pytest.raises(batches.RestartedSourceError):
+        layers.build_silver(spark, again, as_of=AS_OF, audit=False, incremental=True, feeds=["cust_info"])
+    layers.build_silver(spark, again, as_of=AS_OF, audit=False, feeds=["cust_info"])
+    for _ in range(2):
+        assert [r[0] for r in _rows(spark, roots.silver_table("cust_info"), "cst_id")] == [9]
+        layers.build_silver(spark, again, as_of=AS_OF, audit=False, incremental=True, feeds=["cust_info"])
