@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.llm import decontaminate, near_dedup, packing, secret_scan, toxicity
 from stratum.llm.queries import read, tokenizer
 from stratum.llm.ship import ship
-from stratum.session import scratch_path
+from stratum.session import free, scratch_path, scratch_scope
 
 # One or two words inside a text are no sign of contamination.
 LEAST_ITEM_WORDS = 3
@@ -56,9 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):  # what a stage makes on its way goes with its end
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            free(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
