@@ -333,7 +333,7 @@ FROM (SELECT concat_ws('|', l_returnflag, l_linestatus) AS flag_status, *,
       FROM lineitem) t
 WHERE rn = 1"""
 ORACLE_SQL["stream_by_name"] = feed_cte("cust_info") + """
-SELECT *, CASE WHEN cst_create_date >= '1995-01-01' THEN '{"cst_source":"crm"}' END AS _rescued_data
+SELECT *, CASE WHEN cst_create_date >= '1998-04-01' THEN '{"cst_source":"crm"}' END AS _rescued_data
 FROM cust_info"""
 ORACLE_SQL["replace_with_empty_then_append"] = "SELECT * FROM part WHERE p_size > 25"
 ORACLE_SQL["upsert_creates_missing"] = """
@@ -375,4 +375,4 @@ SELECT CASE WHEN later THEN 1 ELSE 0 END AS first_batch,
        CASE WHEN later THEN 'cst_create_date,cst_marital_status,cst_lastname,cst_firstname,cst_key,cst_id,cst_source'
             ELSE 'cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date' END AS columns,
        CASE WHEN later THEN 'cst_source' ELSE '' END AS unknown, CASE WHEN later THEN 'cst_gndr' ELSE '' END AS missing, n_rows
-FROM (SELECT cst_create_date >= '1995-01-01' AS later, count(*) AS n_rows FROM cust_info GROUP BY ALL) t"""
+FROM (SELECT cst_create_date >= '1998-04-01' AS later, count(*) AS n_rows FROM cust_info GROUP BY ALL) t"""

@@ -317,7 +317,7 @@ def read_by_name(spark, sf):
 
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}
-BATCH_SPLIT = "1995-01-01"
+BATCH_SPLIT = "1998-04-01"  # about half of the orders are later
 
 
 def _ingest_twice(spark, feed, first, second):
@@ -427,7 +427,7 @@ def _take_loads(spark, feed, loads, replay=False):
 def silver_replayed_batch(spark, sf):
     """Sales in two loads, each of whose batches is written twice: silver has every line once."""
     sales = raw_feed(spark, sf, "sales_details")
-    early = F.col("sls_ship_dt") < F.lit("19950101")
+    early = F.col("sls_ship_dt") < F.lit(BATCH_SPLIT.replace("-", ""))
     return _take_loads(spark, "sales_details", [sales.where(early), sales.where(~early)], replay=True)
 
 
@@ -441,8 +441,8 @@ def silver_latest_two_batches(spark, sf):
 def silver_versions_two_batches(spark, sf):
     """Products in two loads: versions of the second one end versions of the first one."""
     products = raw_feed(spark, sf, "prd_info")
-    odd_cost = F.length(F.coalesce("prd_cost", F.lit(""))) != 3
-    return _take_loads(spark, "prd_info", [products.where(odd_cost), products.where(~odd_cost)])
+    first = F.coalesce(F.trim("prd_line"), F.lit("")).isin("r", "S", "")
+    return _take_loads(spark, "prd_info", [products.where(first), products.where(~first)])
 
 
 # --- the whole layered build over stored tables -------------------------------
