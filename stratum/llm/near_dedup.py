@@ -56,6 +56,7 @@ _GOLD = 0x9E3779B97F4A7C15
 _UNSET = np.uint64((1 << 64) - 1)
 _ELEMENTS = 1 << 17  # elements handled at once, 128 bytes each
 _TEXTS = 2048        # texts handled at once; a parity sketch is counted in 16 kB each
+_LEADS = 64          # rarest shingles that a node of the last round lists, to meet another once
 _PAIR_CHARS = 1 << 19  # characters of both texts of the pairs verified at once
 
 
@@ -294,8 +295,9 @@ def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, perce
         return entries.select("bucket", "node", "n").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def prefixes(members: DataFrame) -> DataFrame:
-        """(id, shingle, n, root): the rarest shingles of each set, as many as a
-        similar one can't lack all of, without those that no other member has.
+        """(id, shingle, place, n, root): the rarest shingles of each set with their
+        place, as many as a similar one can't lack all of, without those that no
+        other member has.
 
         In any fixed order of shingles, two sets of which the larger has n and the
         common part at least ``percent`` of n, share one of their first
@@ -306,9 +308,19 @@ def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, perce
         common = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
         own = Window.partitionBy("id")
         ranked = held.join(common, "shingle").withColumn("shared", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("holders", "shingle")))
-        return (ranked.join(members.select("id", "n", "root"), "id")
-                .filter(F.col("n") - F.col("shared") + F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-                .select("id", "shingle", "n", "root"))
+        placed = ranked.join(members.select("id", "n", "root"), "id").withColumn("place", F.col("n") - F.col("shared") + F.col("rank"))
+        return (placed.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+                .select("id", "shingle", "rank", "place", "n", "root"))
+
+    def can_meet_here(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
+        """Whether sets whose first common shingle has these places can be similar enough."""
+        most = F.least(n_a - place_a, n_b - place_b) + 1
+        return most * (100 + percent) >= (n_a + n_b) * percent
+
+    def first_meeting(lead_a: Column, lead_b: Column, shingle: Column) -> Column:
+        """Whether no rarer shingle of those that both list is common, so that a pair is made once."""
+        met = F.get(F.array_intersect(lead_a, lead_b), F.lit(0))
+        return met.isNull() | (met == shingle)
 
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = _stored(verified(first), "links-1")
@@ -344,13 +356,17 @@ def _name_groups(base: DataFrame, signed: DataFrame, path: str, size: int, perce
     split = keys.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("shingle")
     # Similar sets have sizes of one class or of neighbouring ones.
     size_class = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n")
-    sided = keys.join(split, "shingle").join(members.drop("n", "root"), "id").withColumn("size", size_class)
+    leads = keys.filter(F.col("rank") <= _LEADS).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "shingle"))).alias("lead"))
+    members = members.drop("n", "root").join(leads.select("id", F.col("lead.shingle").alias("lead")), "id")
+    sided = keys.join(split, "shingle").join(members, "id").withColumn("size", size_class)
     x, y = (sided.select(F.col("shingle").alias(f"shingle_{side}"), F.col("node").alias(side), F.col("size").alias(f"size_{side}"),
-                         *[F.col(c).alias(f"{c}_{side}") for c in ("n", "s", "root", "parity")]) for side in "ab")
+                         *[F.col(c).alias(f"{c}_{side}") for c in ("n", "s", "root", "parity", "place", "lead")]) for side in "ab")
     y = y.withColumn("size_b", F.explode(F.array(*[F.col("size_b") + d for d in ((-1, 0, 1) if percent < 100 else (0,))])))
     rest = x.join(y, (x["shingle_a"] == y["shingle_b"]) & (x["size_a"] == y["size_b"]) & (x["a"] < y["b"]) & (F.col("root_a") != F.col("root_b"))
+                  & can_meet_here(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"))
                   & can_be_similar(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"))
-                  & differ_little(F.col("n_a"), F.col("parity_a"), F.col("n_b"), F.col("parity_b")))
+                  & differ_little(F.col("n_a"), F.col("parity_a"), F.col("n_b"), F.col("parity_b"))
+                  & first_meeting(F.col("lead_a"), F.col("lead_b"), F.col("shingle_a")))
     rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     third = _stored(verified(rest), "links-3")
     if not third.isEmpty():
