@@ -41,11 +41,11 @@ from pyspark.sql import functions as F
 
 from stratum.llm.numbering import number_within
 from stratum.llm.ship import ship
-from stratum.session import scratch_path
+from stratum.session import scratch_path, scratch_scope
 
 BLOCK = 4
 FAN = 16
-WORD_GAPS = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 HEAD_OF, HEAD_TURNS = 20, 4  # a conversation borrows fewer than 4 turns from the first of its 20
 PIECE = 1 << 16  # characters of an id list that are handed on at a time
 ROOT = b""
@@ -68,10 +68,12 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 def numbered_turns(conversations: DataFrame) -> DataFrame:
     """(conv, idx, digest, words): turns of each conversation from 0, texts reduced to digest and word count."""
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
-    words = F.size(F.filter(F.split(text, WORD_GAPS, -1), lambda w: w != "")).cast("long")
+    words = F.regexp_count(text, F.lit(WORD)).cast("long")
     whole = F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text).cast("binary")
     turns = (conversations.where(F.col("conv_id").isNotNull())
              .select(F.col("conv_id").cast("long").alias("conv"), "turn", _hash(whole).alias("digest"), words.alias("words")))
+    # Numbering reads its rows twice: texts are read once.
+    turns = _stored(turns, "trie-digests")
     return _stored(number_within(turns, "conv", ["turn", "digest"], "idx"), "trie-turns").select("conv", "idx", "digest", "words")
 
 
@@ -283,4 +285,8 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
 
 def conversation_trie(conversations: DataFrame) -> DataFrame:
     """The trie of the rebuilt conversations of a table (conv_id, turn, role, text)."""
-    return trie(*rebuilt(numbered_turns(conversations)))
+    spark = conversations.sparkSession
+    path = scratch_path(spark, "trie")
+    with scratch_scope(spark):  # what is made on the way goes once the nodes are stored
+        trie(*rebuilt(numbered_turns(conversations))).write.parquet(path)
+    return spark.read.parquet(path)
