@@ -53,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     gol.add_argument("--silver", required=True)
     gol.add_argument("--gold", required=True)
     gol.add_argument("--upsert", action="store_true")
+    gol.add_argument("--match-null-keys", action="store_true", help="with --upsert: a null key equals a null key")
 
     run = sub.add_parser("run", help="ingest, silver and gold in order")
     for name in ("raw", "bronze", "silver", "gold"):
@@ -62,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--upsert", action="store_true")
     run.add_argument("--by-position", action="store_true")
     run.add_argument("--incremental", action="store_true")
+    run.add_argument("--match-null-keys", action="store_true")
     return p
 
 
@@ -73,23 +75,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if a.command == "ingest":
         from stratum.streaming import by_name, ingest
         run = ingest.ingest_feed if a.by_position else by_name.ingest_feed_by_name
+        tracked = {} if a.by_position else {"schema_location": roots.bronze_layouts(a.feed)}
         res = run(spark, roots.raw_feed(a.feed), roots.bronze_data(a.feed),
                   roots.bronze_checkpoint(a.feed), a.feed, timeout_s=a.timeout,
-                  archive_dir=roots.raw_archive(a.feed))
-        out = {"feed": res.feed, "batches": res.batches, "rows": res.rows}
+                  archive_dir=roots.raw_archive(a.feed), **tracked)
+        out = {"feed": res.feed, "batches": res.batches, "rows": res.rows, "new_layouts": res.new_layouts}
     elif a.command == "silver":
         rep = layers.build_silver(spark, roots, as_of=a.as_of,
                                   mode="append" if a.append else "overwrite",
                                   incremental=a.incremental)
         out = {"silver_versions": rep.silver_versions}
     elif a.command == "gold":
-        rep = layers.build_gold(spark, roots, mode="upsert" if a.upsert else "replace")
+        rep = layers.build_gold(spark, roots, mode="upsert" if a.upsert else "replace", match_null_keys=a.match_null_keys)
         out = {"gold_versions": rep.gold_versions}
     else:
         rep = layers.run_all(spark, roots, as_of=a.as_of,
                              mode="upsert" if a.upsert else "replace", by_name=not a.by_position,
-                             incremental=a.incremental)
-        out = {"ingested_rows": rep.ingested_rows, "silver_versions": rep.silver_versions,
+                             incremental=a.incremental, match_null_keys=a.match_null_keys)
+        out = {"ingested_rows": rep.ingested_rows, "new_layouts": rep.new_layouts, "silver_versions": rep.silver_versions,
                "gold_versions": rep.gold_versions}
     out = {"command": a.command, **out}
     print(json.dumps(out))

@@ -117,8 +117,9 @@ def test_command_line_jobs(spark, tmp_dir):
     assert all(v > 0 for v in out["ingested_rows"].values())
     again = main(["ingest", "--raw", roots.raw, "--bronze", roots.bronze, "--feed", "cust_info"],
                  spark=spark)
-    assert again["rows"] == 0
-    merged = main(["gold", "--silver", roots.silver, "--gold", roots.gold, "--upsert"], spark=spark)
+    assert again["rows"] == 0 and again["new_layouts"] == []
+    assert out["new_layouts"]["loc_a101"] == [["CID", "CNTRY"]]
+    merged = main(["gold", "--silver", roots.silver, "--gold", roots.gold, "--upsert", "--match-null-keys"], spark=spark)
     assert set(merged["gold_versions"]) == set(layers.GOLD_KEYS)
     assert tables.read_table(spark, roots.gold_table("fact_sales")).count() > 0
 
