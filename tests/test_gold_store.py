@@ -371,3 +371,32 @@ def test_many_appends_leave_few_folders(spark, tmp_dir):
     assert rows.count() == 80 and rows.where("year = 2021").count() == 20 and rows.select("id").distinct().count() == 80
     tables.upsert(spark, path, spark.createDataFrame([(1003, 2021)], "id long, year int"), ["id"], partition_by=["year"])
     assert tables.read_table(spark, path).where("id = 1003").first()["year"] == 2021 and tables.read_table(spark, path).count() == 80
+
+
+@pytest.mark.parametrize("buckets, match_nulls", [(1, False), (4, False), (4, True)])
+def test_kept_rows_of_a_merge_with_many_keys_move_once(spark, tmp_dir, monkeypatch, buckets, match_nulls):
+    """Without a broadcast, stored rows and keys meet in the one shuffle that lays the kept rows out."""
+    rows = [(i % 60 if i % 7 else None, f"v{i}", i % 3) for i in range(300)]
+    source = [(k, "new", 1) for k in (*range(0, 60, 4), *range(0, 60, 4), 1000, None)]
+    schema, held = "k int, v string, year int", []
+    write_rows = tables.write_rows
+
+    def noted(df, path, write, *args, **kwargs):
+        if write.endswith("k"):
+            held.append((df._jdf.queryExecution().sparkPlan().toString(), kwargs.get("laid_out")))
+        return write_rows(df, path, write, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "write_rows", noted)
+    monkeypatch.setattr(tables, "SLOT_BYTES", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = f"{tmp_dir}/many"
+        tables.write_table(spark.createDataFrame(rows, schema), path, keys=["k"], buckets=buckets, partition_by=["year"])
+        tables.replace_by_keys(spark, path, spark.createDataFrame(source, schema), ["k"], partition_by=["year"], match_nulls=match_nulls)
+        got = sorted(map(tuple, tables.read_table(spark, path).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    gone = {k for k, *_ in source if k is not None or match_nulls}
+    assert got == sorted([r for r in rows if r[0] not in gone] + source, key=str)
+    ((plan, laid_out),) = held
+    assert laid_out and "LeftAnti" not in plan
