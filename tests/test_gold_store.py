@@ -400,3 +400,21 @@ def test_kept_rows_of_a_merge_with_many_keys_move_once(spark, tmp_dir, monkeypat
     assert got == sorted([r for r in rows if r[0] not in gone] + source, key=str)
     ((plan, laid_out),) = held
     assert laid_out and "LeftAnti" not in plan
+
+
+def test_added_rows_are_not_compared(spark, tmp_dir):
+    """Where a version only adds folders, the rows in them are the change, and only asked columns are shuffled."""
+    path = f"{tmp_dir}/added"
+    tables.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path)
+    first = tables.state(spark, path)
+    tables.write_table(spark.createDataFrame([(2, "c"), (2, "d"), (None, "e")], "k int, v string"), path, "append")
+    found = tables.changes(spark, path, first, shown=["k"])
+    assert sorted(map(tuple, found.collect()), key=str) == [(2,), (None,)]
+    assert "v#" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert tables.changes(spark, path, first).count() == 3
+    second = tables.state(spark, path)
+    tables.write_table(spark.createDataFrame([(2, "c"), (1, "A"), (1, "B")], "k int, v string"), path)
+    assert sorted(map(tuple, tables.changes(spark, path, second, shown=["k"]).collect()), key=str) == [(1,), (2,), (None,)]
+    third = tables.state(spark, path)
+    tables.commit(spark, path, third, third.folders)
+    assert tables.changes(spark, path, third).count() == 0       # a version without other rows
