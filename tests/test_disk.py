@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import os
 import time
 
 import pyarrow.parquet as pq
 
 from stratum.session import shuffles_freed
+from stratum.streaming import by_name
 from stratum.workload.queries import QUERIES
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -78,3 +80,18 @@ def test_shuffles_freed_nests_and_restores_the_setting(spark, tmp_dir):
         assert spark.conf.get(_CLEANUP) == "false"
     finally:
         spark.conf.unset(_CLEANUP) if own is None else spark.conf.set(_CLEANUP, own)
+
+
+def test_headers_are_found_without_sorting_the_lines(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/raw")
+    for i in range(3):
+        with open(f"{tmp_dir}/raw/f{i}.csv", "w") as fh:
+            fh.write("\n" * i + ("CID,CNTRY\n" if i else "cntry,cid\n") + "".join(f"{i}{j},x\n" for j in range(50)) + "CID,CNTRY\n")
+    layouts = []
+    rows = by_name.map_by_header(spark.read.text(f"{tmp_dir}/raw").select("value", "_metadata"), "loc_a101", layouts.extend)
+    assert sorted(layouts) == [["CID", "CNTRY"], ["cntry", "cid"]]
+    got = sorted((r["CID"], r["CNTRY"]) for r in rows.collect())
+    lines = [("x", f"0{j}") for j in range(50)] + [(f"{i}{j}", "x") for i in (1, 2) for j in range(50)]
+    assert got == sorted([*lines, ("CNTRY", "CID"), ("CID", "CNTRY"), ("CID", "CNTRY")])  # only a first line is a header
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "BroadcastHashJoin" in plan
